@@ -156,3 +156,32 @@ SELECT topic, _id, data_ora, temp1_media, ur1_media, pioggia_mm FROM weather""")
     "parse_lines_soil": _with("""
 SELECT topic, _id, "timestamp", water_0, temperature_0, water_1, temperature_1 FROM soil"""),
 }
+
+
+# Streaming forms: append mode emits an hour once the watermark (latest event time seen,
+# minus the delay) has passed the hour's end; the last, still open hours are not emitted.
+def _closed(kind: str, delay: str) -> str:
+    return (f"strptime(hour, '%Y-%m-%d %H') + INTERVAL 1 HOUR <= "
+            f"(SELECT date_trunc('second', max(event_time)) FROM {kind}) - INTERVAL {delay}")
+
+
+_CLOSED_WEATHER = _closed("weather", "10 MINUTE")
+_CLOSED_SOIL = _closed("soil", "1 HOUR")
+
+
+def _stream_form(sql: str, closed: str) -> str:
+    if "\nHAVING " in sql:
+        return sql.replace("\nHAVING ", f"\nHAVING {closed} AND ", 1)
+    return sql + f"\nHAVING {closed}"
+
+
+ORACLE_SQL.update({
+    "temperature_alert_stream": _stream_form(ORACLE_SQL["temperature_alert"], _CLOSED_WEATHER),
+    "dont_irrigate_stream": _stream_form(ORACLE_SQL["dont_irrigate"], _CLOSED_WEATHER),
+    "water_content_alert_stream": _stream_form(ORACLE_SQL["water_content_alert"], _CLOSED_SOIL),
+    "water_temperature_ratio_stream": _stream_form(ORACLE_SQL["water_temperature_ratio"],
+                                                   _CLOSED_SOIL),
+    "combined_sickness_alert_stream": _stream_form(ORACLE_SQL["combined_sickness_alert"],
+                                                   _CLOSED_SOIL),
+    "raw_ingest_stream": ORACLE_SQL["raw_ingest_meteo"],
+})

@@ -12,14 +12,15 @@ from agrosense.operators.aggregates import hourly_soil, hourly_weather
 from agrosense.operators.parse import route, soil_records, weather_records
 from agrosense.params import DEFAULT
 from agrosense.plans import daily, hourly
-from agrosense.plans.pipeline import soil_from_events, weather_from_events
+from agrosense.plans.pipeline import soil_from_events, stored_weather, weather_from_events
 from agrosense.sources.tables import events_channel
+from agrosense.streaming.replay import stream_raw, stream_result
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _weather_daily(fn) -> Query:
-    return lambda spark, sf_dir: fn(weather_from_events(spark, sf_dir), DEFAULT)
+    return lambda spark, sf_dir: fn(stored_weather(spark, sf_dir), DEFAULT)
 
 
 def _weather_hourly(fn, th=DEFAULT) -> Query:
@@ -59,7 +60,8 @@ def parse_lines_soil(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reading_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return daily.reading_count(weather_from_events(spark, sf_dir))
+    """Number of stored weather readings."""
+    return daily.reading_count(stored_weather(spark, sf_dir))
 
 
 RAIN_GT_0 = replace(DEFAULT, rain_min=0.0)
@@ -84,4 +86,25 @@ BATCH_QUERIES: dict[str, Query] = {
     "parse_lines_meteo": parse_lines_meteo,
     "parse_lines_soil": parse_lines_soil,
 }
-ALL_QUERIES: dict[str, Query] = dict(BATCH_QUERIES)
+
+
+def _stream(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return stream_result(spark, sf_dir, name)
+    run.__doc__ = f"``{name}`` computed by the event-time streaming job (closed hours only)."
+    return run
+
+
+def raw_ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather records written by the streaming raw archive."""
+    return stream_raw(spark, sf_dir, "meteo")
+
+
+STREAM_QUERIES: dict[str, Query] = {
+    **{f"{name}_stream": _stream(name) for name in
+       ("temperature_alert", "dont_irrigate", "water_content_alert",
+        "water_temperature_ratio", "combined_sickness_alert")},
+    "raw_ingest_stream": raw_ingest_stream,
+}
+
+ALL_QUERIES: dict[str, Query] = {**BATCH_QUERIES, **STREAM_QUERIES}

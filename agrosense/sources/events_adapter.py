@@ -21,7 +21,7 @@ Mapping (fixed values of the test adapter):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from agrosense.operators.publish import encode_line
@@ -80,3 +80,26 @@ def channel_records(events: DataFrame) -> DataFrame:
     s = sensor_events(events)
     return s.select("topic", F.when(F.col("is_weather"), _weather_line())
                     .otherwise(_soil_line()).alias("value"))
+
+
+def _text(c) -> Column:
+    return F.coalesce(F.col(c).cast("string"), F.lit("")) if c else F.lit("")
+
+
+def stored_weather_records(events: DataFrame) -> DataFrame:
+    """The stored weather table as the raw archive would hold it (text fields, no line).
+
+    Equal, row for row, to ``parse.weather_records(channel_records(events))``; batch
+    queries read this the way the reference's batch jobs read stored documents.
+    """
+    s = sensor_events(events).where(F.col("is_weather"))
+    source = {"_id": "_id", "data_ora": "time_text", "temp1_media": "temp1_media",
+              "ur1_media": "ur1_media", "pioggia_mm": "pioggia_mm"}
+    return s.select("topic", *[_text(source.get(f)).alias(f) for f in WEATHER_FIELDS])
+
+
+def stored_soil_records(events: DataFrame) -> DataFrame:
+    """The stored soil table (topic + six named text fields)."""
+    s = sensor_events(events).where(~F.col("is_weather"))
+    source = {"timestamp": "time_text"}
+    return s.select("topic", *[_text(source.get(f, f)).alias(f) for f in SOIL_POSITIONS])

@@ -22,6 +22,19 @@ def events_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return channel_records(table(spark, sf_dir, "events"))
 
 
+def events_channel_stream(spark: SparkSession, sf_dir: str,
+                          max_files_per_trigger: int | None = None) -> DataFrame:
+    """The ``events`` table as a file stream, mapped to channel records.
+
+    Only ``events.parquet`` is picked from the folder (``pathGlobFilter``); no copy is made.
+    """
+    reader = (spark.readStream.schema(EVENTS_SCHEMA)
+              .option("pathGlobFilter", "events.parquet"))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return channel_records(reader.parquet(sf_dir.rstrip("/")))
+
+
 def stored_readings(spark: SparkSession, path: str, kind: str | None = None,
                     topics: list[str] | None = None) -> DataFrame:
     """Scan the raw archive written by ``sinks.raw_archive`` (parquet, ``topic=`` folders).
