@@ -91,7 +91,15 @@ def safe_ratio(num, den) -> Column:
     return F.try_divide(_col(num), _col(den))
 
 
+def has_quote(line) -> Column:
+    return _col(line).contains('"')
+
+
 def field_count(line) -> Column:
-    """Number of separator-delimited fields, ignoring separators inside double quotes."""
+    """Number of separator-delimited fields, ignoring separators inside double quotes.
+
+    The line is referenced once, so a filter on the count that the optimizer pushes below
+    the line's producer evaluates the producer once.
+    """
     unquoted = F.regexp_replace(_col(line), r'"[^"]*"', "")
     return F.size(F.split(unquoted, SEPARATOR, -1))

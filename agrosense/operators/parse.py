@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from agrosense.functions.columns import field_count
+from agrosense.functions.columns import field_count, has_quote
 from agrosense.schemas import (
     SEPARATOR,
     SOIL_MARK,
@@ -48,15 +48,25 @@ def route(channel: DataFrame, topics: Sequence[str] | None = None) -> DataFrame:
     return df.withColumn("kind", kind_of("topic"))
 
 
-def _split(n: int) -> Column:
-    return F.from_csv(F.col("value"), positional_schema(n), {"sep": SEPARATOR})
+def split_line(n: int, line: str = "value") -> Column:
+    """The first ``n`` fields of a line as an array of strings.
+
+    Lines without a double quote are split on the separator directly; only quoted lines
+    go through the CSV parser (``from_csv``), which unquotes ``"2;3"`` into one field.
+    Both give the same fields for a plain line.
+    """
+    v = F.col(line)
+    parsed = F.from_csv(v, positional_schema(n), {"sep": SEPARATOR})
+    quoted = F.array(*[parsed[f"p{i}"] for i in range(n)])
+    plain = F.slice(F.split(v, SEPARATOR, -1), 1, n)
+    return F.when(has_quote(v), quoted).otherwise(plain)
 
 
 def _field(parts: str, pos: int) -> Column:
-    # from_csv turns an empty field into null; a position that exists in the line is kept
-    # as the empty string, as it was received. Missing positions cannot occur here because
-    # lines with too few fields are rejected first.
-    return F.coalesce(F.col(f"{parts}.p{pos}"), F.lit(""))
+    # The CSV parser turns an empty field into null; a position that exists in the line is
+    # kept as the empty string, as it was received. Missing positions cannot occur here
+    # because lines with too few fields are rejected first.
+    return F.coalesce(F.get(F.col(parts), pos), F.lit(""))
 
 
 def weather_records(channel: DataFrame, topics: Sequence[str] | None = None) -> DataFrame:
@@ -64,7 +74,7 @@ def weather_records(channel: DataFrame, topics: Sequence[str] | None = None) ->
     routed = route(channel, topics)
     lines = routed.where((F.col("kind") == KIND_WEATHER)
                          & (field_count("value") >= WEATHER_MIN_FIELDS))
-    parts = lines.select("topic", _split(WEATHER_MIN_FIELDS).alias("parts"))
+    parts = lines.select("topic", split_line(WEATHER_MIN_FIELDS).alias("parts"))
     return parts.select("topic", *[_field("parts", i).alias(name)
                                    for i, name in enumerate(WEATHER_FIELDS)])
 
@@ -74,7 +84,7 @@ def soil_records(channel: DataFrame, topics: Sequence[str] | None = None) -> Dat
     routed = route(channel, topics)
     lines = routed.where((F.col("kind") == KIND_SOIL)
                          & (field_count("value") >= SOIL_MIN_FIELDS))
-    parts = lines.select("topic", _split(SOIL_MIN_FIELDS).alias("parts"))
+    parts = lines.select("topic", split_line(SOIL_MIN_FIELDS).alias("parts"))
     return parts.select("topic", *[_field("parts", pos).alias(name)
                                    for name, pos in SOIL_POSITIONS.items()])
 

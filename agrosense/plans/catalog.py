@@ -12,7 +12,12 @@ from agrosense.operators.aggregates import hourly_soil, hourly_weather
 from agrosense.operators.parse import route, soil_records, weather_records
 from agrosense.params import DEFAULT
 from agrosense.plans import daily, hourly
-from agrosense.plans.pipeline import soil_from_events, stored_weather, weather_from_events
+from agrosense.plans.pipeline import (
+    soil_from_events,
+    stored_soil,
+    stored_weather,
+    weather_from_events,
+)
 from agrosense.sources.tables import events_channel
 from agrosense.streaming.replay import stream_raw, stream_result
 
@@ -24,11 +29,11 @@ def _weather_daily(fn) -> Query:
 
 
 def _weather_hourly(fn, th=DEFAULT) -> Query:
-    return lambda spark, sf_dir: fn(hourly_weather(weather_from_events(spark, sf_dir)), th)
+    return lambda spark, sf_dir: fn(hourly_weather(stored_weather(spark, sf_dir)), th)
 
 
 def _soil_hourly(fn) -> Query:
-    return lambda spark, sf_dir: fn(hourly_soil(soil_from_events(spark, sf_dir)), DEFAULT)
+    return lambda spark, sf_dir: fn(hourly_soil(stored_soil(spark, sf_dir)), DEFAULT)
 
 
 def route_topics(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,9 +31,9 @@ def dont_irrigate(hourly_weather: DataFrame, th: Thresholds = DEFAULT,
                   with_bounds: bool = False) -> DataFrame:
     """Weather hours whose mean rain is above ``rain_min``, as ``<hour> -> <hour + 12h>``."""
     d = th.hourly_digits
+    # The hour key comes from a validated time text, so it always parses back.
     start = hour_start("hour")
-    rows = hourly_weather.where((F.col("n_rain") > 0) & java_gt("avg_rain", th.rain_min)
-                                & start.isNotNull())
+    rows = hourly_weather.where((F.col("n_rain") > 0) & java_gt("avg_rain", th.rain_min))
     cols = [interval_text(start, th.interval_hours).alias("interval"),
             round_half_up("avg_rain", d).alias("rain")]
     if with_bounds:
