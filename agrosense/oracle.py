@@ -185,3 +185,14 @@ ORACLE_SQL.update({
                                                    _CLOSED_SOIL),
     "raw_ingest_stream": ORACLE_SQL["raw_ingest_meteo"],
 })
+
+ORACLE_SQL.update({
+    "csv_replay": ORACLE_SQL["parse_lines_meteo"],
+    "csv_import": _with(f"""
+SELECT topic, count(*) AS n_rows, min(CAST(_id AS INTEGER)) AS min_id,
+       max(CAST(_id AS INTEGER)) AS max_id,
+       min("timestamp") AS first_reading, max("timestamp") AS last_reading,
+       {_r('avg(water)', 9)} AS avg_water
+FROM soil GROUP BY topic"""),
+    "route_topics_stream": ORACLE_SQL["route_topics"],
+})

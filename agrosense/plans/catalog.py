@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agrosense.operators.aggregates import hourly_soil, hourly_weather
-from agrosense.operators.parse import route, soil_records, weather_records
+from agrosense.operators.parse import kind_of, route, soil_records, weather_records
+from agrosense.operators.readings import weather_readings
 from agrosense.params import DEFAULT
 from agrosense.plans import daily, hourly
 from agrosense.plans.pipeline import (
@@ -18,8 +19,13 @@ from agrosense.plans.pipeline import (
     stored_weather,
     weather_from_events,
 )
-from agrosense.sources.tables import events_channel
-from agrosense.streaming.replay import stream_raw, stream_result
+from agrosense.schemas import SEPARATOR, TIME_FORMAT
+from agrosense.session import fresh_path
+from agrosense.sinks.results import read_batches
+from agrosense.sources.events_adapter import stored_soil_records, stored_weather_records
+from agrosense.sources.files import csv_import, csv_replay
+from agrosense.sources.tables import events_channel, table
+from agrosense.streaming.replay import run_raw_archive, stream_raw, stream_result
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,6 +75,34 @@ def reading_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily.reading_count(stored_weather(spark, sf_dir))
 
 
+def csv_replay_meteo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored weather records written as a ``;`` sensor CSV with a header, replayed as lines
+    on channel ``iotData_meteo_2024`` and parsed back into typed readings."""
+    folder = fresh_path(spark, "csv-replay-meteo")
+    records = stored_weather_records(table(spark, sf_dir, "events")).drop("topic")
+    (records.write.option("sep", SEPARATOR).option("header", True).option("emptyValue", "")
+     .csv(folder))
+    channel = csv_replay(spark, folder, "meteo_2024")
+    return weather_readings(weather_records(channel)).select(
+        "topic", "_id", "data_ora", "temp1_media", "ur1_media", "pioggia_mm")
+
+
+def csv_import_soil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored soil records as a comma CSV with a header, imported with inferred types over a
+    table; reported per topic (rows, id range, first and last reading, mean water)."""
+    folder = fresh_path(spark, "csv-import-soil")
+    stored_soil_records(table(spark, sf_dir, "events")).write.option("header", True).csv(folder)
+    imported = csv_import(spark, folder, fresh_path(spark, "csv-import-table"))
+    return imported.groupBy("topic").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.min("_id").alias("min_id"),
+        F.max("_id").alias("max_id"),
+        F.date_format(F.min("timestamp"), TIME_FORMAT).alias("first_reading"),
+        F.date_format(F.max("timestamp"), TIME_FORMAT).alias("last_reading"),
+        F.round(F.avg((F.col("water_0") + F.col("water_1")) / 2), 9).alias("avg_water"),
+    )
+
+
 RAIN_GT_0 = replace(DEFAULT, rain_min=0.0)
 
 BATCH_QUERIES: dict[str, Query] = {
@@ -90,6 +124,8 @@ BATCH_QUERIES: dict[str, Query] = {
     "raw_ingest_soil": raw_ingest_soil,
     "parse_lines_meteo": parse_lines_meteo,
     "parse_lines_soil": parse_lines_soil,
+    "csv_replay": csv_replay_meteo,
+    "csv_import": csv_import_soil,
 }
 
 
@@ -105,11 +141,22 @@ def raw_ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_raw(spark, sf_dir, "meteo")
 
 
+def route_topics_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records per channel, counted over what the streaming raw archive stored."""
+    out = run_raw_archive(spark, sf_dir)
+    stored = (read_batches(spark, out, "meteo").select("topic")
+              .unionByName(read_batches(spark, out, "suolo").select("topic")))
+    return (stored.groupBy("topic")
+            .agg(F.count(F.lit(1)).alias("n_records"))
+            .withColumn("kind", kind_of("topic")))
+
+
 STREAM_QUERIES: dict[str, Query] = {
     **{f"{name}_stream": _stream(name) for name in
        ("temperature_alert", "dont_irrigate", "water_content_alert",
         "water_temperature_ratio", "combined_sickness_alert")},
     "raw_ingest_stream": raw_ingest_stream,
+    "route_topics_stream": route_topics_stream,
 }
 
 ALL_QUERIES: dict[str, Query] = {**BATCH_QUERIES, **STREAM_QUERIES}

@@ -59,19 +59,27 @@ def read_replaced(spark: SparkSession, path: str) -> DataFrame:
 
 
 def batch_writer(results: dict[str, Callable[[DataFrame], DataFrame]], out_dir: str,
-                 persist: bool = True) -> Callable[[DataFrame, int], None]:
+                 persist: bool = True,
+                 partition_by: dict[str, list[str]] | None = None
+                 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function writing each derived result once per batch id.
 
     The micro-batch is persisted while its results are written so the upstream work
     (for a stateful stream, the state update) runs once; it is released afterwards.
+    ``partition_by`` maps a result name to partition columns (e.g. ``topic``), so readers
+    filtering on them skip the other folders.
     """
+    partition_by = partition_by or {}
+
     def write(batch: DataFrame, batch_id: int) -> None:
         if persist:
             batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for name, fn in results.items():
-                (fn(batch).write.mode("overwrite")
-                 .parquet(f"{out_dir}/{name}/batch_id={batch_id}"))
+                writer = fn(batch).write.mode("overwrite")
+                if partition_by.get(name):
+                    writer = writer.partitionBy(*partition_by[name])
+                writer.parquet(f"{out_dir}/{name}/batch_id={batch_id}")
         finally:
             if persist:
                 batch.unpersist()

@@ -124,11 +124,20 @@ def start_raw_archive(channel: DataFrame, out_dir: str, checkpoint: str,
 
     One read of the channel per micro-batch serves all three tables.
     """
+    by_topic = {"meteo": ["topic"], "suolo": ["topic"]}
     writer = channel.select("topic", "value").writeStream.foreachBatch(
-        batch_writer(_raw_tables(topics), out_dir))
+        batch_writer(_raw_tables(topics), out_dir, partition_by=by_topic))
     return _start(writer, settings, checkpoint, "raw_archive")
 
 
+def await_all(queries: Sequence[StreamingQuery], timeout_s: int | None = None) -> None:
+    """Block until every query ends (or ``timeout_s`` passes); re-raise a query's failure."""
+    for q in queries:
+        q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(f"{q.name}: {q.exception()}")
+
+
 def start_all(channel: DataFrame, out_dir: str, checkpoint_root: str,
               settings: StreamSettings = StreamSettings(), th: Thresholds = DEFAULT,
               topics: Sequence[str] | None = None) -> list[StreamingQuery]:
