@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 TREND_DIRECTIONS = ("reference", "chronological")
 STREAM_MODES = ("event_time", "per_batch")
@@ -41,9 +41,10 @@ class StreamSettings:
     soil_delay: str = "1 hour"                # watermark delay, soil stream (nodes drift)
     window: str = "1 hour"
     mode: str = "event_time"                  # or "per_batch" (the reference's behaviour)
+    dedupe: bool = False                      # drop redelivered readings (same topic and
+                                              # _id) within the watermark delay
     max_files_per_trigger: int | None = None
     available_now: bool = False
-    options: dict = field(default_factory=dict)
 
     def __post_init__(self):
         if self.mode not in STREAM_MODES:

@@ -76,6 +76,10 @@ def hourly_stream(channel: DataFrame, kind: str, settings: StreamSettings = Stre
     """Watermarked per-topic event-time hourly aggregate of one sensor kind."""
     k = KINDS[kind]
     readings = readings_stream(channel, kind, topics).withWatermark("event_time", k.delay(settings))
+    if settings.dedupe:
+        # An at-least-once source may deliver a reading twice; its state lives only as long
+        # as the watermark delay, so it stays bounded by rate x delay.
+        readings = readings.dropDuplicatesWithinWatermark(["topic", "_id"])
     return k.hourly(readings, by="window", window=settings.window)
 
 
@@ -98,9 +102,10 @@ def start_hourly(channel: DataFrame, kind: str, out_dir: str, checkpoint: str,
            if results is None or name in results}
     if settings.mode == "event_time":
         agg = hourly_stream(channel, kind, settings, topics)
-        writer = agg.writeStream.outputMode("append").foreachBatch(batch_writer(fns, out_dir))
+        writer = agg.writeStream.outputMode("append").foreachBatch(
+            batch_writer(fns, out_dir, persist=len(fns) > 1))
     else:
-        write = batch_writer(fns, out_dir, persist=True)
+        write = batch_writer(fns, out_dir, persist=len(fns) > 1)
 
         def per_batch(batch: DataFrame, batch_id: int) -> None:
             write(k.hourly(batch, by="text"), batch_id)

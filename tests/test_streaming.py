@@ -127,3 +127,24 @@ def test_batch_queries_over_the_streamed_archive(spark):
     direct = stored_weather(spark, SF_SMALL)
     for fn in (daily.top10_hot_days, daily.days_to_water, daily.last_3_days_trend):
         assert as_set(fn(from_archive)) == as_set(fn(direct))
+
+
+def test_redelivered_readings_are_dropped_with_dedupe(spark):
+    rows = [(WEATHER_TOPIC, weather_line(1, "2020-01-02 03:10:00", 1.0)),
+            (WEATHER_TOPIC, weather_line(2, "2020-01-02 03:20:00", 3.0)),
+            (WEATHER_TOPIC, weather_line(3, "2020-01-02 05:00:00", 7.0))]
+    results = {}
+    for dedupe in (False, True):
+        src = fresh_path(spark, f"t-dedupe-{dedupe}")
+        channel(spark, rows[:2]).coalesce(1).write.mode("append").parquet(src)
+        channel(spark, rows[1:]).coalesce(1).write.mode("append").parquet(src)  # reading 2 again
+        out, ckpt = fresh_path(spark, "t-dedupe-out"), fresh_path(spark, "t-dedupe-ckpt")
+        settings = replace(SETTINGS, dedupe=dedupe)
+        ch = channel_files(spark, src, streaming=True, max_files_per_trigger=1)
+        q = start_hourly(ch, "meteo", out, ckpt, settings, results=["temperature_alert"])
+        q.awaitTermination(600)
+        assert q.exception() is None
+        df = read_batches(spark, out, "temperature_alert")
+        results[dedupe] = [tuple(r) for r in df.collect()]
+    assert results[True] == [("2020-01-02 03", 2.0)]
+    assert results[False] == [("2020-01-02 03", 2.333333333)]
