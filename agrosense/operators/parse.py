@@ -62,11 +62,11 @@ def split_line(n: int, line: str = "value") -> Column:
     return F.when(has_quote(v), quoted).otherwise(plain)
 
 
-def _field(parts: str, pos: int) -> Column:
+def _field(parts: str, pos: int, name: str) -> str:
     # The CSV parser turns an empty field into null; a position that exists in the line is
     # kept as the empty string, as it was received. Missing positions cannot occur here
-    # because lines with too few fields are rejected first.
-    return F.coalesce(F.get(F.col(parts), pos), F.lit(""))
+    # because lines with too few fields are rejected first. (SQL text: one projection call.)
+    return f"coalesce(get({parts}, {pos}), '') AS `{name}`"
 
 
 def weather_records(channel: DataFrame, topics: Sequence[str] | None = None) -> DataFrame:
@@ -75,8 +75,8 @@ def weather_records(channel: DataFrame, topics: Sequence[str] | None = None) ->
     lines = routed.where((F.col("kind") == KIND_WEATHER)
                          & (field_count("value") >= WEATHER_MIN_FIELDS))
     parts = lines.select("topic", split_line(WEATHER_MIN_FIELDS).alias("parts"))
-    return parts.select("topic", *[_field("parts", i).alias(name)
-                                   for i, name in enumerate(WEATHER_FIELDS)])
+    return parts.selectExpr("topic", *[_field("parts", i, name)
+                                       for i, name in enumerate(WEATHER_FIELDS)])
 
 
 def soil_records(channel: DataFrame, topics: Sequence[str] | None = None) -> DataFrame:
@@ -85,8 +85,8 @@ def soil_records(channel: DataFrame, topics: Sequence[str] | None = None) -> Dat
     lines = routed.where((F.col("kind") == KIND_SOIL)
                          & (field_count("value") >= SOIL_MIN_FIELDS))
     parts = lines.select("topic", split_line(SOIL_MIN_FIELDS).alias("parts"))
-    return parts.select("topic", *[_field("parts", pos).alias(name)
-                                   for name, pos in SOIL_POSITIONS.items()])
+    return parts.selectExpr("topic", *[_field("parts", pos, name)
+                                       for name, pos in SOIL_POSITIONS.items()])
 
 
 def rejected_lines(channel: DataFrame, topics: Sequence[str] | None = None) -> DataFrame:

@@ -103,8 +103,10 @@ def channel_records(events: DataFrame) -> DataFrame:
     return s.select(F.inline(F.array(record)))
 
 
-def _text(c) -> Column:
-    return F.coalesce(F.col(c).cast("string"), F.lit("")) if c else F.lit("")
+def _text(source: str | None, name: str) -> str:
+    # One SQL projection for all fields keeps plan building to a single call.
+    value = f"coalesce(cast({source} AS STRING), '')" if source else "''"
+    return f"{value} AS `{name}`"
 
 
 def stored_weather_records(events: DataFrame) -> DataFrame:
@@ -116,11 +118,11 @@ def stored_weather_records(events: DataFrame) -> DataFrame:
     s = sensor_events(events).where(F.col("is_weather"))
     source = {"_id": "_id", "data_ora": "time_text", "temp1_media": "temp1_media",
               "ur1_media": "ur1_media", "pioggia_mm": "pioggia_mm"}
-    return s.select("topic", *[_text(source.get(f)).alias(f) for f in WEATHER_FIELDS])
+    return s.selectExpr("topic", *[_text(source.get(f), f) for f in WEATHER_FIELDS])
 
 
 def stored_soil_records(events: DataFrame) -> DataFrame:
     """The stored soil table (topic + six named text fields)."""
     s = sensor_events(events).where(~F.col("is_weather"))
     source = {"timestamp": "time_text"}
-    return s.select("topic", *[_text(source.get(f, f)).alias(f) for f in SOIL_POSITIONS])
+    return s.selectExpr("topic", *[_text(source.get(f, f), f) for f in SOIL_POSITIONS])

@@ -12,9 +12,18 @@ EVENTS_SCHEMA = ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type
                  "value DOUBLE, props STRING")
 
 
+KNOWN_SCHEMAS = {"events": EVENTS_SCHEMA}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the generated tables, e.g. ``table(spark, '/root/testdata/sf0.01', 'events')``."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One of the generated tables, e.g. ``table(spark, '/root/testdata/sf0.01', 'events')``.
+
+    A known schema is passed to the reader, so no file footer is read to infer it.
+    """
+    reader = spark.read
+    if name in KNOWN_SCHEMAS:
+        reader = reader.schema(KNOWN_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def events_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
