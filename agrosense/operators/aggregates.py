@@ -44,6 +44,54 @@ def daily_weather(readings: DataFrame, th: Thresholds = DEFAULT) -> DataFrame:
     )
 
 
+def daily_partials(readings: DataFrame, th: Thresholds = DEFAULT) -> DataFrame:
+    """Additive per-(topic, day) pieces of every ``daily_weather`` measure.
+
+    Sums, counts, conditional counts and any-flags add up across pieces, so partials
+    written per micro-batch (or per file, or per load) combine into the exact daily frame
+    with ``daily_from_partials`` — without re-reading the readings. The hot-reading and rain
+    thresholds are applied here, so partials serve those thresholds only.
+    """
+    t, h, r = F.col("temp1_media"), F.col("ur1_media"), F.col("pioggia_mm")
+    th_ok = t.isNotNull() & h.isNotNull()
+    tr_ok = t.isNotNull() & r.isNotNull()
+    return (
+        readings.where(F.col("day").isNotNull())
+        .groupBy("topic", "day")
+        .agg(
+            F.sum(t).alias("sum_temp"),
+            F.count(t).alias("n_temp"),
+            F.sum(h).alias("sum_humidity"),
+            F.count(h).alias("n_humidity"),
+            F.sum(F.when(th_ok, t)).alias("sum_trend_temp"),
+            F.sum(F.when(th_ok, h)).alias("sum_trend_humidity"),
+            F.count_if(th_ok).alias("n_trend"),
+            F.count_if(tr_ok & java_gt(t, th.hot_reading_min)).alias("totTempOver22"),
+            F.bool_or(tr_ok & java_gt(r, th.rain_reading_min)).alias("isRained"),
+            F.count_if(tr_ok).alias("n_water"),
+        )
+    )
+
+
+def daily_from_partials(partials: DataFrame) -> DataFrame:
+    """Combine ``daily_partials`` into the ``daily_weather`` frame (same columns)."""
+    def mean(total: str, count: str):
+        return F.try_divide(F.sum(total), F.sum(count))
+
+    return partials.groupBy("day").agg(
+        mean("sum_temp", "n_temp").alias("avg_temp"),
+        F.sum("n_temp").alias("n_temp"),
+        mean("sum_humidity", "n_humidity").alias("avg_humidity"),
+        F.sum("n_humidity").alias("n_humidity"),
+        mean("sum_trend_temp", "n_trend").alias("trend_temp"),
+        mean("sum_trend_humidity", "n_trend").alias("trend_humidity"),
+        F.sum("n_trend").alias("n_trend"),
+        F.sum("totTempOver22").alias("totTempOver22"),
+        F.bool_or("isRained").alias("isRained"),
+        F.sum("n_water").alias("n_water"),
+    )
+
+
 def _hour_keys(by: str, window: str) -> tuple[list[Column], list[Column]]:
     if by == "text":
         return [F.col("topic"), F.col("hour")], [F.col("topic"), F.col("hour")]

@@ -195,4 +195,5 @@ SELECT topic, count(*) AS n_rows, min(CAST(_id AS INTEGER)) AS min_id,
        {_r('avg(water)', 9)} AS avg_water
 FROM soil GROUP BY topic"""),
     "route_topics_stream": ORACLE_SQL["route_topics"],
+    "daily_means_rollup": ORACLE_SQL["daily_means"],
 })

@@ -24,7 +24,7 @@ from agrosense.session import fresh_path
 from agrosense.sinks.results import read_batches
 from agrosense.sources.events_adapter import stored_soil_records, stored_weather_records
 from agrosense.sources.files import csv_import, csv_replay
-from agrosense.sources.tables import events_channel, table
+from agrosense.sources.tables import events_channel, stored_daily, table
 from agrosense.streaming.replay import run_raw_archive, stream_raw, stream_result
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -151,12 +151,19 @@ def route_topics_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("kind", kind_of("topic")))
 
 
+def daily_means_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``daily_means`` from the daily partials the streaming ingest writes per micro-batch."""
+    out = run_raw_archive(spark, sf_dir)
+    return daily.daily_means(stored_daily(spark, f"{out}/daily_partials"))
+
+
 STREAM_QUERIES: dict[str, Query] = {
     **{f"{name}_stream": _stream(name) for name in
        ("temperature_alert", "dont_irrigate", "water_content_alert",
         "water_temperature_ratio", "combined_sickness_alert")},
     "raw_ingest_stream": raw_ingest_stream,
     "route_topics_stream": route_topics_stream,
+    "daily_means_rollup": daily_means_rollup,
 }
 
 ALL_QUERIES: dict[str, Query] = {**BATCH_QUERIES, **STREAM_QUERIES}

@@ -59,3 +59,17 @@ def stored_readings(spark: SparkSession, path: str, kind: str | None = None,
     elif kind == "suolo":
         df = df.where(~F.col("topic").contains(WEATHER_MARK) & F.col("topic").contains(SOIL_MARK))
     return df
+
+
+def stored_daily(spark: SparkSession, path: str, topics: list[str] | None = None) -> DataFrame:
+    """The daily frame combined from the archive's ``daily_partials`` table.
+
+    Reads (topic, day) pieces — a few rows per day and micro-batch — instead of every
+    stored reading; the daily queries accept it in place of ``daily_weather``.
+    """
+    from agrosense.operators.aggregates import daily_from_partials
+
+    df = spark.read.parquet(path)
+    if topics:
+        df = df.where(F.col("topic").isin(*topics))
+    return daily_from_partials(df)

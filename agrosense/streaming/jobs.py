@@ -28,7 +28,7 @@ from functools import partial
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from agrosense.operators.aggregates import hourly_soil, hourly_weather
+from agrosense.operators.aggregates import daily_partials, hourly_soil, hourly_weather
 from agrosense.operators.parse import rejected_lines, soil_records, weather_records
 from agrosense.operators.readings import soil_readings, weather_readings
 from agrosense.params import DEFAULT, StreamSettings, Thresholds
@@ -44,7 +44,7 @@ SOIL_RESULTS: dict[str, Callable] = {
     "water_temperature_ratio": hourly.water_temperature_ratio,
     "combined_sickness_alert": hourly.combined_sickness_alert,
 }
-RAW_TABLES = ("meteo", "suolo", "rejected")
+RAW_TABLES = ("meteo", "suolo", "rejected", "daily_partials")
 
 
 @dataclass(frozen=True)
@@ -114,24 +114,29 @@ def start_hourly(channel: DataFrame, kind: str, out_dir: str, checkpoint: str,
     return _start(writer, settings, checkpoint, f"{kind}_hourly")
 
 
-def _raw_tables(topics):
+def _raw_tables(topics, th: Thresholds):
     return {
         "meteo": lambda b: weather_records(b, topics),
         "suolo": lambda b: soil_records(b, topics),
         "rejected": lambda b: rejected_lines(b, topics),
+        "daily_partials": lambda b: daily_partials(weather_readings(weather_records(b, topics)), th),
     }
 
 
 def start_raw_archive(channel: DataFrame, out_dir: str, checkpoint: str,
                       settings: StreamSettings = StreamSettings(),
-                      topics: Sequence[str] | None = None) -> StreamingQuery:
+                      topics: Sequence[str] | None = None,
+                      th: Thresholds = DEFAULT) -> StreamingQuery:
     """Archive every reading as text records: ``<out>/meteo``, ``<out>/suolo``, ``<out>/rejected``.
 
-    One read of the channel per micro-batch serves all three tables.
+    One read of the channel per micro-batch serves all tables. Alongside, the batch's
+    additive daily partials go to ``<out>/daily_partials``: the daily results can then be
+    computed from a table of (topic, day) pieces instead of a scan of the whole archive
+    (``sources.tables.stored_daily``).
     """
     by_topic = {"meteo": ["topic"], "suolo": ["topic"]}
     writer = channel.select("topic", "value").writeStream.foreachBatch(
-        batch_writer(_raw_tables(topics), out_dir, partition_by=by_topic))
+        batch_writer(_raw_tables(topics, th), out_dir, partition_by=by_topic))
     return _start(writer, settings, checkpoint, "raw_archive")
 
 
@@ -148,7 +153,8 @@ def start_all(channel: DataFrame, out_dir: str, checkpoint_root: str,
               topics: Sequence[str] | None = None) -> list[StreamingQuery]:
     """Raw archive plus both hourly jobs (the reference's whole streaming side)."""
     return [
-        start_raw_archive(channel, f"{out_dir}/raw", f"{checkpoint_root}/raw", settings, topics),
+        start_raw_archive(channel, f"{out_dir}/raw", f"{checkpoint_root}/raw", settings, topics,
+                          th),
         start_hourly(channel, "meteo", out_dir, f"{checkpoint_root}/meteo", settings, th, topics),
         start_hourly(channel, "suolo", out_dir, f"{checkpoint_root}/suolo", settings, th, topics),
     ]
