@@ -196,4 +196,7 @@ SELECT topic, count(*) AS n_rows, min(CAST(_id AS INTEGER)) AS min_id,
 FROM soil GROUP BY topic"""),
     "route_topics_stream": ORACLE_SQL["route_topics"],
     "daily_means_rollup": ORACLE_SQL["daily_means"],
+    # One file is one micro-batch, so the per-batch form equals the batch form.
+    "temperature_alert_per_batch": ORACLE_SQL["temperature_alert"],
+    "water_content_alert_per_batch": ORACLE_SQL["water_content_alert"],
 })

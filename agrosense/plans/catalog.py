@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from agrosense.operators.aggregates import hourly_soil, hourly_weather
 from agrosense.operators.parse import kind_of, route, soil_records, weather_records
 from agrosense.operators.readings import weather_readings
-from agrosense.params import DEFAULT
+from agrosense.params import DEFAULT, StreamSettings
 from agrosense.plans import daily, hourly
 from agrosense.plans.pipeline import (
     soil_from_events,
@@ -136,6 +136,14 @@ def _stream(name: str) -> Query:
     return run
 
 
+def _per_batch(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return stream_result(spark, sf_dir, name, StreamSettings(mode="per_batch"))
+    run.__doc__ = (f"``{name}`` from the streaming job in the reference's per-micro-batch mode "
+                   "(each batch aggregated on its own; one file here is one batch).")
+    return run
+
+
 def raw_ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weather records written by the streaming raw archive."""
     return stream_raw(spark, sf_dir, "meteo")
@@ -164,6 +172,8 @@ STREAM_QUERIES: dict[str, Query] = {
     "raw_ingest_stream": raw_ingest_stream,
     "route_topics_stream": route_topics_stream,
     "daily_means_rollup": daily_means_rollup,
+    "temperature_alert_per_batch": _per_batch("temperature_alert"),
+    "water_content_alert_per_batch": _per_batch("water_content_alert"),
 }
 
 ALL_QUERIES: dict[str, Query] = {**BATCH_QUERIES, **STREAM_QUERIES}
