@@ -12,14 +12,27 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def to_number(c) -> Column:
-    """Text -> double; text that is not a number becomes null (rejected per query)."""
-    return _col(c).try_cast("double")
+ON_ERROR = ("quarantine", "fail")
 
 
-def reading_time(text) -> Column:
-    """Parse a reading's time text; null when it does not match the layout."""
-    return F.try_to_timestamp(_col(text), F.lit(TIME_FORMAT))
+def _fail_on_null(parsed: Column, text: Column, what: str) -> Column:
+    bad = text.isNotNull() & parsed.isNull()
+    return F.when(bad, F.raise_error(F.concat(F.lit(f"not {what}: "), text))).otherwise(parsed)
+
+
+def to_number(c, on_error: str = "quarantine") -> Column:
+    """Text -> double. ``quarantine``: text that is not a number becomes null (rejected per
+    query); ``fail``: the query stops with an error naming the text."""
+    text = _col(c)
+    parsed = text.try_cast("double")
+    return _fail_on_null(parsed, text, "a number") if on_error == "fail" else parsed
+
+
+def reading_time(text, on_error: str = "quarantine") -> Column:
+    """Parse a reading's time text; null (or an error with ``fail``) when it does not match."""
+    t = _col(text)
+    parsed = F.try_to_timestamp(t, F.lit(TIME_FORMAT))
+    return _fail_on_null(parsed, t, "a reading time") if on_error == "fail" else parsed
 
 
 def day_key(text) -> Column:

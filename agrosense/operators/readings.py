@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from agrosense.functions.columns import day_key, hour_key, reading_time, to_number
 
 
-def _time_columns(text: str):
-    t = reading_time(text)
+def _time_columns(text: str, on_error: str):
+    t = reading_time(text, on_error)
     valid = t.isNotNull()
     return [
         t.alias("event_time"),
@@ -26,25 +26,30 @@ def _time_columns(text: str):
     ]
 
 
-def weather_readings(records: DataFrame) -> DataFrame:
-    """topic, _id, data_ora, event_time, day, hour, temp1_media, ur1_media, pioggia_mm."""
+def weather_readings(records: DataFrame, on_error: str = "quarantine") -> DataFrame:
+    """topic, _id, data_ora, event_time, day, hour, temp1_media, ur1_media, pioggia_mm.
+
+    ``on_error='fail'`` stops the query on the first field that does not parse (the
+    reference's behaviour) instead of nulling it for a per-query reject.
+    """
     return records.select(
-        "topic", "_id", "data_ora", *_time_columns("data_ora"),
-        to_number("temp1_media").alias("temp1_media"),
-        to_number("ur1_media").alias("ur1_media"),
-        to_number("pioggia_mm").alias("pioggia_mm"),
+        "topic", "_id", "data_ora", *_time_columns("data_ora", on_error),
+        to_number("temp1_media", on_error).alias("temp1_media"),
+        to_number("ur1_media", on_error).alias("ur1_media"),
+        to_number("pioggia_mm", on_error).alias("pioggia_mm"),
     )
 
 
-def soil_readings(records: DataFrame) -> DataFrame:
+def soil_readings(records: DataFrame, on_error: str = "quarantine") -> DataFrame:
     """topic, _id, timestamp, event_time, day, hour, the four probes, and the pair means.
 
     ``water`` is the mean of the two probes' water content, ``soil_temp`` the mean of their
     temperatures (null when either probe is null).
     """
     typed = records.select(
-        "topic", "_id", "timestamp", *_time_columns("timestamp"),
-        *[to_number(c).alias(c) for c in ("water_0", "temperature_0", "water_1", "temperature_1")],
+        "topic", "_id", "timestamp", *_time_columns("timestamp", on_error),
+        *[to_number(c, on_error).alias(c)
+          for c in ("water_0", "temperature_0", "water_1", "temperature_1")],
     )
     return typed.withColumns({
         "water": (F.col("water_0") + F.col("water_1")) / 2,

@@ -87,3 +87,31 @@ def test_bad_numbers_and_times_become_null(spark):
     assert r["2"].event_time is None and r["2"].day is None and r["2"].hour is None
     assert r["3"].temp1_media != r["3"].temp1_media  # NaN
     assert r["1"].hour == "2020-01-02 03"
+
+
+def test_rejected_readings_name_the_failing_field(spark):
+    from agrosense.operators.readings import rejected_readings
+
+    ch = channel(spark, [
+        (WEATHER_TOPIC, weather_line(1, "2020-01-02 03:04:05", "x", 50, 0)),
+        (WEATHER_TOPIC, weather_line(2, "bad time", 1.0, 50, 0)),
+        (WEATHER_TOPIC, weather_line(3, "2020-01-02 03:04:05", 1.0, 50, "?")),
+        (WEATHER_TOPIC, weather_line(4, "2020-01-02 03:04:05", 1.0, 50, 0)),
+    ])
+    readings = weather_readings(weather_records(ch))
+    got = {r._id: r.reason for r in
+           rejected_readings(readings, ["temp1_media", "pioggia_mm"]).collect()}
+    assert got == {"1": "bad_number:temp1_media", "2": "bad_timestamp",
+                   "3": "bad_number:pioggia_mm"}
+    assert rejected_readings(readings, ["temp1_media"]).count() == 2
+
+
+def test_fail_policy_stops_on_bad_text(spark):
+    import pytest
+
+    ch = channel(spark, [(WEATHER_TOPIC, weather_line(1, "2020-01-02 03:04:05", "x", 50, 0))])
+    with pytest.raises(Exception) as err:
+        weather_readings(weather_records(ch), on_error="fail").collect()
+    assert "not a number: x" in str(err.value)
+    ok = channel(spark, [(WEATHER_TOPIC, weather_line(1, "2020-01-02 03:04:05", 1.5, 50, 0))])
+    assert weather_readings(weather_records(ok), on_error="fail").first().temp1_media == 1.5
