@@ -41,6 +41,10 @@ class StreamSettings:
     soil_delay: str = "1 hour"                # watermark delay, soil stream (nodes drift)
     window: str = "1 hour"
     mode: str = "event_time"                  # or "per_batch" (the reference's behaviour)
+    state_partitions: int | None = None       # partitions of the stateful aggregate; its
+                                              # keys are (topic, open hour), so size it to
+                                              # the number of sensors, not the data volume.
+                                              # None = the session's shuffle partitions.
     dedupe: bool = False                      # drop redelivered readings (same topic and
                                               # _id) within the watermark delay
     max_files_per_trigger: int | None = None

@@ -83,13 +83,26 @@ def hourly_stream(channel: DataFrame, kind: str, settings: StreamSettings = Stre
     return k.hourly(readings, by="window", window=settings.window)
 
 
-def _start(writer, settings: StreamSettings, checkpoint: str, name: str) -> StreamingQuery:
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+
+
+def _start(writer, settings: StreamSettings, checkpoint: str, name: str,
+           spark=None) -> StreamingQuery:
     writer = writer.option("checkpointLocation", checkpoint).queryName(name)
     if settings.available_now:
         writer = writer.trigger(availableNow=True)
     else:
         writer = writer.trigger(processingTime=f"{settings.trigger_seconds} seconds")
-    return writer.start()
+    if spark is None or not settings.state_partitions:
+        return writer.start()
+    # A streaming query copies the session's settings when it starts and keeps the state
+    # partition count in its checkpoint; the session is restored right after.
+    previous = spark.conf.get(SHUFFLE_PARTITIONS)
+    spark.conf.set(SHUFFLE_PARTITIONS, str(settings.state_partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(SHUFFLE_PARTITIONS, previous)
 
 
 def start_hourly(channel: DataFrame, kind: str, out_dir: str, checkpoint: str,
@@ -111,7 +124,7 @@ def start_hourly(channel: DataFrame, kind: str, out_dir: str, checkpoint: str,
             write(k.hourly(batch, by="text"), batch_id)
 
         writer = readings_stream(channel, kind, topics).writeStream.foreachBatch(per_batch)
-    return _start(writer, settings, checkpoint, f"{kind}_hourly")
+    return _start(writer, settings, checkpoint, f"{kind}_hourly", channel.sparkSession)
 
 
 def _raw_tables(topics, th: Thresholds):

@@ -18,11 +18,16 @@ from agrosense.sources.tables import events_channel_stream
 from agrosense.streaming.jobs import KINDS, start_hourly, start_raw_archive
 
 
+# The events adapter has ten sensors, so the hourly state holds tens of keys.
+REPLAY_STATE_PARTITIONS = 8
+
+
 def run_hourly(spark: SparkSession, sf_dir: str, kind: str,
                settings: StreamSettings = StreamSettings(), th: Thresholds = DEFAULT,
                results=None, timeout_s: int = 3600) -> str:
     """Process the whole ``events`` table through one hourly job; returns the output folder."""
-    settings = replace(settings, available_now=True)
+    settings = replace(settings, available_now=True,
+                       state_partitions=settings.state_partitions or REPLAY_STATE_PARTITIONS)
     base = fresh_path(spark, f"stream-{kind}")
     channel = events_channel_stream(spark, sf_dir, settings.max_files_per_trigger)
     q = start_hourly(channel, kind, f"{base}/out", f"{base}/checkpoint", settings, th,
