@@ -103,3 +103,17 @@ def test_results_do_not_depend_on_partitioning(spark):
         if src is ev:
             base = got
         assert got == base
+
+
+EXPECTED_SF0001 = {  # FIXTURES.md section 4
+    "top10_hot_days": 10, "top10_cold_days": 10, "top10_humid_days": 10,
+    "days_to_water": 0, "last_3_days_trend": 1, "temperature_alert": 278,
+    "dont_irrigate": 301, "dont_irrigate_rain_gt_0": 10, "water_content_alert": 283,
+    "water_temperature_ratio": 570, "combined_sickness_alert": 430,
+    "parse_lines_meteo": 398, "parse_lines_soil": 602,
+}
+
+
+@pytest.mark.parametrize("name", sorted(EXPECTED_SF0001))
+def test_expected_row_counts(spark, name):
+    assert QUERIES[name](spark, SF_SMALL).count() == EXPECTED_SF0001[name]
