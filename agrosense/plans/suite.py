@@ -27,15 +27,20 @@ SUITE = (
 )
 
 
-def batch_results(readings: DataFrame, th: Thresholds = DEFAULT) -> tuple[DataFrame, dict]:
-    """The persisted daily frame and the five result frames derived from it."""
-    d = daily_weather(readings, th).persist(StorageLevel.MEMORY_AND_DISK)
+def batch_results(src: DataFrame, th: Thresholds = DEFAULT) -> tuple[DataFrame, dict]:
+    """The persisted daily frame and the five result frames derived from it.
+
+    ``src`` is either typed weather readings or a daily frame already combined (e.g. from
+    the archive's daily partials, ``sources.tables.stored_daily``).
+    """
+    d = src if "n_trend" in src.columns else daily_weather(src, th)
+    d = d.persist(StorageLevel.MEMORY_AND_DISK)
     return d, {name: fn(d, th) for name, fn, _ in SUITE}
 
 
-def run_batch_suite(readings: DataFrame, out_dir: str, th: Thresholds = DEFAULT) -> dict:
+def run_batch_suite(src: DataFrame, out_dir: str, th: Thresholds = DEFAULT) -> dict:
     """Compute and write all five daily results; returns ``name -> path``."""
-    d, results = batch_results(readings, th)
+    d, results = batch_results(src, th)
     paths = {}
     try:
         for name, _, mode in SUITE:
