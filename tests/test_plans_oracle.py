@@ -72,6 +72,7 @@ def test_no_python_in_plans(spark, name):
 def test_top_k_uses_take_ordered(spark, name):
     plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
+    assert "SinglePartition" not in plan          # no one-partition exchange of the input
 
 
 @pytest.mark.parametrize("name", ["top10_hot_days", "days_to_water", "temperature_alert",
