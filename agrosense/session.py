@@ -55,14 +55,17 @@ def work_dir(spark: SparkSession) -> str:
     runs) does it create and register a local one.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session has no SparkContext
+        sc = None
+    if not root and sc is not None:
+        root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="agrosense-")
-        spark.sparkContext.setCheckpointDir(root)
-        root = spark.sparkContext.getCheckpointDir() or root
+        if sc is not None:
+            sc.setCheckpointDir(root)
+            root = sc.getCheckpointDir() or root
     return root.rstrip("/")
 
 
