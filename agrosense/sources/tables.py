@@ -44,12 +44,20 @@ def events_channel_stream(spark: SparkSession, sf_dir: str,
     return channel_records(reader.parquet(sf_dir.rstrip("/")))
 
 
-def stored_readings(spark: SparkSession, path: str, kind: str | None = None,
-                    topics: list[str] | None = None) -> DataFrame:
-    """Scan the raw archive written by ``sinks.raw_archive`` (parquet, ``topic=`` folders).
+TIME_FIELD = {"meteo": "data_ora", "suolo": "timestamp"}
+
 
-    Filters on ``topic`` prune folders at planning time; ``kind`` selects weather or soil
-    topics by their name mark, as the reference's per-topic collections do.
+def stored_readings(spark: SparkSession, path: str, kind: str | None = None,
+                    topics: list[str] | None = None, since: str | None = None,
+                    until: str | None = None) -> DataFrame:
+    """Scan the raw archive written by ``streaming.jobs.start_raw_archive``.
+
+    Filters on ``topic`` prune ``topic=`` folders at planning time; ``kind`` selects weather
+    or soil topics by their name mark, as the reference's per-topic collections do.
+    ``since`` / ``until`` (time text, ``until`` exclusive, e.g. ``'2024-01-05'``) compare the
+    reading's time text; the comparison is pushed to the parquet reader, and because the
+    archive is written per micro-batch its files are clustered in time, so min/max
+    statistics skip the files and row groups outside the range.
     """
     df = spark.read.parquet(path)
     if topics:
@@ -58,6 +66,14 @@ def stored_readings(spark: SparkSession, path: str, kind: str | None = None,
         df = df.where(F.col("topic").contains(WEATHER_MARK))
     elif kind == "suolo":
         df = df.where(~F.col("topic").contains(WEATHER_MARK) & F.col("topic").contains(SOIL_MARK))
+    if since or until:
+        if kind not in TIME_FIELD:
+            raise ValueError("a time range needs kind='meteo' or kind='suolo'")
+        t = F.col(TIME_FIELD[kind])
+        if since:
+            df = df.where(t >= F.lit(since))
+        if until:
+            df = df.where(t < F.lit(until))
     return df
 
 

@@ -171,3 +171,18 @@ def test_daily_results_from_streamed_partials(spark):
     for fn in (daily.top10_hot_days, daily.top10_cold_days, daily.top10_humid_days,
                daily.days_to_water, daily.daily_means, daily.last_3_days_trend):
         assert as_set(fn(rolled)) == as_set(fn(direct)), fn.__name__
+
+
+def test_archive_time_range_is_pushed_to_the_scan(spark):
+    from agrosense.operators.readings import weather_readings
+    from agrosense.plans import hourly as hourly_plans
+    from agrosense.sources.tables import stored_readings
+    from agrosense.streaming.replay import run_raw_archive
+
+    out = run_raw_archive(spark, SF_SMALL)
+    part = stored_readings(spark, f"{out}/meteo", "meteo", since="2024-01-05", until="2024-01-07")
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "GreaterThanOrEqual(data_ora,2024-01-05)" in plan
+    got = hourly_plans.temperature_alert(hourly_weather(weather_readings(part)))
+    days = {r.hour[:10] for r in got.collect()}
+    assert days == {"2024-01-05", "2024-01-06"}
