@@ -5,7 +5,7 @@
                                          [--checkpoint DIR] [--mode event_time|per_batch]
                                          [--available-now] [--state-partitions N] [--dedupe]
     spark-submit agrosense/cli.py batch --archive DIR --out DIR [--topics a,b]
-                                        [--from-partials]
+                                        [--from-partials | --since DAY --until DAY]
 
 ``replay`` publishes a sensor CSV as channel records, ``stream`` runs the raw archive and the
 hourly jobs until stopped (or once over what is there with ``--available-now``), ``batch``
@@ -66,7 +66,8 @@ def batch(spark: SparkSession, args) -> None:
     if args.from_partials:
         src = stored_daily(spark, f"{args.archive}/daily_partials", topics)
     else:
-        src = weather_readings(stored_readings(spark, f"{args.archive}/meteo", "meteo", topics))
+        src = weather_readings(stored_readings(spark, f"{args.archive}/meteo", "meteo", topics,
+                                               since=args.since, until=args.until))
     run_batch_suite(src, args.out)
 
 
@@ -96,6 +97,8 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("--out", required=True)
     b.add_argument("--topics")
     b.add_argument("--from-partials", action="store_true")
+    b.add_argument("--since", help="first day (time text), archive scans only")
+    b.add_argument("--until", help="end day, exclusive")
     return p
 
 
