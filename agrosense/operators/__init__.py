@@ -1,0 +1 @@
+"""DataFrame operators: publish/parse lines, typed views, aggregates, top-k, trend."""

@@ -1,0 +1 @@
+"""Structured Streaming jobs (raw archive, hourly results) and table replays."""
