@@ -2,8 +2,9 @@
 
 One subscription carries every sensor; the topic stays a column instead of becoming one
 stream per topic (the reference filters the full stream once per topic and output). Lines
-are split by position with ``from_csv`` (quote-aware), which drops fields past the last
-position used, so soil lines are pruned to the six named positions.
+are split by position — on the separator, or with the quote-aware ``from_csv`` when the
+line holds a quote — keeping only the positions the layout uses, so soil lines are pruned
+to the six named positions.
 
 Reject policy: a line is rejected when its topic is neither weather nor soil
 (``unknown_topic``) or it has fewer fields than its layout (``too_few_fields``). Numeric and
