@@ -2,8 +2,8 @@
 
 Three queries replace the reference's 39 per-topic output operations:
 
-* raw archive — one read of the channel per micro-batch; weather records, soil records
-  and rejected lines written from the persisted batch;
+* raw archive — one read of the channel per micro-batch; weather records, soil records,
+  rejected lines and the batch's daily partials written from the persisted batch;
 * weather hourly — one stateful aggregate (per topic and event-time hour, watermarked)
   feeding ``temperature_alert`` and ``dont_irrigate``;
 * soil hourly — one stateful aggregate feeding ``water_content_alert``,
