@@ -118,3 +118,10 @@ EXPECTED_SF0001 = {  # FIXTURES.md section 4
 @pytest.mark.parametrize("name", sorted(EXPECTED_SF0001))
 def test_expected_row_counts(spark, name):
     assert QUERIES[name](spark, SF_SMALL).count() == EXPECTED_SF0001[name]
+
+
+def test_result_columns_are_the_reference_names(spark):
+    from agrosense.schemas import RESULT_COLUMNS
+
+    for name, cols in RESULT_COLUMNS.items():
+        assert tuple(QUERIES[name](spark, SF_SMALL).columns) == cols, name
