@@ -45,6 +45,8 @@ class StreamSettings:
                                               # keys are (topic, open hour), so size it to
                                               # the number of sensors, not the data volume.
                                               # None = the session's shuffle partitions.
+    state_store: str | None = None            # "rocksdb": keep state off the JVM heap
+                                              # (many sensors); None = session default
     dedupe: bool = False                      # drop redelivered readings (same topic and
                                               # _id) within the watermark delay
     max_files_per_trigger: int | None = None
@@ -53,6 +55,8 @@ class StreamSettings:
     def __post_init__(self):
         if self.mode not in STREAM_MODES:
             raise ValueError(f"mode must be one of {STREAM_MODES}")
+        if self.state_store not in (None, "rocksdb", "hdfs"):
+            raise ValueError("state_store must be None, 'rocksdb' or 'hdfs'")
 
 
 DEFAULT = Thresholds()

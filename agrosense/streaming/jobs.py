@@ -84,6 +84,11 @@ def hourly_stream(channel: DataFrame, kind: str, settings: StreamSettings = Stre
 
 
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+STATE_STORES = {
+    "rocksdb": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "hdfs": "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider",
+}
 
 
 def _start(writer, settings: StreamSettings, checkpoint: str, name: str,
@@ -93,16 +98,26 @@ def _start(writer, settings: StreamSettings, checkpoint: str, name: str,
         writer = writer.trigger(availableNow=True)
     else:
         writer = writer.trigger(processingTime=f"{settings.trigger_seconds} seconds")
-    if spark is None or not settings.state_partitions:
+    overrides = {}
+    if settings.state_partitions:
+        overrides[SHUFFLE_PARTITIONS] = str(settings.state_partitions)
+    if settings.state_store:
+        overrides[STATE_STORE] = STATE_STORES[settings.state_store]
+    if spark is None or not overrides:
         return writer.start()
     # A streaming query copies the session's settings when it starts and keeps the state
-    # partition count in its checkpoint; the session is restored right after.
-    previous = spark.conf.get(SHUFFLE_PARTITIONS)
-    spark.conf.set(SHUFFLE_PARTITIONS, str(settings.state_partitions))
+    # partition count and store in its checkpoint; the session is restored right after.
+    previous = {key: spark.conf.get(key, None) for key in overrides}
+    for key, value in overrides.items():
+        spark.conf.set(key, value)
     try:
         return writer.start()
     finally:
-        spark.conf.set(SHUFFLE_PARTITIONS, previous)
+        for key, value in previous.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def start_hourly(channel: DataFrame, kind: str, out_dir: str, checkpoint: str,

@@ -186,3 +186,13 @@ def test_archive_time_range_is_pushed_to_the_scan(spark):
     got = hourly_plans.temperature_alert(hourly_weather(weather_readings(part)))
     days = {r.hour[:10] for r in got.collect()}
     assert days == {"2024-01-05", "2024-01-06"}
+
+
+def test_rocksdb_state_store_gives_the_same_result(spark):
+    from agrosense.streaming.replay import stream_result
+
+    settings = StreamSettings(state_store="rocksdb", state_partitions=2)
+    got = as_set(stream_result(spark, SF_SMALL, "water_content_alert", settings))
+    want = as_set(stream_result(spark, SF_SMALL, "water_content_alert"))
+    assert got == want and len(got) > 100
+    assert "RocksDB" not in spark.conf.get("spark.sql.streaming.stateStore.providerClass", "")
