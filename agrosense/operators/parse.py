@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from agrosense.functions.columns import field_count, has_quote
 from agrosense.schemas import (
+    LINE_CSV_OPTIONS,
     SEPARATOR,
     SOIL_MARK,
     SOIL_MIN_FIELDS,
@@ -57,7 +58,7 @@ def split_line(n: int, line: str = "value") -> Column:
     Both give the same fields for a plain line.
     """
     v = F.col(line)
-    parsed = F.from_csv(v, positional_schema(n), {"sep": SEPARATOR})
+    parsed = F.from_csv(v, positional_schema(n), LINE_CSV_OPTIONS)
     quoted = F.array(*[parsed[f"p{i}"] for i in range(n)])
     plain = F.slice(F.split(v, SEPARATOR, -1), 1, n)
     return F.when(has_quote(v), quoted).otherwise(plain)

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from agrosense.schemas import SEPARATOR, TOPIC_PREFIX
+from agrosense.schemas import LINE_CSV_OPTIONS, TOPIC_PREFIX
 
 
 def encode_line(fields: Sequence[Column | None]) -> Column:
@@ -22,7 +22,7 @@ def encode_line(fields: Sequence[Column | None]) -> Column:
         (F.lit(None).cast("string") if f is None else f.cast("string")).alias(f"p{i}")
         for i, f in enumerate(fields)
     ]
-    return F.to_csv(F.struct(*parts), {"sep": SEPARATOR})
+    return F.to_csv(F.struct(*parts), LINE_CSV_OPTIONS)
 
 
 def channel_name(source, prefix: str = TOPIC_PREFIX) -> Column:

@@ -72,6 +72,12 @@ HOUR_FORMAT = "yyyy-MM-dd HH"
 DATE_TEXT_FORMAT = "EEE MMM dd HH:mm:ss zzz yyyy"
 # ---------------------------------------------------------------------------------------
 
+# Channel lines quote like RFC 4180: a field holding the separator or a quote is quoted and
+# a quote inside it doubled (``a"b`` -> ``"a""b"``); backslashes are ordinary characters and
+# spaces are kept (the CSV writer would trim them by default).
+LINE_CSV_OPTIONS = {"sep": SEPARATOR, "quote": '"', "escape": '"',
+                    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
 WEATHER_MIN_FIELDS = len(WEATHER_FIELDS)
 SOIL_MIN_FIELDS = max(SOIL_POSITIONS.values()) + 1
 SOIL_FIELDS = tuple(SOIL_POSITIONS)

@@ -115,3 +115,22 @@ def test_fail_policy_stops_on_bad_text(spark):
     assert "not a number: x" in str(err.value)
     ok = channel(spark, [(WEATHER_TOPIC, weather_line(1, "2020-01-02 03:04:05", 1.5, 50, 0))])
     assert weather_readings(weather_records(ok), on_error="fail").first().temp1_media == 1.5
+
+
+def test_publish_parse_round_trip_random_fields(spark):
+    import random
+
+    rnd = random.Random(11)
+    alphabet = ["a", "1", ";", '"', " ", ".", ",", "\\\\", "x"]
+    rows = []
+    for i in range(300):
+        fields = ["".join(rnd.choice(alphabet) for _ in range(rnd.randrange(0, 6)))
+                  if rnd.random() > 0.1 else None for _ in range(20)]
+        fields[0] = str(i)
+        rows.append(tuple(fields))
+    src = spark.createDataFrame(rows, ", ".join(f"f{i} STRING" for i in range(20)))
+    ch = publish(src, F.lit("meteo_x"), [f"f{i}" for i in range(20)])
+    got = {r["_id"]: tuple(r[f] for f in WEATHER_FIELDS) for r in weather_records(ch).collect()}
+    assert len(got) == 300
+    for row in rows:
+        assert got[row[0]] == tuple("" if v is None else v for v in row), row
