@@ -196,3 +196,44 @@ def test_rocksdb_state_store_gives_the_same_result(spark):
     want = as_set(stream_result(spark, SF_SMALL, "water_content_alert"))
     assert got == want and len(got) > 100
     assert "RocksDB" not in spark.conf.get("spark.sql.streaming.stateStore.providerClass", "")
+
+
+def test_streaming_csv_replay_feeds_the_hourly_job(spark):
+    """Sensor CSV files replayed as a stream (one file per trigger) into the hourly job."""
+    import os
+
+    from agrosense.session import local_path
+    from agrosense.sources.files import csv_replay
+
+    folder = local_path(fresh_path(spark, "t-csv-stream"))
+    os.makedirs(folder)
+    header = ";".join(f"c{i}" for i in range(20))
+    for n, rows in enumerate([[("2020-01-02 03:10:00", 1.0), ("2020-01-02 03:50:00", 3.0)],
+                              [("2020-01-02 05:00:00", 9.0)]]):
+        with open(os.path.join(folder, f"meteo_{n}.csv"), "w") as f:
+            f.write(header + "\n")
+            for i, (ts, t) in enumerate(rows):
+                f.write(weather_line(f"{n}{i}", ts, t) + "\n")
+    ch = csv_replay(spark, folder, "meteo_2020", streaming=True, max_files_per_trigger=1)
+    out, ckpt = fresh_path(spark, "t-csv-out"), fresh_path(spark, "t-csv-ckpt")
+    q = start_hourly(ch, "meteo", out, ckpt, SETTINGS, results=["temperature_alert"])
+    q.awaitTermination(600)
+    assert q.exception() is None
+    assert as_set(read_batches(spark, out, "temperature_alert")) == {("2020-01-02 03", 2.0)}
+
+
+def test_archive_routes_bad_lines_to_rejected(spark):
+    from agrosense.streaming.jobs import start_raw_archive
+
+    rows = [(WEATHER_TOPIC, weather_line(1, "2020-01-02 03:10:00", 1.0)),
+            (WEATHER_TOPIC, "1;2;3"),
+            ("iotData_altro", weather_line(2, "2020-01-02 03:10:00", 1.0))]
+    src = fresh_path(spark, "t-rej-src")
+    channel(spark, rows).coalesce(1).write.parquet(src)
+    out, ckpt = fresh_path(spark, "t-rej-out"), fresh_path(spark, "t-rej-ckpt")
+    q = start_raw_archive(channel_files(spark, src, streaming=True), out, ckpt, SETTINGS)
+    q.awaitTermination(600)
+    assert q.exception() is None
+    rejected = {(r.topic, r.reason) for r in read_batches(spark, out, "rejected").collect()}
+    assert rejected == {(WEATHER_TOPIC, "too_few_fields"), ("iotData_altro", "unknown_topic")}
+    assert read_batches(spark, out, "meteo").count() == 1
