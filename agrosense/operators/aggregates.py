@@ -16,6 +16,20 @@ from agrosense.functions.columns import hour_text, java_gt
 from agrosense.params import DEFAULT, Thresholds
 
 
+VALID = "_valid_key"
+
+
+def _valid_key(key: str) -> Column:
+    # Readings whose time text does not parse have a null key. Their group is dropped after
+    # the aggregate instead of filtering rows before it: a row filter on the key would be
+    # pushed down to the scan and parse every time text a second time there.
+    return F.bool_and(F.col(key).isNotNull()).alias(VALID)
+
+
+def _keep_valid(agg: DataFrame) -> DataFrame:
+    return agg.where(F.col(VALID)).drop(VALID)
+
+
 def daily_weather(readings: DataFrame, th: Thresholds = DEFAULT) -> DataFrame:
     """Per day: means of temperature and humidity, plus the inputs of ``days_to_water``.
 
@@ -26,10 +40,10 @@ def daily_weather(readings: DataFrame, th: Thresholds = DEFAULT) -> DataFrame:
     t, h, r = F.col("temp1_media"), F.col("ur1_media"), F.col("pioggia_mm")
     th_ok = t.isNotNull() & h.isNotNull()
     tr_ok = t.isNotNull() & r.isNotNull()
-    return (
-        readings.where(F.col("day").isNotNull())
-        .groupBy("day")
+    return _keep_valid(
+        readings.groupBy("day")
         .agg(
+            _valid_key("day"),
             F.avg(t).alias("avg_temp"),
             F.count(t).alias("n_temp"),
             F.avg(h).alias("avg_humidity"),
@@ -55,10 +69,10 @@ def daily_partials(readings: DataFrame, th: Thresholds = DEFAULT) -> DataFrame:
     t, h, r = F.col("temp1_media"), F.col("ur1_media"), F.col("pioggia_mm")
     th_ok = t.isNotNull() & h.isNotNull()
     tr_ok = t.isNotNull() & r.isNotNull()
-    return (
-        readings.where(F.col("day").isNotNull())
-        .groupBy("topic", "day")
+    return _keep_valid(
+        readings.groupBy("topic", "day")
         .agg(
+            _valid_key("day"),
             F.sum(t).alias("sum_temp"),
             F.count(t).alias("n_temp"),
             F.sum(h).alias("sum_humidity"),
@@ -92,6 +106,16 @@ def daily_from_partials(partials: DataFrame) -> DataFrame:
     )
 
 
+def _hourly(readings: DataFrame, by: str, window: str, aggs: list[Column],
+            measures: list[str]) -> DataFrame:
+    group, out = _hour_keys(by, window)
+    if by == "text":
+        agg = _keep_valid(readings.groupBy(*group).agg(_valid_key("hour"), *aggs))
+    else:  # event-time windows: a reading without a time belongs to no window
+        agg = readings.where(F.col("event_time").isNotNull()).groupBy(*group).agg(*aggs)
+    return agg.select(*out, *measures)
+
+
 def _hour_keys(by: str, window: str) -> tuple[list[Column], list[Column]]:
     if by == "text":
         return [F.col("topic"), F.col("hour")], [F.col("topic"), F.col("hour")]
@@ -110,13 +134,10 @@ def hourly_weather(readings: DataFrame, by: str = "text", window: str = "1 hour"
     a tumbling event-time window (streaming, after ``withWatermark``). Both give the same
     rows for closed hours.
     """
-    group, out = _hour_keys(by, window)
     t, r = F.col("temp1_media"), F.col("pioggia_mm")
-    agg = (readings.where(F.col("event_time").isNotNull())
-           .groupBy(*group)
-           .agg(F.avg(t).alias("avg_temp"), F.count(t).alias("n_temp"),
-                F.avg(r).alias("avg_rain"), F.count(r).alias("n_rain")))
-    return agg.select(*out, "avg_temp", "n_temp", "avg_rain", "n_rain")
+    aggs = [F.avg(t).alias("avg_temp"), F.count(t).alias("n_temp"),
+            F.avg(r).alias("avg_rain"), F.count(r).alias("n_rain")]
+    return _hourly(readings, by, window, aggs, ["avg_temp", "n_temp", "avg_rain", "n_rain"])
 
 
 def hourly_soil(readings: DataFrame, by: str = "text", window: str = "1 hour") -> DataFrame:
@@ -125,13 +146,11 @@ def hourly_soil(readings: DataFrame, by: str = "text", window: str = "1 hour") -
     avg_water / n_water: over readings with both water probes; pair_water, pair_temp /
     n_pair: over readings with all four probe values (ratio and combined alert).
     """
-    group, out = _hour_keys(by, window)
     w, st = F.col("water"), F.col("soil_temp")
     pair_ok = w.isNotNull() & st.isNotNull()
-    agg = (readings.where(F.col("event_time").isNotNull())
-           .groupBy(*group)
-           .agg(F.avg(w).alias("avg_water"), F.count(w).alias("n_water"),
-                F.avg(F.when(pair_ok, w)).alias("pair_water"),
-                F.avg(F.when(pair_ok, st)).alias("pair_temp"),
-                F.count_if(pair_ok).alias("n_pair")))
-    return agg.select(*out, "avg_water", "n_water", "pair_water", "pair_temp", "n_pair")
+    aggs = [F.avg(w).alias("avg_water"), F.count(w).alias("n_water"),
+            F.avg(F.when(pair_ok, w)).alias("pair_water"),
+            F.avg(F.when(pair_ok, st)).alias("pair_temp"),
+            F.count_if(pair_ok).alias("n_pair")]
+    return _hourly(readings, by, window, aggs,
+                   ["avg_water", "n_water", "pair_water", "pair_temp", "n_pair"])
