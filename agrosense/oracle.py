@@ -197,6 +197,7 @@ FROM soil GROUP BY topic"""),
     "route_topics_stream": ORACLE_SQL["route_topics"],
     "daily_means_rollup": ORACLE_SQL["daily_means"],
     # One file is one micro-batch, so the per-batch form equals the batch form.
-    "temperature_alert_per_batch": ORACLE_SQL["temperature_alert"],
-    "water_content_alert_per_batch": ORACLE_SQL["water_content_alert"],
+    **{f"{name}_per_batch": ORACLE_SQL[name] for name in
+       ("temperature_alert", "dont_irrigate", "water_content_alert",
+        "water_temperature_ratio", "combined_sickness_alert")},
 })

@@ -172,8 +172,9 @@ STREAM_QUERIES: dict[str, Query] = {
     "raw_ingest_stream": raw_ingest_stream,
     "route_topics_stream": route_topics_stream,
     "daily_means_rollup": daily_means_rollup,
-    "temperature_alert_per_batch": _per_batch("temperature_alert"),
-    "water_content_alert_per_batch": _per_batch("water_content_alert"),
+    **{f"{name}_per_batch": _per_batch(name) for name in
+       ("temperature_alert", "dont_irrigate", "water_content_alert",
+        "water_temperature_ratio", "combined_sickness_alert")},
 }
 
 ALL_QUERIES: dict[str, Query] = {**BATCH_QUERIES, **STREAM_QUERIES}
