@@ -4,8 +4,8 @@
   doubles rows on every re-run; the stamp makes runs tell apart).
 * ``replace_results`` — the result replaced on every run. The reference drops the table
   and then inserts, so readers can see no table in between. Here every run writes a new
-  version folder and only then moves a one-line pointer to it; ``read_replaced`` follows
-  the pointer. An empty result is an empty version, not a missing table.
+  version folder and only then appends a one-line pointer to it; ``read_replaced`` follows
+  the latest pointer. An empty result is an empty version, not a missing table.
 * ``batch_writer``    — a ``foreachBatch`` function that writes each named result of a
   micro-batch to ``<out>/<name>/batch_id=<id>`` with overwrite, so a replayed batch
   replaces its own output instead of adding to it (idempotent by batch id).
@@ -43,18 +43,23 @@ def overwrite_results(df: DataFrame, path: str, partition_by: list[str] | None =
 
 
 def replace_results(df: DataFrame, path: str) -> str:
-    """Write a new version of the result, then point readers at it. Returns the version."""
+    """Write a new version of the result, then point readers at it. Returns the version.
+
+    The pointer is appended (one line per version, never deleted), so there is no moment
+    without one; versions sort by their zero-padded time prefix and readers take the
+    greatest. A run that fails before the pointer is written leaves the old version current.
+    """
     version = f"{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
     df.write.mode("error").parquet(f"{path}/v={version}")
     spark = df.sparkSession
     (spark.createDataFrame([(version,)], "value STRING")
-     .coalesce(1).write.mode("overwrite").text(f"{path}/{POINTER}"))
+     .coalesce(1).write.mode("append").text(f"{path}/{POINTER}"))
     return version
 
 
 def read_replaced(spark: SparkSession, path: str) -> DataFrame:
     """The current version written by ``replace_results``."""
-    version = spark.read.text(f"{path}/{POINTER}").first()["value"]
+    version = spark.read.text(f"{path}/{POINTER}").agg(F.max("value")).first()[0]
     return spark.read.parquet(f"{path}/v={version}")
 
 
