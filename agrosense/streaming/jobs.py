@@ -5,9 +5,9 @@ Three queries replace the reference's 39 per-topic output operations:
 * raw archive — one read of the channel per micro-batch; weather records, soil records,
   rejected lines and the batch's daily partials written from the persisted batch;
 * weather hourly — one stateful aggregate (per topic and event-time hour, watermarked)
-  feeding ``temperature_alert`` and ``dont_irrigate``;
+  feeding ``temperature_alert``, ``dont_irrigate`` and the ``hourly_meteo`` table;
 * soil hourly — one stateful aggregate feeding ``water_content_alert``,
-  ``water_temperature_ratio`` and ``combined_sickness_alert``.
+  ``water_temperature_ratio``, ``combined_sickness_alert`` and the ``hourly_suolo`` table.
 
 Weather and soil have separate watermarks: a topic ahead in event time would otherwise
 make slower topics late. ``mode='event_time'`` (default) emits one final row per closed
@@ -35,14 +35,25 @@ from agrosense.params import DEFAULT, StreamSettings, Thresholds
 from agrosense.plans import hourly
 from agrosense.sinks.results import batch_writer
 
+def hourly_table(hourly_frame: DataFrame, th: Thresholds = DEFAULT) -> DataFrame:
+    """The closed hours' aggregates themselves (means and counts, every hour).
+
+    Thresholds apply after the mean, so the ``plans.hourly`` functions run unchanged on this
+    table: re-tuning an alert over history reads one row per topic and hour, not the archive.
+    """
+    return hourly_frame
+
+
 WEATHER_RESULTS: dict[str, Callable] = {
     "temperature_alert": hourly.temperature_alert,
     "dont_irrigate": hourly.dont_irrigate,
+    "hourly_meteo": hourly_table,
 }
 SOIL_RESULTS: dict[str, Callable] = {
     "water_content_alert": hourly.water_content_alert,
     "water_temperature_ratio": hourly.water_temperature_ratio,
     "combined_sickness_alert": hourly.combined_sickness_alert,
+    "hourly_suolo": hourly_table,
 }
 RAW_TABLES = ("meteo", "suolo", "rejected", "daily_partials")
 

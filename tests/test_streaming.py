@@ -237,3 +237,19 @@ def test_archive_routes_bad_lines_to_rejected(spark):
     rejected = {(r.topic, r.reason) for r in read_batches(spark, out, "rejected").collect()}
     assert rejected == {(WEATHER_TOPIC, "too_few_fields"), ("iotData_altro", "unknown_topic")}
     assert read_batches(spark, out, "meteo").count() == 1
+
+
+def test_alerts_retuned_from_the_streamed_hourly_table(spark):
+    """New thresholds over history from the closed-hour table equal the batch form."""
+    from dataclasses import replace as dc_replace
+
+    from agrosense.params import DEFAULT
+    from agrosense.streaming.replay import run_hourly
+
+    out = run_hourly(spark, SF_SMALL, "suolo")
+    table_ = read_batches(spark, out, "hourly_suolo")
+    th = dc_replace(DEFAULT, alert_water_max=0.3, combined_temp_min=0.5)
+    for fn in (hourly.water_content_alert, hourly.combined_sickness_alert):
+        got = as_set(fn(table_, th))
+        want = as_set(batch_closed(spark, "suolo", lambda h: fn(h, th), 60))
+        assert got == want and len(got) > 50
