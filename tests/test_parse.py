@@ -134,3 +134,15 @@ def test_publish_parse_round_trip_random_fields(spark):
     assert len(got) == 300
     for row in rows:
         assert got[row[0]] == tuple("" if v is None else v for v in row), row
+
+
+def test_malformed_lines_never_fail_the_job(spark):
+    from agrosense.operators.readings import soil_readings
+
+    bad = ['1;"2;3', '"', '";;;;;;;;;;;;;;;;;;;;', ';' * 25, 'a"b;c"d;' * 5, '\\";\\"' * 8, '']
+    ch = channel(spark, [(t, v) for v in bad for t in (WEATHER_TOPIC, SOIL_TOPIC)])
+    w = weather_readings(weather_records(ch)).collect()
+    s = soil_readings(soil_records(ch)).collect()
+    r = rejected_lines(ch).collect()
+    assert len(w) + len(s) + len(r) == 2 * len(bad)
+    assert all(x.temp1_media is None for x in w)
