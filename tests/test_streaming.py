@@ -253,3 +253,24 @@ def test_alerts_retuned_from_the_streamed_hourly_table(spark):
         got = as_set(fn(table_, th))
         want = as_set(batch_closed(spark, "suolo", lambda h: fn(h, th), 60))
         assert got == want and len(got) > 50
+
+
+def test_reading_after_its_hour_was_emitted_is_dropped(spark):
+    """Append mode emits an hour once; a reading for it arriving later is dropped, not re-emitted."""
+    files = [[(WEATHER_TOPIC, weather_line(1, "2020-01-02 03:10:00", 1.0)),
+              (WEATHER_TOPIC, weather_line(2, "2020-01-02 05:00:00", 7.0))],
+             [(WEATHER_TOPIC, weather_line(3, "2020-01-02 06:30:00", 9.0))],   # hour 03 closes
+             [(WEATHER_TOPIC, weather_line(4, "2020-01-02 03:30:00", 100.0)),  # too late
+              (WEATHER_TOPIC, weather_line(5, "2020-01-02 08:00:00", 9.0))]]
+    src = fresh_path(spark, "t-late")
+    for rows in files:
+        channel(spark, rows).coalesce(1).write.mode("append").parquet(src)
+    out, ckpt = fresh_path(spark, "t-late-out"), fresh_path(spark, "t-late-ckpt")
+    ch = channel_files(spark, src, streaming=True, max_files_per_trigger=1)
+    q = start_hourly(ch, "meteo", out, ckpt, SETTINGS, results=["temperature_alert"])
+    q.awaitTermination(600)
+    assert q.exception() is None
+    got = read_batches(spark, out, "temperature_alert")
+    assert got.count() == got.select("hour").distinct().count()
+    assert as_set(got) == {("2020-01-02 03", 1.0), ("2020-01-02 05", 7.0),
+                           ("2020-01-02 06", 9.0)}
