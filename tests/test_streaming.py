@@ -274,3 +274,20 @@ def test_reading_after_its_hour_was_emitted_is_dropped(spark):
     assert got.count() == got.select("hour").distinct().count()
     assert as_set(got) == {("2020-01-02 03", 1.0), ("2020-01-02 05", 7.0),
                            ("2020-01-02 06", 9.0)}
+
+
+def test_soil_results_over_the_archive_with_topic_pruning(spark):
+    from agrosense.operators.readings import soil_readings
+    from agrosense.plans.pipeline import stored_soil
+    from agrosense.sources.tables import stored_readings
+    from agrosense.streaming.replay import run_raw_archive
+
+    out = run_raw_archive(spark, SF_SMALL)
+    topics = ["iotData_suolo_3_2024", "iotData_suolo_7_2024"]
+    archive = stored_readings(spark, f"{out}/suolo", "suolo", topics).drop("batch_id")
+    plan = archive._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "iotData_suolo_3_2024" in plan
+    got = as_set(hourly.combined_sickness_alert(hourly_soil(soil_readings(archive))))
+    direct = stored_soil(spark, SF_SMALL).where(F.col("topic").isin(*topics))
+    want = as_set(hourly.combined_sickness_alert(hourly_soil(direct)))
+    assert got == want and {t for t, _, _, _ in got} == set(topics)
