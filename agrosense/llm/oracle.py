@@ -59,4 +59,17 @@ SELECT d.doc_id, d.size, s7.source_size, s7.target,
 FROM d JOIN s7 ON d.source IS NOT DISTINCT FROM s7.source
        JOIN g2 ON d.source IS NOT DISTINCT FROM g2.source AND d.h = g2.h"""
 
-ORACLE_SQL = {"op4_decontaminate": OP4, "op5_mix_sources": OP5}
+OP6 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+h AS (SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha1(html) AS hex,
+             min(page_id) OVER (PARTITION BY html) AS first_id FROM p),
+d AS (SELECT *, list_transform(range(0, 32), lambda i:
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + (CAST('0x' || substr(hex,
+          CAST(5 * (i // 4) + 1 AS BIGINT), 5) AS BIGINT) >> (15 - 5 * (i % 4))) % 32 AS BIGINT), 1)) AS digits FROM h)
+SELECT page_id, payload_bytes, array_to_string(digits, '') AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM d"""
+
+ORACLE_SQL = {"op4_decontaminate": OP4, "op5_mix_sources": OP5,
+              "op6_warc_revisits": OP6}

@@ -9,6 +9,9 @@ from agrosense.llm.common import table
 from agrosense.llm.decontaminate import contamination
 from agrosense.llm.mixing import mix_sources
 from agrosense.llm.shards import byte_shards
+from agrosense.llm.tokens import read_tokens, write_tokens
+from agrosense.llm.warc import read_archives, write_archives
+from agrosense.session import fresh_path
 
 
 def op2_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,4 +32,26 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op2_byte_shards, op4_decontaminate, op5_mix_sources)}
+def token_digest(docs: DataFrame) -> DataFrame:
+    """Encode ``docs``, write the token files, read them back and digest what was read."""
+    import public_tokenizers
+
+    spark, path = docs.sparkSession, fresh_path(docs.sparkSession, "token-files")
+    write_tokens(docs, public_tokenizers.path("word_bpe_49k.json"), path)
+    return read_tokens(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token files of all documents, read back."""
+    return token_digest(table(spark, sf_dir, "documents"))
+
+
+def op6_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deduplicated WARC archives of all pages, read back."""
+    path = fresh_path(spark, "warc")
+    write_archives(table(spark, sf_dir, "pages"), path)
+    return read_archives(spark, path).drop("html")
+
+
+QUERIES = {f.__name__: f for f in (
+    op2_byte_shards, op3_token_files, op4_decontaminate, op5_mix_sources, op6_warc_revisits)}
