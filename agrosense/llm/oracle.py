@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from agrosense.llm.licenses import MIN_DICE, TEMPLATES
+
 WORDS_4 = (r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
            r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
 
@@ -71,5 +73,25 @@ SELECT page_id, payload_bytes, array_to_string(digits, '') AS payload_digest,
        CASE WHEN page_id <> first_id THEN first_id END AS refers_to
 FROM d"""
 
+GRAMS = ("list_distinct([w[i] || ' ' || w[i + 1] for i in range(1, len(w))])")
+NORMAL = ("list_filter(string_split_regex(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+          "'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+'), lambda x: x <> '')")
+VALUES = ", ".join("('{}', '{}')".format(a, b.replace("'", "''")) for a, b in TEMPLATES)
+
+OP9 = f"""
+WITH t0 AS (SELECT license, {NORMAL.format('text')} AS w FROM (VALUES {VALUES}) v(license, text)),
+t AS (SELECT license, {GRAMS} AS g FROM t0),
+u0 AS (SELECT doc_id, unnest(list_distinct(string_split(text, chr(10))
+              || string_split_regex(text, '\n[ \t]*\n') || [text])) AS u FROM documents),
+u1 AS (SELECT doc_id, {NORMAL.format('u')} AS w FROM u0),
+u AS (SELECT doc_id, {GRAMS} AS g FROM u1 WHERE len(w) >= 2),
+m AS (SELECT doc_id, license, 2.0::DOUBLE * len(list_intersect(u.g, t.g)) / (len(u.g) + len(t.g)) AS dice
+      FROM u, t WHERE len(u.g) <= 3 * len(t.g)),
+b AS (SELECT doc_id, license, max(dice) AS dice FROM m WHERE dice >= {MIN_DICE} GROUP BY ALL),
+r AS (SELECT doc_id, arg_min(license, (-dice, license)) AS license, max(dice) AS dice,
+             string_agg(license, ',' ORDER BY license) AS licenses FROM b GROUP BY doc_id)
+SELECT doc_id, license, coalesce(dice, 0.0::DOUBLE) AS dice, coalesce(licenses, '') AS licenses
+FROM documents LEFT JOIN r USING (doc_id)"""
+
 ORACLE_SQL = {"op4_decontaminate": OP4, "op5_mix_sources": OP5,
-              "op6_warc_revisits": OP6}
+              "op6_warc_revisits": OP6, "op9_license_scan": OP9}

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from agrosense.llm.common import table
 from agrosense.llm.decontaminate import contamination
+from agrosense.llm.licenses import license_scan
 from agrosense.llm.mixing import mix_sources
+from agrosense.llm.outliers import quality_rules
 from agrosense.llm.shards import byte_shards
 from agrosense.llm.tokens import read_tokens, write_tokens
 from agrosense.llm.warc import read_archives, write_archives
@@ -53,5 +55,16 @@ def op6_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archives(spark, path).drop("html")
 
 
+def op8_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and robust outlier verdicts of all documents."""
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in all documents."""
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op2_byte_shards, op3_token_files, op4_decontaminate, op5_mix_sources, op6_warc_revisits)}
+    op2_byte_shards, op3_token_files, op4_decontaminate, op5_mix_sources, op6_warc_revisits,
+    op8_robust_outliers, op9_license_scan)}
