@@ -82,14 +82,15 @@ def license_matches(docs: DataFrame, templates=None, min_dice: float = MIN_DICE)
     """``k, license, dice``: the matches of each row's units; ``k`` is the row's key."""
     spark = docs.sparkSession
     listed = stored(template_table(spark, templates, min_dice), "license-templates")
-    longest = max([r[0] for r in listed.select(F.max("n")).collect() if r[0]], default=0)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     pieces = F.array_distinct(F.concat(F.split(text, "\n"), F.split(text, r"\n[ \t]*\n"), F.array(text)))
     units = (docs.select(row_key(F.col("doc_id"), F.col("text")).alias("k"), pieces.alias("pieces"))
              .select("k", F.explode_outer("pieces").alias("unit")))
     units = units.select("k", words_of(F.col("unit")).alias("words"))
     units = units.select("k", bigrams("words").alias("unit_grams"))
-    units = units.withColumn("n", F.size("unit_grams")).where(F.col("n").between(1, longest))
+    # a filter on the bigrams, even "is not null", would be pushed below the projection of the
+    # words and split them inside the lambda; a non-null count needs none
+    units = units.withColumn("n", F.coalesce(F.size("unit_grams"), F.lit(0)))
     shared = F.size(F.array_intersect("unit_grams", "grams"))
     return (units.join(F.broadcast(listed), "n")           # a few hundred rows: the templates
             .withColumn("dice", 2.0 * shared / (F.col("n") + F.col("size")))
