@@ -10,12 +10,18 @@ from agrosense.llm.decontaminate import contamination
 from agrosense.llm.licenses import license_scan
 from agrosense.llm.mixing import mix_sources
 from agrosense.llm.outliers import quality_rules
+from agrosense.llm.rules import score_documents
 from agrosense.llm.shards import byte_shards
 from agrosense.llm.tokens import read_tokens, write_tokens
 from agrosense.llm.warc import read_archives, write_archives
 from agrosense.session import fresh_path
 
 
+def op1_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents by a sparse rule ensemble."""
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in eight contiguous shards of nearly equal bytes."""
     return byte_shards(table(spark, sf_dir, "documents"), 8).select(
@@ -66,5 +72,5 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_byte_shards, op3_token_files, op4_decontaminate, op5_mix_sources, op6_warc_revisits,
+    op1_rule_ensemble, op2_byte_shards, op3_token_files, op4_decontaminate, op5_mix_sources, op6_warc_revisits,
     op8_robust_outliers, op9_license_scan)}
