@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from agrosense.llm.common import table
 from agrosense.llm.decontaminate import contamination
 from agrosense.llm.licenses import license_scan
+from agrosense.llm.minmax import near_duplicates
 from agrosense.llm.mixing import mix_sources
 from agrosense.llm.outliers import quality_rules
 from agrosense.llm.rules import score_documents
@@ -61,6 +62,11 @@ def op6_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archives(spark, path).drop("html")
 
 
+def op7_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents (three-word shingles, Jaccard 0.85)."""
+    return near_duplicates(table(spark, sf_dir, "documents"), 3, (85, 100))
+
+
 def op8_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and robust outlier verdicts of all documents."""
     return quality_rules(table(spark, sf_dir, "documents"))
@@ -73,4 +79,4 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_rule_ensemble, op2_byte_shards, op3_token_files, op4_decontaminate, op5_mix_sources, op6_warc_revisits,
-    op8_robust_outliers, op9_license_scan)}
+    op7_minmax_dedup, op8_robust_outliers, op9_license_scan)}
