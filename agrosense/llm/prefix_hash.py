@@ -64,6 +64,30 @@ def words(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(first), np.flatnonzero(last) + 1
 
 
+# ASCII letters, and ASCII punctuation that always ends a run of letters; apostrophes, < | >
+# and white space are neither
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[65:91] = _LETTER[97:123] = True
+_MARK = np.zeros(256, dtype=bool)
+_MARK[[c for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in "'<|>"]] = True
+
+
+def word_parts(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``words``, cut once more between letters (ASCII and Latin-1) and punctuation marks."""
+    start, stop = words(data, edges)
+    begins, closes = _LETTER[data], _LETTER[data]
+    if len(data) > 1:
+        latin = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] < 0xC0) & (
+            data[1:] != 0x97) & (data[1:] != 0xB7)
+        begins[:-1] |= latin
+        closes[1:] |= latin
+    mark = _MARK[data]
+    cut = np.flatnonzero((closes[:-1] & mark[1:]) | (mark[:-1] & begins[1:])) + 1
+    if len(cut):
+        cut = cut[~np.isin(cut, edges, assume_unique=False)]
+    return np.sort(np.concatenate([start, cut])), np.sort(np.concatenate([stop, cut]))
+
+
 def text_buffers(column) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and ``n + 1`` offsets of an Arrow string column; null texts are empty."""
     import pyarrow as pa

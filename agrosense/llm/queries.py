@@ -13,6 +13,7 @@ from agrosense.llm.mixing import mix_sources
 from agrosense.llm.outliers import quality_rules
 from agrosense.llm.rules import score_documents
 from agrosense.llm.shards import byte_shards
+from agrosense.llm.suffixes import cut_repeats
 from agrosense.llm.tokens import read_tokens, write_tokens
 from agrosense.llm.warc import read_archives, write_archives
 from agrosense.session import fresh_path
@@ -77,6 +78,11 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of each document that repeat 50 bytes of a document with a smaller id."""
+    return cut_repeats(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_rule_ensemble, op2_byte_shards, op3_token_files, op4_decontaminate, op5_mix_sources, op6_warc_revisits,
-    op7_minmax_dedup, op8_robust_outliers, op9_license_scan)}
+    op7_minmax_dedup, op8_robust_outliers, op9_license_scan, op10_suffix_dedup)}
