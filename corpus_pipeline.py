@@ -1,6 +1,8 @@
 """The corpus pipeline: five stages over ``documents``, each written and read again.
 
-``STAGES`` lists them in order; a stage takes (spark, docs, sf_dir) and returns a DataFrame.
+``STAGES`` lists (name, function) in order. A function takes (spark, docs, sf_dir), works on
+all rows its predecessor kept and returns a DataFrame: the columns of ``documents`` for the
+first four, the digest of the token files for the last.
 """
 
 from __future__ import annotations
@@ -9,7 +11,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from agrosense.llm.common import stored, table
 from agrosense.llm.decontaminate import remove_contaminated
+from agrosense.llm.minmax import drop_near_duplicates
 from agrosense.llm.mixing import apply_mix
+from agrosense.llm.queries import token_digest
+from agrosense.llm.rules import accept_quality
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier, fitted on the labels, accepts."""
+    return accept_quality(docs, table(spark, sf_dir, "labels"))
+
+
+def near_unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the one with the smallest id, of each group of near-duplicates
+    (five-word shingles, Jaccard similarity of 0.8 or more)."""
+    return drop_near_duplicates(docs, 5, (80, 100))
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,9 +38,20 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return apply_mix(docs)
 
 
-STAGES = [("benchmark decontamination", benchmark_free), ("mixing sources", source_mix)]
+def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of what is left, read back: a digest per row."""
+    return token_digest(docs)
+
+
+STAGES = [
+    ("quality classifier", good_quality),
+    ("near-duplicates", near_unique),
+    ("benchmark decontamination", benchmark_free),
+    ("mixing sources", source_mix),
+    ("token files", token_files),
+]
 
-# Stage 1 (a fitted model) and the tokenizer have no SQL form; tests hold the stages against
+# The fitted classifier and the tokenizer have no SQL form; tests/llm holds the stages against
 # brute force instead.
 ORACLE_SQL = None
 
