@@ -4,8 +4,10 @@
     spark-submit agrosense/cli.py stream (--kafka HOST --topics a,b | --files DIR) --out DIR
                                          [--checkpoint DIR] [--mode event_time|per_batch]
                                          [--available-now] [--state-partitions N] [--dedupe]
+                                         [--kafka-option NAME=VALUE] [--threshold NAME=VALUE]
     spark-submit agrosense/cli.py batch --archive DIR --out DIR [--topics a,b]
                                         [--from-partials | --since DAY --until DAY]
+                                        [--threshold NAME=VALUE] [--on-error fail]
 
 ``replay`` publishes a sensor CSV as channel records, ``stream`` runs the raw archive and the
 hourly jobs until stopped (or once over what is there with ``--available-now``), ``batch``
@@ -18,19 +20,25 @@ from __future__ import annotations
 import argparse
 import os
 import sys
+from dataclasses import fields
 
 if __package__ in (None, ""):
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
+from agrosense.functions.columns import ON_ERROR  # noqa: E402
 from agrosense.operators.readings import weather_readings  # noqa: E402
-from agrosense.params import StreamSettings  # noqa: E402
+from agrosense.params import StreamSettings, Thresholds  # noqa: E402
 from agrosense.plans.suite import run_batch_suite  # noqa: E402
 from agrosense.schemas import DEFAULT_TOPICS  # noqa: E402
 from agrosense.session import apply_defaults  # noqa: E402
 from agrosense.sources.files import channel_files, csv_replay  # noqa: E402
-from agrosense.sources.kafka import kafka_channel, publish_kafka  # noqa: E402
+from agrosense.sources.kafka import (  # noqa: E402
+    MAX_OFFSETS_PER_TRIGGER,
+    kafka_channel,
+    publish_kafka,
+)
 from agrosense.sources.tables import stored_daily, stored_readings  # noqa: E402
 from agrosense.streaming.jobs import await_all, start_all  # noqa: E402
 
@@ -39,6 +47,21 @@ def _topics(text: str | None):
     return [t for t in text.split(",") if t] if text else None
 
 
+def _pairs(items: list[str] | None) -> dict:
+    return dict(i.split("=", 1) for i in items or ())
+
+
+def _thresholds(args) -> Thresholds:
+    """``--threshold name=value`` for any field of ``Thresholds``."""
+    given = _pairs(args.threshold)
+    kinds = {f.name: type(f.default) for f in fields(Thresholds)}
+    unknown = set(given) - set(kinds)
+    if unknown:
+        raise SystemExit(f"unknown thresholds: {', '.join(sorted(unknown))}")
+    number = lambda n, v: kinds[n](v) if kinds[n] in (int, float, str) else int(v)
+    return Thresholds(**{n: number(n, v) for n, v in given.items()})
+
+
 def replay(spark: SparkSession, args) -> None:
     channel = csv_replay(spark, args.csv, args.source)
     if args.kafka:
@@ -50,25 +73,32 @@ def replay(spark: SparkSession, args) -> None:
 def stream(spark: SparkSession, args) -> None:
     settings = StreamSettings(mode=args.mode, available_now=args.available_now,
                               state_partitions=args.state_partitions, dedupe=args.dedupe,
-                              max_files_per_trigger=args.max_files_per_trigger)
+                              max_files_per_trigger=args.max_files_per_trigger,
+                              trigger_seconds=args.trigger_seconds)
+    topics = _topics(args.topics)
     if args.kafka:
-        channel = kafka_channel(spark, args.kafka, args.topics or ",".join(DEFAULT_TOPICS))
+        topics = topics or list(DEFAULT_TOPICS)
+
+        def channel(own):
+            return kafka_channel(spark, args.kafka, own or topics, starting_offsets=args.starting_offsets,
+                                 options=_pairs(args.kafka_option), max_offsets=args.max_offsets_per_trigger)
     else:
         channel = channel_files(spark, args.files, streaming=True,
                                 max_files_per_trigger=args.max_files_per_trigger)
     # The checkpoint belongs to the output: a restart with the same --out resumes it.
     checkpoint = args.checkpoint or f"{args.out.rstrip('/')}/_checkpoint"
-    await_all(start_all(channel, args.out, checkpoint, settings, topics=_topics(args.topics)))
+    await_all(start_all(channel, args.out, checkpoint, settings, _thresholds(args), topics))
 
 
 def batch(spark: SparkSession, args) -> None:
     topics = _topics(args.topics)
     if args.from_partials:
-        src = stored_daily(spark, f"{args.archive}/daily_partials", topics)
+        src = stored_daily(spark, f"{args.archive}/daily_partials", topics, _thresholds(args))
     else:
         src = weather_readings(stored_readings(spark, f"{args.archive}/meteo", "meteo", topics,
-                                               since=args.since, until=args.until))
-    run_batch_suite(src, args.out)
+                                               since=args.since, until=args.until),
+                               on_error=args.on_error)
+    run_batch_suite(src, args.out, _thresholds(args))
 
 
 def parser() -> argparse.ArgumentParser:
@@ -92,6 +122,11 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--state-partitions", type=int)
     s.add_argument("--max-files-per-trigger", type=int)
     s.add_argument("--dedupe", action="store_true")
+    s.add_argument("--trigger-seconds", type=int, default=StreamSettings.trigger_seconds)
+    s.add_argument("--kafka-option", action="append", metavar="NAME=VALUE")
+    s.add_argument("--starting-offsets")
+    s.add_argument("--max-offsets-per-trigger", type=int, default=MAX_OFFSETS_PER_TRIGGER)
+    s.add_argument("--threshold", action="append", metavar="NAME=VALUE")
     b = sub.add_parser("batch")
     b.add_argument("--archive", required=True)
     b.add_argument("--out", required=True)
@@ -99,6 +134,8 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("--from-partials", action="store_true")
     b.add_argument("--since", help="first day (time text), archive scans only")
     b.add_argument("--until", help="end day, exclusive")
+    b.add_argument("--threshold", action="append", metavar="NAME=VALUE")
+    b.add_argument("--on-error", default="quarantine", choices=ON_ERROR)
     return p
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from agrosense.schemas import DATE_TEXT_FORMAT, HOUR_FORMAT, SEPARATOR, TIME_FORMAT
+from agrosense.schemas import DATE_TEXT_FORMAT, DAY_FORMAT, HOUR_FORMAT, SEPARATOR, TIME_FORMAT
 
 
 def _col(c) -> Column:
@@ -40,6 +40,18 @@ def day_key(text) -> Column:
     return F.substring(_col(text), 1, 10)
 
 
+def valid_day(text) -> Column:
+    """The day key if it is a date, else null; the rest of the text does not matter."""
+    day = day_key(text)
+    return F.when(F.try_to_timestamp(day, F.lit(DAY_FORMAT)).isNotNull(), day)
+
+
+def valid_hour(text) -> Column:
+    """The hour key if it is a date and an hour, else null."""
+    hour = hour_key(text)
+    return F.when(hour_start(hour).isNotNull(), hour)
+
+
 def hour_key(text) -> Column:
     """Hour key: the time text without its last six characters (``yyyy-MM-dd HH``)."""
     t = _col(text)
@@ -104,15 +116,39 @@ def safe_ratio(num, den) -> Column:
     return F.try_divide(_col(num), _col(den))
 
 
-def has_quote(line) -> Column:
-    return _col(line).contains('"')
+# A field is quoted when it begins with a quote; a quote inside it is doubled. The patterns
+# see the line behind one more separator, so that every field has one before it.
+QUOTED_FIELD = r'"[^"]*+(?:""[^"]*+)*+"(?=;|\z)'
 
 
-def field_count(line) -> Column:
-    """Number of separator-delimited fields, ignoring separators inside double quotes.
+def has_quoted_field(line) -> Column:
+    """Whether any field begins with a quote (a quote further inside is an ordinary character)."""
+    return F.concat(F.lit(SEPARATOR), _col(line)).contains(SEPARATOR + '"')
 
-    The line is referenced once, so a filter on the count that the optimizer pushes below
-    the line's producer evaluates the producer once.
-    """
-    unquoted = F.regexp_replace(_col(line), r'"[^"]*"', "")
-    return F.size(F.split(unquoted, SEPARATOR, -1))
+
+def _without_quoted(line) -> Column:
+    return F.regexp_replace(F.concat(F.lit(SEPARATOR), _col(line)), SEPARATOR + QUOTED_FIELD, SEPARATOR)
+
+
+def bad_quote(line) -> Column:
+    """Whether a field begins with a quote that does not close it."""
+    return has_quoted_field(line) & _without_quoted(line).contains(SEPARATOR + '"')
+
+
+def line_fields(line) -> Column:
+    """All fields of a line as an array; null for a null line or one with a bad quote."""
+    v = _col(line)
+    quoted = F.regexp_extract_all(F.concat(F.lit(SEPARATOR), v),
+                                  F.lit(f"{SEPARATOR}({QUOTED_FIELD}|[^{SEPARATOR}]*+)"), F.lit(1))
+    unquoted = F.transform(quoted, lambda x: F.when(
+        x.startswith('"'), F.replace(x.substr(F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))
+    ).otherwise(x))
+    return (F.when(~has_quoted_field(v), F.split(v, SEPARATOR, -1))
+            .when(~bad_quote(v), unquoted))
+
+
+def field_count(line) -> Column:
+    """Number of fields of a line, ignoring separators inside quoted fields; 0 for null."""
+    v = _col(line)
+    return F.coalesce(F.when(has_quoted_field(v), F.size(F.split(_without_quoted(v), SEPARATOR, -1)) - 1)
+                      .otherwise(F.size(F.split(v, SEPARATOR, -1))), F.lit(0))

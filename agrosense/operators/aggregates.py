@@ -84,14 +84,22 @@ def daily_partials(readings: DataFrame, th: Thresholds = DEFAULT) -> DataFrame:
             F.bool_or(tr_ok & java_gt(r, th.rain_reading_min)).alias("isRained"),
             F.count_if(tr_ok).alias("n_water"),
         )
-    )
+    ).withColumns({"hot_reading_min": F.lit(float(th.hot_reading_min)),
+                   "rain_reading_min": F.lit(float(th.rain_reading_min))})
+
 
+def daily_from_partials(partials: DataFrame, th: Thresholds = DEFAULT) -> DataFrame:
+    """Combine ``daily_partials`` into the ``daily_weather`` frame (same columns).
 
-def daily_from_partials(partials: DataFrame) -> DataFrame:
-    """Combine ``daily_partials`` into the ``daily_weather`` frame (same columns)."""
+    Fails on partials that were written with other thresholds than ``th``."""
     def mean(total: str, count: str):
         return F.try_divide(F.sum(total), F.sum(count))
 
+    same = ((F.col("hot_reading_min") == float(th.hot_reading_min))
+            & (F.col("rain_reading_min") == float(th.rain_reading_min)))
+    partials = partials.withColumns({c: F.when(same, F.col(c)).otherwise(
+        F.raise_error(F.lit("daily partials were written with other thresholds")).cast(t))
+        for c, t in (("totTempOver22", "long"), ("isRained", "boolean"))})
     return partials.groupBy("day").agg(
         mean("sum_temp", "n_temp").alias("avg_temp"),
         F.sum("n_temp").alias("n_temp"),
@@ -106,6 +114,36 @@ def daily_from_partials(partials: DataFrame) -> DataFrame:
     )
 
 
+def hourly_partials(readings: DataFrame, kind: str) -> DataFrame:
+    """Additive per-(topic, hour) sums and counts of one sensor kind (``meteo`` or ``suolo``).
+
+    Written per micro-batch they combine into complete hours with ``hourly_from_partials``,
+    late readings included: nothing here waits for, or is dropped by, a watermark."""
+    if kind == "meteo":
+        values = {"temp": F.col("temp1_media"), "rain": F.col("pioggia_mm")}
+    else:
+        w, st = F.col("water"), F.col("soil_temp")
+        both = w.isNotNull() & st.isNotNull()
+        values = {"water": w, "pair_water": F.when(both, w), "pair_temp": F.when(both, st)}
+    aggs = [a for name, v in values.items()
+            for a in (F.sum(v).alias(f"sum_{name}"), F.count(v).alias(f"n_{name}"))]
+    return _keep_valid(readings.groupBy("topic", "hour").agg(_valid_key("hour"), *aggs))
+
+
+def hourly_from_partials(partials: DataFrame, kind: str) -> DataFrame:
+    """Combine ``hourly_partials`` into the frame of ``hourly_weather`` or ``hourly_soil``."""
+    def mean(name: str):
+        return F.try_divide(F.sum(f"sum_{name}"), F.sum(f"n_{name}"))
+
+    group = partials.groupBy("topic", "hour")
+    if kind == "meteo":
+        return group.agg(mean("temp").alias("avg_temp"), F.sum("n_temp").alias("n_temp"),
+                         mean("rain").alias("avg_rain"), F.sum("n_rain").alias("n_rain"))
+    return group.agg(mean("water").alias("avg_water"), F.sum("n_water").alias("n_water"),
+                     mean("pair_water").alias("pair_water"), mean("pair_temp").alias("pair_temp"),
+                     F.sum("n_pair_temp").alias("n_pair"))
+
+
 def _hourly(readings: DataFrame, by: str, window: str, aggs: list[Column],
             measures: list[str]) -> DataFrame:
     group, out = _hour_keys(by, window)

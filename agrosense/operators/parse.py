@@ -1,14 +1,14 @@
 """Routing and splitting of channel records into stored reading records.
 
 One subscription carries every sensor; the topic stays a column instead of becoming one
-stream per topic (the reference filters the full stream once per topic and output). Lines
-are split by position — on the separator, or with the quote-aware ``from_csv`` when the
-line holds a quote — keeping only the positions the layout uses, so soil lines are pruned
-to the six named positions.
+stream per topic (the reference filters the full stream once per topic and output). A line
+is split once, on the separator; only lines with a field that begins with a quote take the
+quote-aware pattern. Soil lines keep the six named positions.
 
 Reject policy: a line is rejected when its topic is neither weather nor soil
-(``unknown_topic``) or it has fewer fields than its layout (``too_few_fields``). Numeric and
-time fields are checked later, per query, on the fields each query uses.
+(``unknown_topic``), its value is null (``null_value``), a quoted field is not closed
+(``bad_quote``) or it has fewer fields than its layout (``too_few_fields``). Numeric and time
+fields are checked later, per query, on the fields each query uses.
 """
 
 from __future__ import annotations
@@ -18,17 +18,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from agrosense.functions.columns import field_count, has_quote
+from agrosense.functions.columns import bad_quote, field_count, line_fields
 from agrosense.schemas import (
-    LINE_CSV_OPTIONS,
-    SEPARATOR,
     SOIL_MARK,
     SOIL_MIN_FIELDS,
     SOIL_POSITIONS,
     WEATHER_FIELDS,
     WEATHER_MARK,
     WEATHER_MIN_FIELDS,
-    positional_schema,
 )
 
 KIND_WEATHER = "meteo"
@@ -50,54 +47,41 @@ def route(channel: DataFrame, topics: Sequence[str] | None = None) -> DataFrame:
     return df.withColumn("kind", kind_of("topic"))
 
 
-def split_line(n: int, line: str = "value") -> Column:
-    """The first ``n`` fields of a line as an array of strings.
+def _split(routed: DataFrame) -> DataFrame:
+    """``topic, kind, parts``: each line split once. The one-element ``explode`` keeps filters
+    on the parts above the split; filters on topic and kind still go below it."""
+    return routed.select("topic", "kind", F.explode(F.array(line_fields("value"))).alias("parts"))
 
-    Lines without a double quote are split on the separator directly; only quoted lines
-    go through the CSV parser (``from_csv``), which unquotes ``"2;3"`` into one field.
-    Both give the same fields for a plain line.
-    """
-    v = F.col(line)
-    parsed = F.from_csv(v, positional_schema(n), LINE_CSV_OPTIONS)
-    quoted = F.array(*[parsed[f"p{i}"] for i in range(n)])
-    plain = F.slice(F.split(v, SEPARATOR, -1), 1, n)
-    return F.when(has_quote(v), quoted).otherwise(plain)
 
-
-def _field(parts: str, pos: int, name: str) -> str:
-    # The CSV parser turns an empty field into null; a position that exists in the line is
-    # kept as the empty string, as it was received. Missing positions cannot occur here
-    # because lines with too few fields are rejected first. (SQL text: one projection call.)
-    return f"coalesce(get({parts}, {pos}), '') AS `{name}`"
+def _field(pos: int, name: str) -> str:
+    # An empty or missing field of a quoted line is the empty string, as in a plain line.
+    return f"coalesce(get(parts, {pos}), '') AS `{name}`"
 
 
 def weather_records(channel: DataFrame, topics: Sequence[str] | None = None) -> DataFrame:
     """Weather lines -> ``topic`` + the twenty named string fields."""
-    routed = route(channel, topics)
-    lines = routed.where((F.col("kind") == KIND_WEATHER)
-                         & (field_count("value") >= WEATHER_MIN_FIELDS))
-    parts = lines.select("topic", split_line(WEATHER_MIN_FIELDS).alias("parts"))
-    return parts.selectExpr("topic", *[_field("parts", i, name)
-                                       for i, name in enumerate(WEATHER_FIELDS)])
+    lines = _split(route(channel, topics).where(F.col("kind") == KIND_WEATHER))
+    return (lines.where(F.size("parts") >= WEATHER_MIN_FIELDS)
+            .selectExpr("topic", *[_field(i, name) for i, name in enumerate(WEATHER_FIELDS)]))
 
 
 def soil_records(channel: DataFrame, topics: Sequence[str] | None = None) -> DataFrame:
     """Soil lines -> ``topic`` + the six named string fields (other positions dropped)."""
-    routed = route(channel, topics)
-    lines = routed.where((F.col("kind") == KIND_SOIL)
-                         & (field_count("value") >= SOIL_MIN_FIELDS))
-    parts = lines.select("topic", split_line(SOIL_MIN_FIELDS).alias("parts"))
-    return parts.selectExpr("topic", *[_field("parts", pos, name)
-                                       for name, pos in SOIL_POSITIONS.items()])
+    lines = _split(route(channel, topics).where(F.col("kind") == KIND_SOIL))
+    return (lines.where(F.size("parts") >= SOIL_MIN_FIELDS)
+            .selectExpr("topic", *[_field(pos, name) for name, pos in SOIL_POSITIONS.items()]))
 
 
 def rejected_lines(channel: DataFrame, topics: Sequence[str] | None = None) -> DataFrame:
-    """Lines no record is made of, with a reason: ``unknown_topic`` or ``too_few_fields``."""
-    routed = route(channel, topics).withColumn("n_fields", field_count("value"))
+    """Lines no record is made of, with the reason. Every line of a subscribed topic is either
+    here or in one of the record tables."""
+    routed = route(channel, topics).withColumns(
+        {"n_fields": field_count("value"), "bad": F.coalesce(bad_quote("value"), F.lit(False))})
+    least = F.when(F.col("kind") == KIND_WEATHER, F.lit(WEATHER_MIN_FIELDS)).otherwise(
+        F.lit(SOIL_MIN_FIELDS))
     reason = (F.when(F.col("kind").isNull(), F.lit("unknown_topic"))
-              .when((F.col("kind") == KIND_WEATHER) & (F.col("n_fields") < WEATHER_MIN_FIELDS),
-                    F.lit("too_few_fields"))
-              .when((F.col("kind") == KIND_SOIL) & (F.col("n_fields") < SOIL_MIN_FIELDS),
-                    F.lit("too_few_fields")))
+              .when(F.col("value").isNull(), F.lit("null_value"))
+              .when(F.col("bad"), F.lit("bad_quote"))
+              .when(F.col("n_fields") < least, F.lit("too_few_fields")))
     return (routed.withColumn("reason", reason).where(F.col("reason").isNotNull())
             .select("topic", "value", "n_fields", "reason"))

@@ -1,8 +1,9 @@
 """Typed views over stored reading records.
 
 Stored records keep every field as text. These views add typed columns; a field that is
-not a number becomes null and a time text that does not match ``yyyy-MM-dd HH:mm:ss``
-leaves ``event_time``, ``day`` and ``hour`` null. Each aggregate then skips only the
+not a number becomes null. Of the time text each result checks what it uses: ``day`` needs
+a date in the first ten characters, ``hour`` a date and an hour, ``event_time`` the whole
+``yyyy-MM-dd HH:mm:ss``; what does not parse is null. Each aggregate then skips only the
 readings whose *own* inputs are null, so a bad rain value never hides a good temperature.
 """
 
@@ -13,19 +14,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agrosense.functions.columns import day_key, hour_key, reading_time, to_number
+from agrosense.functions.columns import reading_time, to_number, valid_day, valid_hour
 
 
 def _time_columns(text: str, on_error: str):
-    t = reading_time(text, on_error)
-    valid = t.isNotNull()
     return [
-        t.alias("event_time"),
-        F.when(valid, day_key(text)).alias("day"),
-        F.when(valid, hour_key(text)).alias("hour"),
+        reading_time(text, on_error).alias("event_time"),
+        valid_day(text).alias("day"),
+        valid_hour(text).alias("hour"),
     ]
 
 
+WEATHER_NUMBERS = ("temp1_media", "ur1_media", "pioggia_mm")
+SOIL_NUMBERS = ("water_0", "temperature_0", "water_1", "temperature_1")
+
+
 def weather_readings(records: DataFrame, on_error: str = "quarantine") -> DataFrame:
     """topic, _id, data_ora, event_time, day, hour, temp1_media, ur1_media, pioggia_mm.
 
@@ -48,8 +51,7 @@ def soil_readings(records: DataFrame, on_error: str = "quarantine") -> DataFrame
     """
     typed = records.select(
         "topic", "_id", "timestamp", *_time_columns("timestamp", on_error),
-        *[to_number(c, on_error).alias(c)
-          for c in ("water_0", "temperature_0", "water_1", "temperature_1")],
+        *[to_number(c, on_error).alias(c) for c in SOIL_NUMBERS],
     )
     return typed.withColumns({
         "water": (F.col("water_0") + F.col("water_1")) / 2,

@@ -158,6 +158,10 @@ SELECT topic, _id, "timestamp", water_0, temperature_0, water_1, temperature_1 F
 }
 
 
+HOURLY = ("temperature_alert", "dont_irrigate", "water_content_alert",
+          "water_temperature_ratio", "combined_sickness_alert")
+
+
 # Streaming forms: append mode emits an hour once the watermark (latest event time seen,
 # minus the delay) has passed the hour's end; the last, still open hours are not emitted.
 def _closed(kind: str, delay: str) -> str:
@@ -189,15 +193,46 @@ ORACLE_SQL.update({
 ORACLE_SQL.update({
     "csv_replay": ORACLE_SQL["parse_lines_meteo"],
     "csv_import": _with(f"""
-SELECT topic, count(*) AS n_rows, min(CAST(_id AS INTEGER)) AS min_id,
-       max(CAST(_id AS INTEGER)) AS max_id,
+SELECT topic, count(*) AS n_rows, min(CAST(_id AS BIGINT)) AS min_id,
+       max(CAST(_id AS BIGINT)) AS max_id,
        min("timestamp") AS first_reading, max("timestamp") AS last_reading,
        {_r('avg(water)', 9)} AS avg_water
 FROM soil GROUP BY topic"""),
     "route_topics_stream": ORACLE_SQL["route_topics"],
     "daily_means_rollup": ORACLE_SQL["daily_means"],
-    # One file is one micro-batch, so the per-batch form equals the batch form.
-    **{f"{name}_per_batch": ORACLE_SQL[name] for name in
-       ("temperature_alert", "dont_irrigate", "water_content_alert",
-        "water_temperature_ratio", "combined_sickness_alert")},
+    # Three loads with a third of each hour; a micro-batch is aggregated on its own.
+    **{f"{name}_per_batch": ORACLE_SQL[name].replace(
+        "GROUP BY topic, hour", "GROUP BY topic, hour, minute(event_time) // 20")
+       for name in HOURLY},
+    "archive_top10_hot_days": ORACLE_SQL["top10_hot_days"],
+    "archive_water_content_alert": ORACLE_SQL["water_content_alert"],
+    "hourly_rollup": _with(f"""
+SELECT topic, hour, {_r('avg(water)', 9)} AS avg_water, {_r('avg(water)', 9)} AS pair_water,
+       {_r('avg(soil_temp)', 9)} AS pair_temp, count(*) AS n_water, count(*) AS n_pair
+FROM soil GROUP BY topic, hour"""),
+    "route_subscribed": _with("""
+SELECT topic, CASE WHEN topic LIKE '%meteo%' THEN 'meteo' ELSE 'suolo' END AS kind,
+       count(*) AS n_records
+FROM (SELECT topic FROM weather UNION ALL SELECT topic FROM soil)
+WHERE topic IN ('iotData_meteo_2024', 'iotData_suolo_3_2024') GROUP BY 1, 2"""),
+    "suite_results": _with("""
+SELECT 'last_3_days_trend' AS result, CAST(CASE WHEN count(*) >= 3 THEN 2 ELSE 0 END AS BIGINT) AS n_rows
+FROM days
+UNION ALL SELECT 'days_to_water', 2 * count(*) FILTER (WHERE hot > 10 AND NOT rained) FROM days
+UNION ALL SELECT r, least(10, (SELECT count(*) FROM days))
+FROM (VALUES ('top10_humid_days'), ('top10_hot_days'), ('top10_cold_days')) v(r)""",
+        """days AS (SELECT day, count(*) FILTER (WHERE temp1_media > 22) AS hot,
+                 bool_or(pioggia_mm > 0) AS rained FROM weather GROUP BY day)"""),
+    "rejects_by_reason": _with("""
+SELECT CASE event_id % 10 WHEN 5 THEN 'unknown_topic' WHEN 6 THEN 'null_value'
+            WHEN 7 THEN 'too_few_fields' WHEN 8 THEN 'bad_quote'
+            ELSE CASE WHEN is_weather THEN 'meteo' ELSE 'suolo' END END AS outcome,
+       count(*) AS n_lines
+FROM ev GROUP BY 1"""),
 })
+
+ORACLE_SQL["start_all_counts"] = "\nUNION ALL\n".join(
+    [f"SELECT '{n}' AS output, count(*) AS n_rows FROM ({ORACLE_SQL[n + '_stream']})" for n in HOURLY]
+    + [f"SELECT '{n}' AS output, count(*) AS n_rows FROM ({ORACLE_SQL[key]})"
+       for n, key in (("meteo", "raw_ingest_meteo"), ("suolo", "raw_ingest_soil"))]
+    + ["SELECT 'rejected' AS output, CAST(0 AS BIGINT) AS n_rows"])

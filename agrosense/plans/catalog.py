@@ -4,13 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agrosense.operators.aggregates import hourly_soil, hourly_weather
-from agrosense.operators.parse import kind_of, route, soil_records, weather_records
-from agrosense.operators.readings import weather_readings
+from agrosense.operators.aggregates import (
+    daily_weather,
+    hourly_from_partials,
+    hourly_soil,
+    hourly_weather,
+)
+from agrosense.operators.parse import (
+    kind_of,
+    rejected_lines,
+    route,
+    soil_records,
+    weather_records,
+)
+from agrosense.operators.readings import soil_readings, weather_readings
 from agrosense.params import DEFAULT, StreamSettings
 from agrosense.plans import daily, hourly
 from agrosense.plans.pipeline import (
@@ -19,13 +31,33 @@ from agrosense.plans.pipeline import (
     stored_weather,
     weather_from_events,
 )
+from agrosense.plans.suite import SUITE, run_batch_suite
 from agrosense.schemas import SEPARATOR, TIME_FORMAT
 from agrosense.session import fresh_path
-from agrosense.sinks.results import read_batches
-from agrosense.sources.events_adapter import stored_soil_records, stored_weather_records
+from agrosense.sinks.results import read_batches, read_replaced
+from agrosense.sources.events_adapter import (
+    channel_records,
+    stored_soil_records,
+    stored_weather_records,
+)
 from agrosense.sources.files import csv_import, csv_replay
-from agrosense.sources.tables import events_channel, stored_daily, table
-from agrosense.streaming.replay import run_raw_archive, stream_raw, stream_result
+from agrosense.sources.tables import (
+    events_channel,
+    events_channel_stream,
+    stored_daily,
+    stored_readings,
+    table,
+)
+from agrosense.streaming.jobs import await_all, start_all
+from agrosense.streaming.replay import (
+    archive_in_loads,
+    kind_of_result,
+    per_batch_result,
+    result_schema,
+    run_raw_archive,
+    stream_raw,
+    stream_result,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -95,8 +127,8 @@ def csv_import_soil(spark: SparkSession, sf_dir: str) -> DataFrame:
     imported = csv_import(spark, folder, fresh_path(spark, "csv-import-table"))
     return imported.groupBy("topic").agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.min("_id").alias("min_id"),
-        F.max("_id").alias("max_id"),
+        F.min("_id").cast("bigint").alias("min_id"),     # the inferred type depends on the ids
+        F.max("_id").cast("bigint").alias("max_id"),
         F.date_format(F.min("timestamp"), TIME_FORMAT).alias("first_reading"),
         F.date_format(F.max("timestamp"), TIME_FORMAT).alias("last_reading"),
         F.round(F.avg((F.col("water_0") + F.col("water_1")) / 2), 9).alias("avg_water"),
@@ -105,29 +137,6 @@ def csv_import_soil(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 RAIN_GT_0 = replace(DEFAULT, rain_min=0.0)
 
-BATCH_QUERIES: dict[str, Query] = {
-    "top10_hot_days": _weather_daily(daily.top10_hot_days),
-    "top10_cold_days": _weather_daily(daily.top10_cold_days),
-    "top10_humid_days": _weather_daily(daily.top10_humid_days),
-    "days_to_water": _weather_daily(daily.days_to_water),
-    "last_3_days_trend": _weather_daily(daily.last_3_days_trend),
-    "daily_means": _weather_daily(daily.daily_means),
-    "reading_count": reading_count,
-    "temperature_alert": _weather_hourly(hourly.temperature_alert),
-    "dont_irrigate": _weather_hourly(hourly.dont_irrigate),
-    "dont_irrigate_rain_gt_0": _weather_hourly(hourly.dont_irrigate, RAIN_GT_0),
-    "water_content_alert": _soil_hourly(hourly.water_content_alert),
-    "water_temperature_ratio": _soil_hourly(hourly.water_temperature_ratio),
-    "combined_sickness_alert": _soil_hourly(hourly.combined_sickness_alert),
-    "route_topics": route_topics,
-    "raw_ingest_meteo": raw_ingest_meteo,
-    "raw_ingest_soil": raw_ingest_soil,
-    "parse_lines_meteo": parse_lines_meteo,
-    "parse_lines_soil": parse_lines_soil,
-    "csv_replay": csv_replay_meteo,
-    "csv_import": csv_import_soil,
-}
-
 
 def _stream(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,9 +147,9 @@ def _stream(name: str) -> Query:
 
 def _per_batch(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return stream_result(spark, sf_dir, name, StreamSettings(mode="per_batch"))
-    run.__doc__ = (f"``{name}`` from the streaming job in the reference's per-micro-batch mode "
-                   "(each batch aggregated on its own; one file here is one batch).")
+        return per_batch_result(spark, sf_dir, name)
+    run.__doc__ = (f"``{name}`` from the streaming job in the reference's per-micro-batch mode: "
+                   "three loads, each with a third of every hour, aggregated on their own.")
     return run
 
 
@@ -149,11 +158,95 @@ def raw_ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_raw(spark, sf_dir, "meteo")
 
 
+def archive_top10_hot_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten hottest days computed from the archive that the streaming ingest stored."""
+    out = run_raw_archive(spark, sf_dir)
+    stored = stored_readings(spark, f"{out}/meteo", "meteo", topics=["iotData_meteo_2024"])
+    return daily.top10_hot_days(daily_weather(weather_readings(stored)), DEFAULT)
+
+
+def archive_water_content_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly soil-water alert computed from the archive that the streaming ingest stored."""
+    out = run_raw_archive(spark, sf_dir)
+    stored = stored_readings(spark, f"{out}/suolo", "suolo")
+    return hourly.water_content_alert(hourly_soil(soil_readings(stored)), DEFAULT)
+
+
+def hourly_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Complete soil hours from the hourly partials of three loads; two of them bring only
+    readings that an event-time stream would have dropped as late."""
+    out = archive_in_loads(spark, sf_dir)
+    hours = hourly_from_partials(spark.read.parquet(f"{out}/hourly_partials_suolo"), "suolo")
+    means = [F.round(c, 9).alias(c) for c in ("avg_water", "pair_water", "pair_temp")]
+    return hours.select("topic", "hour", *means, "n_water", "n_pair")
+
+
+SUBSCRIBED = ("iotData_meteo_2024", "iotData_suolo_3_2024")
+
+
+def route_subscribed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records per channel of an exact subscription to two topics."""
+    routed = route(events_channel(spark, sf_dir), SUBSCRIBED)
+    return routed.groupBy("topic", "kind").agg(F.count(F.lit(1)).alias("n_records"))
+
+
+def suite_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch suite run twice into one folder: rows of each written result. Appended results
+    hold both runs, replaced ones the last."""
+    out = fresh_path(spark, "suite")
+    for _ in range(2):
+        paths = run_batch_suite(stored_weather(spark, sf_dir), out)
+    counts = [(spark.read.parquet(paths[n]) if mode == "append" else read_replaced(spark, paths[n]))
+              .agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("result"), "n_rows")
+              for n, _, mode in SUITE]
+    return reduce(DataFrame.unionAll, counts)
+
+
+def start_all_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole streaming side started at once over ``events``: rows of each output."""
+    base = fresh_path(spark, "start-all")
+    channel = events_channel_stream(spark, sf_dir)
+    await_all(start_all(channel, f"{base}/out", f"{base}/checkpoint", StreamSettings(available_now=True)))
+    outputs = {**{n: (f"{base}/out/raw", "event_id bigint") for n in ("meteo", "suolo", "rejected")},
+               **{n: (f"{base}/out", result_schema(spark, kind_of_result(n), n)) for n in HOURLY_RESULTS}}
+    counts = [read_batches(spark, path, n, schema=schema).agg(F.count(F.lit(1)).alias("n_rows"))
+              .select(F.lit(n).alias("output"), "n_rows") for n, (path, schema) in outputs.items()]
+    return reduce(DataFrame.unionAll, counts)
+
+
+def damaged_lines(events: DataFrame) -> DataFrame:
+    """The channel records of ``events`` with every tenth line damaged, by event id."""
+    kinds = {6: F.lit(None).cast("string"),                                  # no value
+             7: F.substring_index("value", SEPARATOR, 5),                    # five fields
+             8: F.concat(F.lit('1;"'), F.col("value")),                      # a quote left open
+             9: F.concat(F.lit('"in ""quotes"";";'), F.col("value"))}        # one field more
+    parts = [channel_records(events.where("event_id % 10 < 5")),
+             channel_records(events.where("event_id % 10 = 5")).withColumn(
+                 "topic", F.lit("iotData_altro"))]
+    for k, value in kinds.items():
+        parts.append(channel_records(events.where(f"event_id % 10 = {k}")).withColumn("value", value))
+    return reduce(DataFrame.unionAll, parts)
+
+
+def rejects_by_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged lines by what became of them: records of either kind, or rejects by reason.
+    The counts add up to all lines."""
+    lines = damaged_lines(table(spark, sf_dir, "events"))
+    outcomes = (weather_records(lines).select(F.lit("meteo").alias("outcome"))
+                .unionAll(soil_records(lines).select(F.lit("suolo")))
+                .unionAll(rejected_lines(lines).select("reason")))
+    return outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+HOURLY_RESULTS = ("temperature_alert", "dont_irrigate", "water_content_alert",
+                  "water_temperature_ratio", "combined_sickness_alert")
+
+
 def route_topics_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records per channel, counted over what the streaming raw archive stored."""
     out = run_raw_archive(spark, sf_dir)
-    stored = (read_batches(spark, out, "meteo").select("topic")
-              .unionByName(read_batches(spark, out, "suolo").select("topic")))
+    stored = (read_batches(spark, out, "meteo", schema="topic string").select("topic")
+              .unionByName(read_batches(spark, out, "suolo", schema="topic string").select("topic")))
     return (stored.groupBy("topic")
             .agg(F.count(F.lit(1)).alias("n_records"))
             .withColumn("kind", kind_of("topic")))
@@ -165,16 +258,42 @@ def daily_means_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily.daily_means(stored_daily(spark, f"{out}/daily_partials"))
 
 
+BATCH_QUERIES: dict[str, Query] = {
+    "top10_hot_days": _weather_daily(daily.top10_hot_days),
+    "top10_cold_days": _weather_daily(daily.top10_cold_days),
+    "top10_humid_days": _weather_daily(daily.top10_humid_days),
+    "days_to_water": _weather_daily(daily.days_to_water),
+    "last_3_days_trend": _weather_daily(daily.last_3_days_trend),
+    "daily_means": _weather_daily(daily.daily_means),
+    "reading_count": reading_count,
+    "temperature_alert": _weather_hourly(hourly.temperature_alert),
+    "dont_irrigate": _weather_hourly(hourly.dont_irrigate),
+    "dont_irrigate_rain_gt_0": _weather_hourly(hourly.dont_irrigate, RAIN_GT_0),
+    "water_content_alert": _soil_hourly(hourly.water_content_alert),
+    "water_temperature_ratio": _soil_hourly(hourly.water_temperature_ratio),
+    "combined_sickness_alert": _soil_hourly(hourly.combined_sickness_alert),
+    "route_topics": route_topics,
+    "raw_ingest_meteo": raw_ingest_meteo,
+    "raw_ingest_soil": raw_ingest_soil,
+    "parse_lines_meteo": parse_lines_meteo,
+    "parse_lines_soil": parse_lines_soil,
+    "csv_replay": csv_replay_meteo,
+    "csv_import": csv_import_soil,
+    "route_subscribed": route_subscribed,
+    "suite_results": suite_results,
+    "rejects_by_reason": rejects_by_reason,
+}
+
 STREAM_QUERIES: dict[str, Query] = {
-    **{f"{name}_stream": _stream(name) for name in
-       ("temperature_alert", "dont_irrigate", "water_content_alert",
-        "water_temperature_ratio", "combined_sickness_alert")},
+    **{f"{name}_stream": _stream(name) for name in HOURLY_RESULTS},
     "raw_ingest_stream": raw_ingest_stream,
     "route_topics_stream": route_topics_stream,
     "daily_means_rollup": daily_means_rollup,
-    **{f"{name}_per_batch": _per_batch(name) for name in
-       ("temperature_alert", "dont_irrigate", "water_content_alert",
-        "water_temperature_ratio", "combined_sickness_alert")},
+    "archive_top10_hot_days": archive_top10_hot_days,
+    "archive_water_content_alert": archive_water_content_alert,
+    "hourly_rollup": hourly_rollup,
+    "start_all_counts": start_all_counts,
+    **{f"{name}_per_batch": _per_batch(name) for name in HOURLY_RESULTS},
 }
 
 ALL_QUERIES: dict[str, Query] = {**BATCH_QUERIES, **STREAM_QUERIES}

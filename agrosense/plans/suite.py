@@ -13,6 +13,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from agrosense.operators.aggregates import daily_weather
+from agrosense.operators.readings import WEATHER_NUMBERS, rejected_readings
 from agrosense.params import DEFAULT, Thresholds
 from agrosense.plans import daily
 from agrosense.sinks.results import append_results, replace_results
@@ -39,9 +40,15 @@ def batch_results(src: DataFrame, th: Thresholds = DEFAULT) -> tuple[DataFrame,
 
 
 def run_batch_suite(src: DataFrame, out_dir: str, th: Thresholds = DEFAULT) -> dict:
-    """Compute and write all five daily results; returns ``name -> path``."""
+    """Compute and write all five daily results; returns ``name -> path``.
+
+    From readings, those that some result skips are written too (``rejected_readings``: a
+    version per run), with the first field that did not parse."""
     d, results = batch_results(src, th)
     paths = {}
+    if "pioggia_mm" in src.columns:
+        bad = rejected_readings(src, WEATHER_NUMBERS, time_col="day")
+        replace_results(bad.select("topic", "_id", "reason"), f"{out_dir}/rejected_readings")
     try:
         for name, _, mode in SUITE:
             path = f"{out_dir}/{name}"

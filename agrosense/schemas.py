@@ -89,20 +89,6 @@ CHANNEL_SCHEMA = T.StructType([
 ])
 
 
-def positional_schema(n: int) -> str:
-    """DDL of ``n`` string columns ``p0..p{n-1}`` used to split a line by position."""
-    return ", ".join(f"p{i} STRING" for i in range(n))
-
-
-WEATHER_RECORD_SCHEMA = T.StructType(
-    [T.StructField("topic", T.StringType())]
-    + [T.StructField(name, T.StringType()) for name in WEATHER_FIELDS]
-)
-SOIL_RECORD_SCHEMA = T.StructType(
-    [T.StructField("topic", T.StringType())]
-    + [T.StructField(name, T.StringType()) for name in SOIL_FIELDS]
-)
-
 # Result schemas (column names as the reference stores them).
 RESULT_COLUMNS = {
     "last_3_days_trend": ("day_minus_1", "avg_temp1", "avg_hum1", "day_minus_2", "avg_temp2",

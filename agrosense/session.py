@@ -51,8 +51,8 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints, stream state and written tables.
 
-    Reads ``spark.checkpoint.dir`` from the session; only when it is unset (tests, local
-    runs) does it create and register a local one.
+    Reads ``spark.checkpoint.dir`` from the session; only when it is unset and the master is
+    local (tests) does it create and register a local one. Elsewhere that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -62,6 +62,10 @@ def work_dir(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        master = sc.master if sc is not None else "a remote session"
+        if not master.split("[")[0] == "local":
+            raise ValueError(f"spark.checkpoint.dir is not set: {master} needs a folder that the "
+                             "driver and all executors share")
         root = tempfile.mkdtemp(prefix="agrosense-")
         if sc is not None:
             sc.setCheckpointDir(root)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from agrosense.params import DEFAULT, Thresholds
 from agrosense.schemas import SOIL_MARK, WEATHER_MARK
 from agrosense.sources.events_adapter import channel_records
 
@@ -31,17 +32,27 @@ def events_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return channel_records(table(spark, sf_dir, "events"))
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is a folder, asked of the file system it belongs to."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
+
+
 def events_channel_stream(spark: SparkSession, sf_dir: str,
                           max_files_per_trigger: int | None = None) -> DataFrame:
     """The ``events`` table as a file stream, mapped to channel records.
 
-    Only ``events.parquet`` is picked from the folder (``pathGlobFilter``); no copy is made.
+    A table that is a folder of part files is streamed as that folder. A file source needs a
+    folder, so a table that is one file is picked from its parent by name.
     """
-    reader = (spark.readStream.schema(EVENTS_SCHEMA)
-              .option("pathGlobFilter", "events.parquet"))
+    reader = spark.readStream.schema(EVENTS_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return channel_records(reader.parquet(sf_dir.rstrip("/")))
+    path = f"{sf_dir.rstrip('/')}/events.parquet"
+    if is_folder(spark, path):
+        return channel_records(reader.parquet(path))
+    return channel_records(reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir.rstrip("/")))
 
 
 TIME_FIELD = {"meteo": "data_ora", "suolo": "timestamp"}
@@ -55,9 +66,7 @@ def stored_readings(spark: SparkSession, path: str, kind: str | None = None,
     Filters on ``topic`` prune ``topic=`` folders at planning time; ``kind`` selects weather
     or soil topics by their name mark, as the reference's per-topic collections do.
     ``since`` / ``until`` (time text, ``until`` exclusive, e.g. ``'2024-01-05'``) compare the
-    reading's time text; the comparison is pushed to the parquet reader, and because the
-    archive is written per micro-batch its files are clustered in time, so min/max
-    statistics skip the files and row groups outside the range.
+    reading's time text, and its ``day=`` folder, which prunes the folders outside the range.
     """
     df = spark.read.parquet(path)
     if topics:
@@ -70,14 +79,18 @@ def stored_readings(spark: SparkSession, path: str, kind: str | None = None,
         if kind not in TIME_FIELD:
             raise ValueError("a time range needs kind='meteo' or kind='suolo'")
         t = F.col(TIME_FIELD[kind])
+        by_day = "day" in df.columns             # partition folders, written by the archive
         if since:
             df = df.where(t >= F.lit(since))
+            df = df.where(F.col("day") >= F.lit(since[:10])) if by_day else df
         if until:
             df = df.where(t < F.lit(until))
-    return df
+            df = df.where(F.col("day") <= F.lit(until[:10])) if by_day else df
+    return df.drop("day", "query")
 
 
-def stored_daily(spark: SparkSession, path: str, topics: list[str] | None = None) -> DataFrame:
+def stored_daily(spark: SparkSession, path: str, topics: list[str] | None = None,
+                 th: Thresholds = DEFAULT) -> DataFrame:
     """The daily frame combined from the archive's ``daily_partials`` table.
 
     Reads (topic, day) pieces — a few rows per day and micro-batch — instead of every
@@ -88,4 +101,4 @@ def stored_daily(spark: SparkSession, path: str, topics: list[str] | None = None
     df = spark.read.parquet(path)
     if topics:
         df = df.where(F.col("topic").isin(*topics))
-    return daily_from_partials(df)
+    return daily_from_partials(df, th)

@@ -14,13 +14,17 @@ make slower topics late. ``mode='event_time'`` (default) emits one final row per
 hour. ``mode='per_batch'`` reproduces the reference: each micro-batch is aggregated on its
 own, so an hour split over two batches yields two partial rows.
 
-Every sink is written with ``foreachBatch`` to ``<out>/<name>/batch_id=<id>`` with
-overwrite: a batch replayed after a failure replaces its own output, and the checkpoint
+Every sink is written with ``foreachBatch`` to ``<out>/<name>/query=<id>/batch_id=<id>``
+with overwrite: a batch replayed after a failure replaces its own output, and the checkpoint
 (offsets + state) lets a restarted job resume where it stopped.
+
+Rows behind the watermark cannot change an hour that was already emitted; ``late_rows`` counts
+them, and the archive's hourly partials, which no watermark limits, give the complete hours.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import partial
@@ -28,34 +32,47 @@ from functools import partial
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from agrosense.operators.aggregates import daily_partials, hourly_soil, hourly_weather
+from agrosense.functions.columns import valid_day
+from agrosense.operators.aggregates import (
+    daily_partials,
+    hourly_partials,
+    hourly_soil,
+    hourly_weather,
+)
 from agrosense.operators.parse import rejected_lines, soil_records, weather_records
-from agrosense.operators.readings import soil_readings, weather_readings
+from agrosense.operators.readings import (
+    SOIL_NUMBERS,
+    WEATHER_NUMBERS,
+    rejected_readings,
+    soil_readings,
+    weather_readings,
+)
 from agrosense.params import DEFAULT, StreamSettings, Thresholds
 from agrosense.plans import hourly
+from agrosense.schemas import SOIL_MARK, WEATHER_MARK
 from agrosense.sinks.results import batch_writer
 
-def hourly_table(hourly_frame: DataFrame, th: Thresholds = DEFAULT) -> DataFrame:
-    """The closed hours' aggregates themselves (means and counts, every hour).
 
-    Thresholds apply after the mean, so the ``plans.hourly`` functions run unchanged on this
-    table: re-tuning an alert over history reads one row per topic and hour, not the archive.
-    """
-    return hourly_frame
+def closed_hours(hours: DataFrame, th: Thresholds = DEFAULT) -> DataFrame:
+    """The closed hours' aggregates themselves, every hour, whatever the thresholds: the
+    ``plans.hourly`` functions run unchanged on this table, so an alert can be re-tuned over
+    history from one row per topic and hour."""
+    return hours.select("*")
 
 
 WEATHER_RESULTS: dict[str, Callable] = {
     "temperature_alert": hourly.temperature_alert,
     "dont_irrigate": hourly.dont_irrigate,
-    "hourly_meteo": hourly_table,
+    "hourly_meteo": closed_hours,
 }
 SOIL_RESULTS: dict[str, Callable] = {
     "water_content_alert": hourly.water_content_alert,
     "water_temperature_ratio": hourly.water_temperature_ratio,
     "combined_sickness_alert": hourly.combined_sickness_alert,
-    "hourly_suolo": hourly_table,
+    "hourly_suolo": closed_hours,
 }
-RAW_TABLES = ("meteo", "suolo", "rejected", "daily_partials")
+RAW_TABLES = ("meteo", "suolo", "rejected", "rejected_readings", "daily_partials",
+              "hourly_partials_meteo", "hourly_partials_suolo")
 
 
 @dataclass(frozen=True)
@@ -153,12 +170,30 @@ def start_hourly(channel: DataFrame, kind: str, out_dir: str, checkpoint: str,
     return _start(writer, settings, checkpoint, f"{kind}_hourly", channel.sparkSession)
 
 
+def _archived(records: DataFrame, time: str) -> DataFrame:
+    return records.withColumn("day", valid_day(time))
+
+
 def _raw_tables(topics, th: Thresholds):
+    def weather(b):
+        return weather_readings(weather_records(b, topics))
+
+    def soil(b):
+        return soil_readings(soil_records(b, topics))
+
+    def bad_readings(b):
+        # the raw text of a field is in the archive; here is which reading failed, and why
+        return (rejected_readings(weather(b), WEATHER_NUMBERS).select("topic", "_id", "reason")
+                .unionAll(rejected_readings(soil(b), SOIL_NUMBERS).select("topic", "_id", "reason")))
+
     return {
-        "meteo": lambda b: weather_records(b, topics),
-        "suolo": lambda b: soil_records(b, topics),
+        "meteo": lambda b: _archived(weather_records(b, topics), "data_ora"),
+        "suolo": lambda b: _archived(soil_records(b, topics), "timestamp"),
         "rejected": lambda b: rejected_lines(b, topics),
-        "daily_partials": lambda b: daily_partials(weather_readings(weather_records(b, topics)), th),
+        "rejected_readings": bad_readings,
+        "daily_partials": lambda b: daily_partials(weather(b), th),
+        "hourly_partials_meteo": lambda b: hourly_partials(weather(b), "meteo"),
+        "hourly_partials_suolo": lambda b: hourly_partials(soil(b), "suolo"),
     }
 
 
@@ -173,27 +208,58 @@ def start_raw_archive(channel: DataFrame, out_dir: str, checkpoint: str,
     computed from a table of (topic, day) pieces instead of a scan of the whole archive
     (``sources.tables.stored_daily``).
     """
-    by_topic = {"meteo": ["topic"], "suolo": ["topic"]}
+    by_topic = {"meteo": ["topic", "day"], "suolo": ["topic", "day"]}
     writer = channel.select("topic", "value").writeStream.foreachBatch(
         batch_writer(_raw_tables(topics, th), out_dir, partition_by=by_topic))
     return _start(writer, settings, checkpoint, "raw_archive")
 
 
-def await_all(queries: Sequence[StreamingQuery], timeout_s: int | None = None) -> None:
-    """Block until every query ends (or ``timeout_s`` passes); re-raise a query's failure."""
-    for q in queries:
-        q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
-        if q.exception() is not None:
-            raise RuntimeError(f"{q.name}: {q.exception()}")
-
-
-def start_all(channel: DataFrame, out_dir: str, checkpoint_root: str,
+def await_all(queries: Sequence[StreamingQuery], timeout_s: float | None = None,
+              poll_s: float = 0.5) -> None:
+    """Block until every query ended. The first failure stops the others and is raised; so is
+    a time-out, if one is given."""
+    deadline = None if timeout_s is None else time.monotonic() + timeout_s
+    while True:
+        failed = next((q for q in queries if q.exception() is not None), None)
+        late = deadline is not None and time.monotonic() > deadline
+        active = [q for q in queries if q.isActive]
+        if failed is not None or (late and active):
+            for q in active:
+                q.stop()
+            if failed is not None:
+                raise RuntimeError(f"{failed.name}: {failed.exception()}")
+            raise TimeoutError(f"{', '.join(q.name for q in active)} still ran after {timeout_s} s")
+        if not active:
+            return
+        active[0].awaitTermination(poll_s)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the recent micro-batches of a query dropped behind the watermark."""
+    return sum(op.get("numRowsDroppedByWatermark", 0)
+               for p in query.recentProgress for op in dict(p).get("stateOperators", []))
+
+
+def kind_topics(topics: Sequence[str] | None, kind: str) -> list[str] | None:
+    """Those of the subscribed topics that one kind's job needs."""
+    mark = {"meteo": WEATHER_MARK, "suolo": SOIL_MARK}[kind]
+    return None if topics is None else [
+        t for t in topics if mark in t and (kind == "meteo" or WEATHER_MARK not in t)]
+
+
+def start_all(channel, out_dir: str, checkpoint_root: str,
               settings: StreamSettings = StreamSettings(), th: Thresholds = DEFAULT,
               topics: Sequence[str] | None = None) -> list[StreamingQuery]:
-    """Raw archive plus both hourly jobs (the reference's whole streaming side)."""
-    return [
-        start_raw_archive(channel, f"{out_dir}/raw", f"{checkpoint_root}/raw", settings, topics,
-                          th),
-        start_hourly(channel, "meteo", out_dir, f"{checkpoint_root}/meteo", settings, th, topics),
-        start_hourly(channel, "suolo", out_dir, f"{checkpoint_root}/suolo", settings, th, topics),
-    ]
+    """Raw archive plus both hourly jobs (the reference's whole streaming side).
+
+    ``channel`` is a channel stream, or a function from a list of topics (None: all) to one;
+    with a function each hourly job subscribes to its own topics only."""
+    of = channel if callable(channel) else lambda _: channel
+    weather, soil = kind_topics(topics, "meteo"), kind_topics(topics, "suolo")
+    started = [start_raw_archive(of(topics), f"{out_dir}/raw", f"{checkpoint_root}/raw", settings,
+                                 topics, th)]
+    for kind, own in (("meteo", weather), ("suolo", soil)):
+        if own is None or own:
+            started.append(start_hourly(of(own), kind, out_dir, f"{checkpoint_root}/{kind}",
+                                        settings, th, own))
+    return started
