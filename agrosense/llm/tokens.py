@@ -3,7 +3,9 @@
 1. The texts are encoded once with the given tokenizer and the raw ids stored. A task hashes
    all white-space separated words of a batch at once and encodes each word it has not seen
    yet; ids of known words are gathered from its cache. Splitting at ASCII white space does
-   not change the ids of a tokenizer that drops white space and never joins across it.
+   not change the ids of a tokenizer that drops white space and never joins across it; if
+   its pattern also separates letters from punctuation, words are cut there, and if it
+   lower-cases, words that differ in A-Z only are one.
 2. The ids are counted over the whole corpus (at most one row per vocabulary entry) and
    ranked by falling count, so that the commonest ids get the smallest codes.
 3. The documents are range-partitioned and sorted by ``doc_id`` and written as blocks. A
@@ -36,8 +38,11 @@ ship(ph.__name__)
 END_ID = 2
 BLOCK_DOCS = 256
 BLOCK_IDS = 1 << 18
-PIECE_BYTES = 1 << 20            # texts are hashed in pieces of about this size
-CACHE_WORDS = 3_000_000          # words a worker keeps (about 25 bytes each); then it starts anew
+ENCODE_WORDS = 1_000
+# Fixed value: the pattern of pre-tokenizers that separate letters from punctuation.
+SPLIT_PATTERN = r"[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+PIECE_BYTES = 1 << 19            # texts are hashed in pieces of about this size
+CACHE_WORDS = 2_000_000          # words a worker keeps (about 25 bytes each); then it starts anew
 
 
 # ---- encoding ------------------------------------------------------------------------------
@@ -45,11 +50,14 @@ CACHE_WORDS = 3_000_000          # words a worker keeps (about 25 bytes each); t
 class WordCache:
     """Ids of words seen before: sorted word hashes, and the ids of each in one flat array."""
 
-    def __init__(self, tokenizer_json: str, dtype):
+    def __init__(self, tokenizer_json: str, dtype, folds: bool, parts: bool):
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"     # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.dtype = dtype
+        self.dtype, self.folds, self.parts = dtype, folds, parts
         self.clear()
 
     def clear(self):
@@ -61,7 +69,10 @@ class WordCache:
 
     def add(self, hashes: np.ndarray, texts: list[str]) -> None:
         """``hashes`` are sorted and new."""
-        coded = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        coded = []
+        for i in range(0, len(texts), ENCODE_WORDS):
+            part = self.tokenizer.encode_batch_fast(texts[i:i + ENCODE_WORDS], add_special_tokens=False)
+            coded.extend(e.ids for e in part)
         lengths = np.fromiter(map(len, coded), dtype=np.int32, count=len(coded))
         total = int(lengths.sum())
         while self.used + total > len(self.flat):
@@ -77,11 +88,18 @@ class WordCache:
 
     def ids(self, data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in ``data`` and the number of ids of each text."""
-        start, stop = ph.words(data, edges)
+        start, stop = (ph.word_parts if self.parts else ph.words)(data, edges)
         n_docs = len(edges) - 1
         if len(start) == 0:
             return np.zeros(0, dtype=self.dtype), np.zeros(n_docs, dtype=np.int64)
-        h = ph.mix64(ph.span_hash(ph.prefix_sums(data), start, stop))
+        if self.folds:
+            h = ph.mix64(ph.span_hash(ph.prefix_sums(data, ph.LOWERED_VALUES), start, stop))
+            marked = np.concatenate([[0], np.cumsum(data == ord("<"))])
+            exact = np.flatnonzero(marked[stop] > marked[start])    # may hold a special token
+            if len(exact):
+                h[exact] = ph.mix64(~ph.span_hash(ph.prefix_sums(data), start[exact], stop[exact]))
+        else:
+            h = ph.mix64(ph.span_hash(ph.prefix_sums(data), start, stop))
         unique, first, inverse = np.unique(h, return_index=True, return_inverse=True)
         if len(self.hashes) + len(unique) > CACHE_WORDS:
             self.clear()
@@ -106,10 +124,10 @@ class WordCache:
 _CACHES: dict = {}
 
 
-def _word_cache(key: str, tokenizer_json: str, dtype) -> WordCache:
+def _word_cache(key: str, tokenizer_json: str, dtype, folds: bool, parts: bool) -> WordCache:
     if key not in _CACHES:
         _CACHES.clear()
-        _CACHES[key] = WordCache(tokenizer_json, dtype)
+        _CACHES[key] = WordCache(tokenizer_json, dtype, folds, parts)
     return _CACHES[key]
 
 
@@ -158,6 +176,8 @@ def token_ids(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> tup
     spec = json.loads(tokenizer_json)
     top = max([end_id, *spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"])])
     dtype = "<u2" if top < 1 << 16 else "<u4"
+    folds = '"Lowercase"' in json.dumps(spec["normalizer"] or {})
+    parts = SPLIT_PATTERN in json.dumps(spec["pre_tokenizer"] or {}, ensure_ascii=False)
     shared = spark.sparkContext.broadcast(tokenizer_json)     # one file, a few MB
     key = f"{zlib.crc32(tokenizer_json.encode())}-{dtype}"
     id_type = docs.schema["doc_id"].dataType.simpleString()
@@ -165,7 +185,7 @@ def token_ids(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> tup
     def encode(batches):
         import pyarrow as pa
 
-        cache = _word_cache(key, shared.value, np.dtype(dtype))
+        cache = _word_cache(key, shared.value, np.dtype(dtype), folds, parts)
         for b in batches:
             data, offsets = ph.text_buffers(b.column(1))
             flat, ends = encode_texts(cache, data, offsets, end_id)
