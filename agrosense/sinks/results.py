@@ -21,6 +21,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -144,5 +145,10 @@ def read_batches(spark: SparkSession, out_dir: str, name: str,
         _, p, conf = _hadoop(spark, path)
         if not p.getFileSystem(conf).exists(p):
             return spark.createDataFrame([], schema)
-    df = spark.read.parquet(path)
+    try:
+        df = spark.read.parquet(path)
+    except AnalysisException as e:      # batches without rows leave no file in partition folders
+        if schema is None or e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return spark.createDataFrame([], schema)
     return df if keep_batch_id else df.drop("query", "batch_id")
