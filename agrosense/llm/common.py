@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,14 +32,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_SCOPES: list[list[str]] = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the session's shared checkpoint folder and read it back: cuts the
     lineage, and a lost executor costs no recomputation of what lies before."""
     path = fresh_path(df.sparkSession, name)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession):
+    """Within it, tables written by ``stored`` are scratch and deleted at its end. What must
+    outlive it is written to a path of its own, inside."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        conf = spark._jsc.hadoopConfiguration()
+        for name in _SCOPES.pop():
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(conf).delete(path, True)
+
+
 def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if a count shows at most ``rows`` rows, else as it is.
     Give it a stored table: the count is an action."""

@@ -33,8 +33,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from agrosense.llm import prefix_hash as ph
-from agrosense.llm.common import ship, stored
+from agrosense.llm.common import scratch, ship, stored
 from agrosense.llm.components import components
+from agrosense.session import fresh_path
 
 ship(__name__)
 ship(ph.__name__)
@@ -341,8 +342,10 @@ def _sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, width: int = 5, threshold=THRESHOLD) -> DataFrame:
     """One document of each near-duplicate group, the one with the smallest id; a repeated id
     stays once. Columns unchanged."""
-    kept = stored(near_duplicates(docs, width, threshold).where("kept")
-                  .select("doc_id").distinct(), "dedup-kept")
+    spark, path = docs.sparkSession, fresh_path(docs.sparkSession, "dedup-kept")
+    with scratch(spark):
+        near_duplicates(docs, width, threshold).where("kept").select("doc_id").distinct().write.parquet(path)
+    kept = spark.read.parquet(path)
     known = docs.join(kept.withColumnRenamed("doc_id", "__id"),
                       F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
     repeated = docs.groupBy("doc_id").count().where("count > 1").limit(1).count()
