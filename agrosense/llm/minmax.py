@@ -6,8 +6,8 @@ evaluations yield the same signature length. ``BANDS`` bands of ``ROWS`` values
 buckets; at the threshold of 0.85 a pair shares no bucket with a chance of 3 in 10**7.
 
 1. One pass over the texts gives set size, a 128-bit digest of the set, the band keys and one
-   byte of each signature value. Documents with equal sets are one class; only each class's
-   smallest id goes on, so copies never meet as pairs.
+   byte of each signature value. Documents with equal sets are one class; only one row of each
+   class goes on, so copies never meet as pairs.
 2. In every bucket one member is the pivot (another one in each band). Members are paired
    with their pivots; pairs whose sizes or signature bytes rule the threshold out (by more
    than four standard deviations) go, the others are confirmed on full sets. Links give
@@ -20,10 +20,16 @@ buckets; at the threshold of 0.85 a pair shares no bucket with a chance of 3 in
 Sets are built only for documents in such pairs, and travel once per block of pairs, not once
 per pair. Nothing is capped: large buckets are split into more blocks.
 
+Rows are told apart by a 64-bit key of (doc_id, text), so rows with a null id and different
+texts under one id are documents like any other. The row kept of a group is the one with the
+smallest id (null ids last), then the smallest key.
+
 Defined cases: null texts and texts without words have an empty set, are linked with nothing
 and are their own component; fewer words than ``width`` are one shingle; rows that repeat an
 id with its text agree; a null id never names a component (it gets the smallest id of its
-group, or null); an empty table gives an empty result. Other columns are ignored.
+group, or null), so ``component_id`` of two groups can be the same where an id or null has
+several texts, and ``kept`` is true once in each; an empty table gives an empty result. Other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from agrosense.llm import prefix_hash as ph
-from agrosense.llm.common import scratch, ship, stored
+from agrosense.llm.common import bounded, row_key, scratch, ship, stored
 from agrosense.llm.components import components
 from agrosense.session import fresh_path
 
@@ -112,15 +118,20 @@ def _no_set_rows(n):
     return np.zeros(n, dtype=np.int64)
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(row_key(F.col("doc_id"), F.col("text")).alias("row"), "doc_id",
+                       F.col("text").cast("string").alias("text"))
+
+
 def document_signatures(docs: DataFrame, width: int) -> DataFrame:
-    """``doc_id, n, k1, k2, bands, sig`` of every row (``bands`` empty without words)."""
+    """``row, doc_id, n, k1, k2, bands, sig`` of every row (``bands`` empty without words)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def sign(batches):
         import pyarrow as pa
 
         for b in batches:
-            data, offsets = ph.text_buffers(b.column(1))
+            data, offsets = ph.text_buffers(b.column(2))
             for i, j in ph.groups_of(offsets, PIECE_BYTES):
                 sets, offs = shingle_sets(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], width)
                 n = j - i
@@ -133,18 +144,17 @@ def document_signatures(docs: DataFrame, width: int) -> DataFrame:
                     count[full] = 1
                 edges = np.concatenate([[0], np.cumsum(count)])
                 yield pa.RecordBatch.from_arrays([
-                    b.column(0).slice(i, n), pa.array(np.diff(offs)), pa.array(k1), pa.array(k2),
+                    b.column(0).slice(i, n), b.column(1).slice(i, n), pa.array(np.diff(offs)), pa.array(k1), pa.array(k2),
                     pa.ListArray.from_arrays(pa.array((edges * BANDS).astype(np.int32)), pa.array(keys)),
                     ph.binary_column(low.reshape(-1), edges * 2 * PERMS)],
-                    names=["doc_id", "n", "k1", "k2", "bands", "sig"])
+                    names=["row", "doc_id", "n", "k1", "k2", "bands", "sig"])
 
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
-        sign, f"doc_id {kind}, n long, k1 long, k2 long, bands array<long>, sig binary")
+    return _keyed(docs).mapInArrow(
+        sign, f"row long, doc_id {kind}, n long, k1 long, k2 long, bands array<long>, sig binary")
 
 
-def document_sets(docs: DataFrame, width: int) -> DataFrame:
-    """``doc_id, grams``: the sorted shingle hashes of every row as 8-byte integers."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+def document_sets(texts: DataFrame, width: int) -> DataFrame:
+    """``row, grams``: the sorted shingle hashes of every row of ``texts`` (row, text) as 8-byte integers."""
 
     def build(batches):
         import pyarrow as pa
@@ -154,10 +164,9 @@ def document_sets(docs: DataFrame, width: int) -> DataFrame:
             for i, j in ph.groups_of(offsets, PIECE_BYTES):
                 sets, offs = shingle_sets(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], width)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(i, j - i), ph.binary_column(sets, offs)], names=["doc_id", "grams"])
+                    [b.column(0).slice(i, j - i), ph.binary_column(sets, offs)], names=["row", "grams"])
 
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
-        build, f"doc_id {kind}, grams binary")
+    return texts.mapInArrow(build, "row long, grams binary")
 
 
 # ---- pairs -----------------------------------------------------------------------------------
@@ -192,13 +201,13 @@ def confirmed(blocks: DataFrame, sets: DataFrame, threshold) -> DataFrame:
     reach the threshold. Every set comes once to each block that names it."""
     kind = blocks.schema["xs"].dataType.elementType.simpleString()
     named = blocks.select(F.col("key").alias("block"),
-                          F.explode(F.array_distinct(F.concat("xs", "ys"))).alias("doc_id"))
-    brought = named.join(sets, "doc_id").select("block", "doc_id", "grams")
+                          F.explode(F.array_distinct(F.concat("xs", "ys"))).alias("row"))
+    brought = named.join(sets, "row").select("block", "row", "grams")
 
     def check(left, right):
         import pandas as pd
 
-        have = {d: np.frombuffer(g, dtype=np.uint64) for d, g in zip(right["doc_id"], right["grams"])}
+        have = {d: np.frombuffer(g, dtype=np.uint64) for d, g in zip(right["row"], right["grams"])}
         out = []
         for xs, ys in zip(left["xs"], left["ys"]):
             for x, y in zip(xs, ys):
@@ -226,9 +235,9 @@ def _packed(pairs: DataFrame) -> DataFrame:
 
 def _cross_blocks(members: DataFrame, threshold) -> DataFrame:
     """Blocks of likely pairs between different components of a bucket. ``members``: b,
-    doc_id, n, bands, sig, component."""
+    row, n, bands, sig, component."""
     least = _least_equal_bytes(threshold)
-    kind = dict(members.dtypes)["doc_id"]
+    kind = dict(members.dtypes)["row"]
     sizes = members.groupBy("b", "component").agg(F.count(F.lit(1)).alias("n_in"))
     buckets = stored(sizes.groupBy("b").agg(
         F.sum("n_in").alias("n_all"), F.max(F.struct("n_in", "component"))["component"].alias("main"),
@@ -239,13 +248,13 @@ def _cross_blocks(members: DataFrame, threshold) -> DataFrame:
     # strays in n_s blocks against all members in n_m blocks: a stray goes to every member
     # block, a member to every stray block
     n_s, n_m = F.ceil(F.col("n_stray") / BLOCK).cast("int"), F.ceil(F.col("n_all") / BLOCK).cast("int")
-    own = F.xxhash64("doc_id")
+    own = F.xxhash64("row")
     as_stray = size_of.where("stray").select(
-        "b", "doc_id", "n", "bands", "sig", "component", F.lit(True).alias("s"),
+        "b", "row", "n", "bands", "sig", "component", F.lit(True).alias("s"),
         F.pmod(own, n_s).cast("int").alias("i"),
         F.explode(F.sequence(F.lit(0), n_m - 1)).alias("j"))
     as_member = size_of.select(
-        "b", "doc_id", "n", "bands", "sig", "component", F.lit(False).alias("s"),
+        "b", "row", "n", "bands", "sig", "component", F.lit(False).alias("s"),
         F.explode(F.sequence(F.lit(0), n_s - 1)).alias("i"), F.pmod(own, n_m).cast("int").alias("j"))
 
     def pair(part):
@@ -259,10 +268,10 @@ def _cross_blocks(members: DataFrame, threshold) -> DataFrame:
         b, i, j = (int(part[c].iloc[0]) for c in ("b", "i", "j"))
         sig_m = np.stack([np.frombuffer(v, np.uint8) for v in m["sig"]])
         bands_m = np.stack([np.asarray(v, np.int64) for v in m["bands"]])
-        ids_m, n_m, comp_m = m["doc_id"].to_numpy(), m["n"].to_numpy(), m["component"].to_numpy()
-        main_side = ~np.isin(ids_m, s["doc_id"].to_numpy())
+        ids_m, n_m, comp_m = m["row"].to_numpy(), m["n"].to_numpy(), m["component"].to_numpy()
+        main_side = ~np.isin(ids_m, s["row"].to_numpy())
         xs, ys = [], []
-        for doc, n, bands, sig, comp in zip(*(s[c] for c in ("doc_id", "n", "bands", "sig", "component"))):
+        for doc, n, bands, sig, comp in zip(*(s[c] for c in ("row", "n", "bands", "sig", "component"))):
             ok = comp_m != comp
             ok &= threshold[1] * np.minimum(n_m, n) >= threshold[0] * np.maximum(n_m, n)
             ok &= main_side | (ids_m > doc)
@@ -287,23 +296,29 @@ def _cross_blocks(members: DataFrame, threshold) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, width: int = 3, threshold=THRESHOLD) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``."""
+    return _decided(docs, width, threshold).drop("row")
+
+
+def _decided(docs: DataFrame, width: int, threshold) -> DataFrame:
+    """``near_duplicates`` with the key ``row`` of each row."""
     signed = stored(document_signatures(docs, width), "dedup-signatures")
     key = ["k1", "k2", "n"]
-    classes = stored(signed.where("n > 0").groupBy(*key).agg(F.min("doc_id").alias("rep")),
-                     "dedup-classes")
-    heads = signed.select("doc_id", *key, "bands", "sig").where("n > 0").join(
-        classes.where("rep is not null").withColumnRenamed("rep", "doc_id"), ["doc_id", *key])
-    heads = stored(heads.dropDuplicates(["doc_id", *key]).select("doc_id", "n", "bands", "sig"),
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row"))
+    classes = stored(signed.where("n > 0").groupBy(*key).agg(first.alias("first"))
+                     .select(*key, "first", F.col("first.row").alias("row")), "dedup-classes")
+    heads = signed.select("row", *key, "bands", "sig").where("n > 0").join(
+        classes.select("row", *key), ["row", *key])
+    heads = stored(heads.dropDuplicates(["row", *key]).select("row", "n", "bands", "sig"),
                    "dedup-heads")
 
-    slots = heads.select("doc_id", F.explode("bands").alias("b"))
+    slots = heads.select("row", F.explode("bands").alias("b"))
     pivots = stored(slots.groupBy("b").agg(
-        F.min(F.struct(F.xxhash64("doc_id", "b").alias("h"), "doc_id"))["doc_id"].alias("pivot"),
+        F.min(F.struct(F.xxhash64("row", "b").alias("h"), "row"))["row"].alias("pivot"),
         F.count(F.lit(1)).alias("m")).where("m > 1"), "dedup-pivots")
     members = stored(slots.join(pivots, "b"), "dedup-members")
-    met = members.where("doc_id <> pivot").select(F.col("doc_id").alias("x"), F.col("pivot").alias("y"))
+    met = members.where("row <> pivot").select(F.col("row").alias("x"), F.col("pivot").alias("y"))
     met = met.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-    side = lambda s: heads.select(F.col("doc_id").alias(s), F.col("n").alias(f"n_{s}"),
+    side = lambda s: heads.select(F.col("row").alias(s), F.col("n").alias(f"n_{s}"),
                                   F.col("sig").alias(f"s_{s}"))
     likely = stored(_likely(met.join(side("x"), "x").join(side("y"), "y"), threshold), "dedup-likely")
 
@@ -311,9 +326,9 @@ def near_duplicates(docs: DataFrame, width: int = 3, threshold=THRESHOLD) -> Dat
     links = stored(confirmed(stored(_packed(likely), "dedup-blocks"), sets, threshold), "dedup-links")
     parts = stored(components(links), "dedup-parts")
 
-    grown = (members.where("m > 2").select("b", "doc_id").join(heads, "doc_id")
-             .join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-             .withColumn("component", F.coalesce("component", "doc_id")))
+    grown = (members.where("m > 2").select("b", "row").join(heads, "row")
+             .join(parts.withColumnRenamed("node", "row"), "row", "left")
+             .withColumn("component", F.coalesce("component", "row")))
     rest = stored(_cross_blocks(stored(grown, "dedup-open"), threshold), "dedup-rest")
     asked = rest.select(F.explode(F.array_distinct(F.concat("xs", "ys"))).alias("x"))
     more_sets = _sets_of(docs, asked, width)
@@ -322,31 +337,38 @@ def near_duplicates(docs: DataFrame, width: int = 3, threshold=THRESHOLD) -> Dat
         parts = stored(components(parts.select(F.col("node").alias("x"), F.col("component").alias("y"))
                                   .unionAll(more)), "dedup-parts")
 
-    named = classes.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select(
-        *key, F.coalesce("component", "rep").alias("component_id"))
-    out = signed.select("doc_id", *key).join(stored(named, "dedup-names"), key, "left")
-    # a row without words is its own component; a null id names none
-    component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
-                      F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
-
-
-def _sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """Stored shingle sets of the documents whose ids are in the one column of ``ids``."""
-    wanted = stored(ids.toDF("doc_id").distinct(), "dedup-wanted")
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(
-        wanted, "doc_id", "left_semi")
-    return stored(document_sets(texts, width).dropDuplicates(["doc_id"]), "dedup-sets")
+    # the first row of a component is the smallest of its classes' first rows
+    joined = stored(classes.join(parts.withColumnRenamed("node", "row"), "row", "left")
+                    .select(*key, "first", "component"), "dedup-joined")
+    best = stored(joined.where("component is not null").groupBy("component")
+                  .agg(F.min("first").alias("best")), "dedup-best")
+    named = joined.join(bounded(best), "component", "left").withColumn(
+        "best", F.coalesce("best", "first")).select(
+        *key, F.col("best.doc_id").alias("component_id"), F.col("best.row").alias("best_row"))
+    out = signed.select("row", "doc_id", *key).join(stored(named, "dedup-names"), key, "left")
+    # a row without words is its own component
+    empty = F.col("n") == 0
+    return out.select("row", "doc_id", F.col("n").alias("n_shingles"),
+                      F.when(empty, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+                      (empty | (F.col("row") == F.col("best_row"))).alias("kept"))
+
+
+def _sets_of(docs: DataFrame, rows: DataFrame, width: int) -> DataFrame:
+    """Stored shingle sets of the rows whose keys are in the one column of ``rows``."""
+    wanted = stored(rows.toDF("row").distinct(), "dedup-wanted")
+    texts = _keyed(docs).select("row", "text").join(wanted, "row", "left_semi")
+    return stored(document_sets(texts, width).dropDuplicates(["row"]), "dedup-sets")
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5, threshold=THRESHOLD) -> DataFrame:
-    """One document of each near-duplicate group, the one with the smallest id; a repeated id
-    stays once. Columns unchanged."""
+    """One row of each near-duplicate group, the one with the smallest id; a row that repeats
+    an id with its text stays once. Columns unchanged."""
     spark, path = docs.sparkSession, fresh_path(docs.sparkSession, "dedup-kept")
     with scratch(spark):
-        near_duplicates(docs, width, threshold).where("kept").select("doc_id").distinct().write.parquet(path)
+        _decided(docs, width, threshold).where("kept").groupBy("row").count().write.parquet(path)
     kept = spark.read.parquet(path)
-    known = docs.join(kept.withColumnRenamed("doc_id", "__id"),
-                      F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    repeated = docs.groupBy("doc_id").count().where("count > 1").limit(1).count()
-    return known.dropDuplicates(["doc_id"]) if repeated else known
+    repeated = kept.where("count > 1").limit(1).count()
+    kept = kept.select(F.col("row").alias("__row"))
+    known = docs.withColumn("__row", row_key(F.col("doc_id"), F.col("text"))).join(
+        kept, "__row", "left_semi")
+    return (known.dropDuplicates(["__row"]) if repeated else known).drop("__row")

@@ -23,6 +23,7 @@ from .corpus import frame, odd_rows, prose, rows
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+UPPER = str.maketrans("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
 
 
 @pytest.fixture(scope="module")
@@ -306,6 +307,27 @@ def test_one_of_each_group_stays(docs, data):
     assert sorted(i for i in ids if i is not None) == sorted(i for i, v in want.items() if v[2])
 
 
+def test_rows_without_an_id_or_sharing_one_are_documents(spark):
+    import random
+
+    rng = random.Random(4)
+    texts = [prose(rng, 80) for _ in range(8)]
+    near = texts[0].rsplit(" ", 1)[0] + " changed"                       # of texts[0], Jaccard > 0.9
+    data = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (None, near), (None, ""),
+            (7, texts[2]), (7, texts[3]), (7, texts[3]), (8, texts[4]), (None, texts[4]), (9, texts[5]),
+            (None, texts[6].translate(UPPER)), (None, texts[6])]
+    docs = frame(spark, [(i, t, "en", "a") for i, t in data]).repartition(4)
+    left = Counter((r["doc_id"], r["text"].lower()) for r in drop_near_duplicates(docs, 5, (80, 100)).collect())
+    pair = {(None, texts[0].lower()), (None, near.lower())}
+    assert sum(left.pop(x, 0) for x in pair) == 1                        # linked, either one stays
+    want = [(None, texts[1]), (None, ""), (7, texts[2]), (7, texts[3]), (8, texts[4]), (9, texts[5]),
+            (None, texts[6])]
+    assert left == Counter((i, t.lower()) for i, t in want)
+    got = Counter((r["doc_id"], r["component_id"], r["kept"]) for r in near_duplicates(docs, 5, (80, 100)).collect())
+    assert got == Counter({(None, None, True): 5, (None, None, False): 2, (None, 8, False): 1, (7, 7, True): 3,
+                           (8, 8, True): 1, (9, 9, True): 1})
+
+
 # ---- 8: quality rules ---------------------------------------------------------------------------
 
 def test_counts_and_base_rules(docs, data):
