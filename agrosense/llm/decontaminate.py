@@ -2,9 +2,11 @@ r"""Benchmark decontamination with a broadcast hash set of test n-grams.
 
 Words are runs of ASCII digits and letters (A-Z lower-cased) and of all non-ASCII characters.
 Every window of ``n`` consecutive words of a benchmark item (a shorter item is one window)
-goes into a small table keyed by its hash. The documents' windows of the same lengths are
-generated row by row inside one stage, looked up in the broadcast table, and every hash hit
-is verified word by word. A document word inside any verified window is hit.
+goes into a table keyed by its hash. Only the 8-byte hashes are broadcast, in several shares
+of ``BROADCAST_HASHES`` if there are more. The documents' windows of the same lengths are
+generated row by row inside one stage and looked up in the broadcast hashes; the hits, each
+with its own words only, are verified word by word in a join with the windows. A document
+word inside any verified window is hit.
 
 Defined cases: null and empty texts have no words and no hits; null-text or empty items give
 no window; equal windows of several items count for each item; rows are told apart by
@@ -21,6 +23,7 @@ from agrosense.llm.common import ascii_lower, bounded, row_key, stored
 
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 NGRAM = 10
+BROADCAST_HASHES = 1_000_000          # 8-byte hashes in one broadcast: some tens of MB as a hash table
 
 
 def words_of(text: Column) -> Column:
@@ -45,26 +48,36 @@ def hits(docs: DataFrame, benchmark: DataFrame, n: int = NGRAM) -> DataFrame:
     spark = docs.sparkSession
     table = stored(benchmark_windows(benchmark, n), "test-ngrams")
     lengths = [r[0] for r in table.select("len").distinct().orderBy("len").collect()]  # at most n
-    table = bounded(table)
     words = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("k"),
                         words_of(F.col("text").cast("string")).alias("words"))
-    found = []
+    found = None
     for size in lengths:
-        of_size = table.where(F.col("len") == size)
         # explode_outer: no filter on the array is inferred below, where it would split the
         # text again; the null row of a short text matches no window
         starts = F.when(F.size("words") >= size, F.sequence(F.lit(0), F.size("words") - size))
         windows = (words.select("k", "words", F.explode_outer(starts).alias("at"))
                    .withColumn("h", F.xxhash64(F.slice("words", F.col("at") + 1, size))))
-        # array_contains, not ==: an equality would become a join key, built for every window
-        same = F.array_contains(F.array("win"), F.slice("words", F.col("at") + 1, size))
-        found.append(windows.join(of_size, "h").where(same).select("k", "at", "len", "items"))
-    if not found:
+        # from here on a row carries its own few words, never the document's
+        cut = F.slice("words", F.col("at") + 1, size).alias("cut")
+        for hashes in _hash_chunks(table.where(F.col("len") == size)):
+            some = windows.join(F.broadcast(hashes), "h", "left_semi").select("k", "at", "h", cut)
+            found = some if found is None else found.unionAll(some)
+    if found is None:
         return spark.createDataFrame([], "k long, at int, len int, items array<string>")
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionAll(f)
-    return out
+    found = stored(found, "test-candidates")
+    # (h, cut) decides: hash collisions go here, and the length is that of the window
+    same = (F.col("f.h") == F.col("t.h")) & (F.col("cut") == F.col("win"))
+    return found.alias("f").join(bounded(table).alias("t"), same).select("k", "at", "len", "items")
+
+
+def _hash_chunks(table: DataFrame) -> list[DataFrame]:
+    """The distinct hashes of ``table``, 8 bytes each, in shares small enough to broadcast:
+    at most about ``BROADCAST_HASHES`` each, dealt by the hash, which is uniform."""
+    n = table.count()
+    shares = -(-n // BROADCAST_HASHES)
+    hashes = table.select("h").distinct()
+    return [hashes.where(F.pmod("h", F.lit(shares)) == i) if shares > 1 else hashes
+            for i in range(shares)]
 
 
 def _hit_words(occurrences: Column) -> Column:

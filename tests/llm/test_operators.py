@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from agrosense.llm import minmax, suffixes, tokens
+from agrosense.llm import decontaminate, minmax, suffixes, tokens
 from agrosense.llm.decontaminate import contamination, remove_contaminated
 from agrosense.llm.licenses import license_scan
 from agrosense.llm.minmax import drop_near_duplicates, near_duplicates
@@ -166,6 +166,26 @@ def test_contamination_against_brute_force(spark, docs, data):
     assert Counter(r["doc_id"] for r in left.collect()) == Counter(i for i, *_ in data if i not in bad)
 
 
+def test_contamination_without_a_small_benchmark(spark, data, monkeypatch):
+    some = [r for r in data if r[0] is not None and (r[0] < 12 or r[0] == 1006)]      # one of 30,000 words
+    long = next(r[1] for r in some if r[0] == 1006)
+    items = [(1, " ".join(long.split(" ")[20_000:20_040])), (2, "word"), (3, "a b c"), (4, some[0][1])]
+    docs, bench = frame(spark, some), spark.createDataFrame(items, "item_id bigint, text string")
+    monkeypatch.setattr(decontaminate, "bounded", lambda df: df)                      # BROADCAST_ROWS = 0
+    monkeypatch.setattr(decontaminate, "BROADCAST_HASHES", 20, raising=False)         # several shares
+    monkeypatch.setattr(decontaminate, "stored", lambda df, name: df)                 # one plan to look at
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = decontaminate.hits(docs, bench)._jdf.queryExecution().optimizedPlan()
+        sides = [x for x in plan.toString().split("\n") if "Join Inner" in x]
+        assert sides and not any("array_contains" in x for x in sides)                # no words beyond the filter
+        cols = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+        assert collected(contamination(docs, bench), *cols) == brute_contamination(some, items)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 # ---- 5: mixing -----------------------------------------------------------------------------------
 
 def test_mix_reaches_its_targets(docs, data):
