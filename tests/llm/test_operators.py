@@ -377,6 +377,30 @@ def test_outliers_are_rejected_and_the_rest_kept(spark):
     assert sum(kept[i] for i, *_ in good) >= 396
 
 
+def test_moderate_outliers_are_rejected(spark):
+    import random
+
+    rng = random.Random(3)
+    vocabulary = [a + b + c for a in "bdfgklm" for b in "aeiou" for c in ("n", "rt", "sel", "mond", "")]
+    lines = lambda n: [" ".join(rng.choice(vocabulary) for _ in range(10)) for _ in range(n)]
+    good = [(i, "\n".join(lines(rng.randrange(6, 30))), "en", "s") for i in range(600)]
+    bad = {"symbols": [], "repeats": [], "lines": [], "words": []}
+    for _ in range(8):
+        text = " ".join(lines(15))
+        at = rng.sample(range(len(text)), len(text) // 25)              # about 4% of all characters
+        bad["symbols"].append("".join("#" if k in at and c != " " else c for k, c in enumerate(text)))
+        some = lines(14)
+        bad["repeats"].append(" ".join(some + some[:3]))                # 60 of 170 words: 35%
+        bad["lines"].append("\n".join(lines(1)[0] + "\n" + "- -\n" * 25 for _ in range(1)) + lines(12)[0]
+                            + " " + " ".join(lines(9)))                 # short equal lines
+        bad["words"].append("\n".join(lines(400)))                      # 20 times the words
+    planted = [(1000 + i, t, "en", "s") for i, t in enumerate(t for v in bad.values() for t in v)]
+    got = {r["doc_id"]: r for r in quality_rules(frame(spark, good + planted)).collect()}
+    assert [i for i, *_ in planted if got[i]["kept"]] == []
+    assert not any(got[1000 + i]["base_failed"] for i in (*range(16), *range(24, 32)))
+    assert sum(got[i]["kept"] for i, *_ in good) >= 590
+
+
 # ---- 9: licences ----------------------------------------------------------------------------------
 
 def test_license_notices(spark):
