@@ -40,7 +40,8 @@ from agrosense.llm.common import ship, stored
 ship(__name__)
 
 SEGMENT_BITS = 12                     # a segment: rows whose ids differ in the last 12 bits only
-PIECE = 32                            # rows of one search
+PIECE = 8                             # rows of one search
+ROWS_PER_TASK = 20_000                # rows searched by one task
 INFINITE = 1 << 60
 
 # Fixed values of the contract.
@@ -65,62 +66,68 @@ def _codes(text: str) -> list[tuple[int, int]]:
     return [divmod(ord(ch) - 65, 4) for ch in text]
 
 
-def rest_bounds(rows, after: int) -> list[int]:
-    """For each row the least that it and all later rows can cost, plus ``after``."""
-    n = len(rows)
-    least = [after] * (n + 1)
-    following = [n] * n                               # the next row that need not be deleted
-    nxt = n
+def rest_bounds(rows, exits) -> list[list[int]]:
+    """For each row and role state the least that this and all later rows can cost.
+
+    Every row pays what it must alone. Two rows with only rows to be deleted between them, that
+    cannot follow each other as they are, pay 2 more: one of them goes or gets a role, or a turn
+    comes between. So do the state and the first row, and the last row and the exit. The sum
+    over disjoint pairs is a lower bound; the best packing of pairs is taken."""
+    n, after = len(rows), min(exits)
+    must = [f in (BLANK, DUPLICATE) for _, f in rows]
     own = []
-    for i in range(n - 1, -1, -1):
-        following[i] = nxt
-        if rows[i][1] not in (BLANK, DUPLICATE):
-            nxt = i
     for cls, fault in rows:
-        if fault in (BLANK, DUPLICATE):
-            own.append(DELETE_COST)
-        else:
-            cut = TRUNCATED_COST if fault == TRUNCATED else 0
-            own.append(min(DELETE_COST, REROLE_COST + cut) if cls == OTHER else cut)
+        cut = TRUNCATED_COST if fault == TRUNCATED else 0
+        own.append(DELETE_COST if fault in (BLANK, DUPLICATE)
+                   else min(DELETE_COST, REROLE_COST + cut) if cls == OTHER else cut)
+    least = [after] * (n + 1)                         # whatever the state
+    out = [list(exits)] * (n + 1)
+    nxt, deleted = n, 0                               # the next row that may stay; deletions before it
     for i in range(n - 1, -1, -1):
-        best = least[i + 1] + own[i]
-        j = following[i]
-        if j < n and own[i] != DELETE_COST:
-            a, b = rows[i][0], rows[j][0]
-            if OTHER not in (a, b) and (a, b) not in LEGAL_NEXT:
-                # one of them goes or gets a role, or a turn comes between: 2 more at least
-                between = DELETE_COST * (j - i - 1)
-                best = max(best, least[j + 1] + own[i] + own[j] + between + 2)
-        least[i] = best
-    return least
+        if must[i]:
+            deleted += DELETE_COST
+            least[i] = least[i + 1] + DELETE_COST
+        else:
+            cls, best = rows[i][0], least[i + 1] + own[i]
+            if cls != OTHER:
+                if nxt == n:
+                    kept = exits[(AFTER_S, AFTER_U, AFTER_A)[cls]]
+                    best = max(best, deleted + own[i] + min(kept, 2 + after))
+                elif rows[nxt][0] != OTHER and (cls, rows[nxt][0]) not in LEGAL_NEXT:
+                    best = max(best, least[nxt + 1] + own[i] + own[nxt] + deleted + 2)
+            least[i] = best
+            nxt, deleted = i, 0
+        if nxt == n:
+            out[i] = [deleted + min(exits[q], INSERT_COST + after) for q in range(4)]
+        else:
+            first = deleted + own[nxt] + 2 + least[nxt + 1]
+            cls = rows[nxt][0]
+            out[i] = [max(least[i], first) if cls != OTHER and (q, cls) not in STEP else least[i] for q in range(4)]
+    return out
 
 
 def search(rows, state: int, exits) -> tuple[int, str, int] | None:
     """Cheapest path over ``rows`` from ``state``: its cost with the exit's, its edits, and the
     state it ends in. ``exits`` is what follows each end state; None if none can be reached."""
     n = len(rows)
-    rest = rest_bounds(rows, min(exits))
-    bound, most = rest[0], DELETE_COST * n + 2 * INSERT_COST + max(e for e in exits if e < INFINITE)
+    rest = rest_bounds(rows, exits)
+    bound, most = rest[0][state], DELETE_COST * n + 2 * INSERT_COST + max(e for e in exits if e < INFINITE)
     while bound <= most:
         failed: dict = {}
         over = INFINITE
 
         def visit(i, q, left):
             nonlocal over
-            if i == n:
-                if exits[q] <= left:
-                    return "", q
-                over = min(over, exits[q] - left)
-                return None
-            if rest[i] > left:
-                over = min(over, rest[i] - left)
+            if rest[i][q] > left:
+                over = min(over, rest[i][q] - left)
                 return None
+            if i == n:
+                return "", q
             if failed.get((i, q), -1) >= left:
                 return None
-            cls, fault = rows[i]
-            for edit, cost, to_i, to_q in _edits(cls, fault, i, q):
+            for edit, cost, on, to_q in EDITS[rows[i]][q]:
                 if cost <= left:
-                    found = visit(to_i, to_q, left - cost)
+                    found = visit(i + on, to_q, left - cost)
                     if found is not None:
                         return edit + found[0], found[1]
                 else:
@@ -135,15 +142,18 @@ def search(rows, state: int, exits) -> tuple[int, str, int] | None:
     return None
 
 
-def _edits(cls, fault, i, q):
-    """Edits at row ``i`` in ASCII order: initial, cost, next row, next state."""
-    yield "D", DELETE_COST, i + 1, q
-    yield "I", INSERT_COST, i, WANTED[q][1]
+def _edits(cls, fault, q):
+    """Edits of a row in ASCII order: initial, cost, rows passed, next state."""
+    yield "D", DELETE_COST, 1, q
+    yield "I", INSERT_COST, 0, WANTED[q][1]
     if fault not in (BLANK, DUPLICATE):
         cut = TRUNCATED_COST if fault == TRUNCATED else 0
         if (q, cls) in STEP:
-            yield "K", KEEP_COST + cut, i + 1, STEP[q, cls]
-        yield "R", REROLE_COST + cut, i + 1, WANTED[q][1]
+            yield "K", KEEP_COST + cut, 1, STEP[q, cls]
+        yield "R", REROLE_COST + cut, 1, WANTED[q][1]
+
+
+EDITS = {(cls, fault): [tuple(_edits(cls, fault, q)) for q in range(4)] for cls in range(4) for fault in range(4)}
 
 
 def _pieces(rows):
@@ -301,6 +311,12 @@ def _chain_rows(parts):
            illegal, parts[0]["costs"][EMPTY])
 
 
+def _spread(df: DataFrame, rows: int) -> DataFrame:
+    """Codes are few bytes but much work: spread by rows, which Spark would put by bytes into
+    one task."""
+    return df.repartition(max(1, -(-rows // ROWS_PER_TASK)), "c", "seg")
+
+
 def _gathered(df: DataFrame, *cols: str) -> DataFrame:
     return df.groupBy("c").agg(F.array_sort(F.collect_list(F.struct(*cols))).alias("parts"))
 
@@ -376,14 +392,15 @@ def repair(conversations: DataFrame):
     segments = _segments(rows)
 
     many = segments.join(segments.groupBy("c").count().where("count > 1").select("c"), "c", "left_semi")
-    matrices = stored(many.select("c", "seg", "codes").mapInArrow(
+    work = segments.agg(F.sum(F.length("codes"))).first()[0] or 0
+    matrices = stored(_spread(many.select("c", "seg", "codes"), work).mapInArrow(
         _per_row(_matrix_rows, [("seg", pa.int64()), ("m", longs)]), f"{key}, seg long, m array<long>"),
         "repair-matrices")
     exits = _gathered(matrices, "seg", "m").mapInArrow(
         _per_row(_exit_rows, [("seg", pa.int64()), ("exits", longs), ("first", pa.bool_()), ("last", pa.bool_())]),
         f"{key}, seg long, exits array<long>, first boolean, last boolean")
-    solved = stored(segments.join(exits, ["c", "seg"], "left").select(
-        "c", "seg", "codes", "exits", "first", "last").mapInArrow(
+    solved = stored(_spread(segments.join(exits, ["c", "seg"], "left").select(
+        "c", "seg", "codes", "exits", "first", "last"), work).mapInArrow(
         _per_row(_path_rows, [("seg", pa.int64()), ("costs", longs), ("paths", pa.list_(pa.string())), ("ends", ints),
                               *((n, pa.int64()) for n in ("first_cls", "last_cls", "illegal", "blank", "duplicate",
                                                           "truncated"))]),

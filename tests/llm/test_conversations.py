@@ -166,10 +166,10 @@ def test_the_bound_of_the_rest_is_admissible():
     rng = random.Random(5)
     for _ in range(300):
         rows = [(rng.randrange(4), rng.randrange(4)) for _ in range(rng.randrange(1, 10))]
-        assert conv.rest_bounds(rows, 0)[0] <= conv.search(rows, conv.EMPTY, conv.AT_END)[0]
         exact = conv._cost_matrix(rows)
-        for a in range(4):
-            assert conv.rest_bounds(rows, 0)[0] <= min(exact[a])
+        for exits in (conv.AT_END, [0, 0, 0, 0], [9, 3, 1, 0], [conv.INFINITE, conv.INFINITE, 0, conv.INFINITE]):
+            bounds = conv.rest_bounds(rows, exits)
+            assert all(bounds[0][a] <= min(exact[a][b] + exits[b] for b in range(4)) for a in range(4))
 
 
 @pytest.mark.parametrize("data", [[], [(1, 0, "user", "crc drops nothing here.")]])
