@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from agrosense.llm.collocations import collocations
 from agrosense.llm.common import table
 from agrosense.llm.conversations import repaired_conversations
 from agrosense.llm.decontaminate import contamination
@@ -84,6 +85,11 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut_repeats(table(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 collocations of each language over all documents."""
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cheapest repair of the role structure of every damaged conversation."""
     return repaired_conversations(table(spark, sf_dir, "conversations"))
@@ -92,4 +98,4 @@ def op13_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_rule_ensemble, op2_byte_shards, op3_token_files, op4_decontaminate, op5_mix_sources, op6_warc_revisits,
     op7_minmax_dedup, op8_robust_outliers, op9_license_scan, op10_suffix_dedup,
-    op13_repair_conversations)}
+    op12_collocations, op13_repair_conversations)}
