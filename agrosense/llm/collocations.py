@@ -50,7 +50,7 @@ MIN_COUNT, LONGEST, TOP = 30, 4, 2_000
 SCALE, DROP_SHARE = 2_000_000, (80, 100)
 NO_LANGUAGE = "und"
 
-PIECE_BYTES = 8 << 20                 # text coded by one dictionary
+PIECE_BYTES = 3 << 20                 # text coded by one dictionary
 MAP_BITS = 24                         # bits of the map of frequent words
 EXPAND = 16_000                       # bigrams expanded per language in the first round
 SLICE_ROWS, SLICE_BYTES = 1 << 18, 16 << 20
@@ -88,7 +88,8 @@ class Words:
         length = stop - start
         ends = np.zeros(len(start) + 1, dtype=np.int64)
         np.cumsum(length, out=ends[1:])
-        at = np.arange(ends[-1], dtype=np.int64) + np.repeat(start - ends[:-1], length)
+        kind = np.int32 if len(data) < 1 << 31 else np.int64
+        at = np.arange(ends[-1], dtype=kind) + np.repeat((start - ends[:-1]).astype(kind), length)
         column = pa.Array.from_buffers(pa.large_string(), len(start), [
             None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data[at].tobytes())]).dictionary_encode()
         self.code = column.indices.to_numpy().astype(np.int64)
