@@ -93,31 +93,54 @@ r AS (SELECT doc_id, arg_min(license, (-dice, license)) AS license, max(dice) AS
 SELECT doc_id, license, coalesce(dice, 0.0::DOUBLE) AS dice, coalesce(licenses, '') AS licenses
 FROM documents LEFT JOIN r USING (doc_id)"""
 
+SETS_3 = r"""
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                  'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+s AS MATERIALIZED (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+         ELSE list_distinct([array_to_string(w[i:i + 2], ' ') for i in range(1, len(w) - 1)]) END AS g FROM d),
+n AS MATERIALIZED (SELECT doc_id, CAST(len(g) AS BIGINT) AS n FROM s),
+e AS MATERIALIZED (SELECT s.doc_id, unnest(g) AS g FROM s)"""
+
+OP11 = f"""WITH RECURSIVE {SETS_3.strip().removeprefix('WITH ')},
+x AS MATERIALIZED (SELECT e.doc_id, e.g, n.n FROM e JOIN n USING (doc_id)),
+link AS MATERIALIZED (
+  SELECT a.doc_id AS p, b.doc_id AS q FROM x a JOIN x b
+    ON a.g = b.g AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+both_ways AS MATERIALIZED (SELECT p, q FROM link UNION ALL SELECT q, p FROM link),
+reach(doc_id, node) AS (
+  SELECT DISTINCT p, p FROM both_ways
+  UNION
+  SELECT r.doc_id, b.q FROM reach r JOIN both_ways b ON b.p = r.node)
+SELECT n.doc_id, n.n AS n_shingles, coalesce(c.component_id, n.doc_id) AS component_id
+FROM n LEFT JOIN (SELECT doc_id, min(node) AS component_id FROM reach GROUP BY doc_id) c USING (doc_id)"""
+
 OP12 = r"""
 WITH p AS (
   SELECT coalesce(lang, 'und') AS lang,
          unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
-w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
-g AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase
+w AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+g AS MATERIALIZED (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase
       FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i
             FROM w, (VALUES (1), (2), (3), (4)) v(k) WHERE len(ws) >= k)),
-f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
-t AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
-c AS (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 30),
-cut AS (
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
+t AS MATERIALIZED (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS MATERIALIZED (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 30),
+cut AS MATERIALIZED (
   SELECT c.lang, c.phrase, c.a, j, lf.f AS l, rf.f AS r,
          CAST(2000000::HUGEINT * c.a // (lf.f + rf.f) AS BIGINT) AS score
   FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c
   JOIN f lf ON lf.lang = c.lang AND lf.phrase = array_to_string(c.w[1:j], ' ')
   JOIN f rf ON rf.lang = c.lang AND rf.phrase = array_to_string(c.w[j + 1:], ' ')),
-best AS (SELECT lang, phrase, a, min(score) AS score, arg_min(l, (score, j)) AS l, arg_min(r, (score, j)) AS r
+best AS MATERIALIZED (SELECT lang, phrase, a, min(score) AS score, arg_min(l, (score, j)) AS l, arg_min(r, (score, j)) AS r
          FROM cut GROUP BY lang, phrase, a),
-inner_of AS (
+inner_of AS MATERIALIZED (
   SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS most
   FROM (SELECT lang, w, a, m, unnest(range(1, k - m + 2)) AS i FROM c, (VALUES (2), (3)) v(m) WHERE m < k)
   GROUP BY ALL),
-kept AS (SELECT best.* FROM best LEFT JOIN inner_of USING (lang, phrase)
+kept AS MATERIALIZED (SELECT best.* FROM best LEFT JOIN inner_of USING (lang, phrase)
          WHERE most IS NULL OR 100::HUGEINT * most < 80::HUGEINT * a)
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
        phrase, a, l, r, n, score
@@ -126,4 +149,4 @@ QUALIFY rank <= 2000"""
 
 ORACLE_SQL = {"op4_decontaminate": OP4, "op5_mix_sources": OP5,
               "op6_warc_revisits": OP6, "op9_license_scan": OP9,
-              "op12_collocations": OP12}
+              "op11_jaccard_join": OP11, "op12_collocations": OP12}

@@ -13,6 +13,7 @@ from agrosense.llm.licenses import license_scan
 from agrosense.llm.minmax import near_duplicates
 from agrosense.llm.mixing import mix_sources
 from agrosense.llm.outliers import quality_rules
+from agrosense.llm.overlap_join import jaccard_components
 from agrosense.llm.rules import score_documents
 from agrosense.llm.shards import byte_shards
 from agrosense.llm.suffixes import cut_repeats
@@ -85,6 +86,11 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut_repeats(table(spark, sf_dir, "documents"))
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents linked by a Jaccard similarity of 0.9 (three-word shingles)."""
+    return jaccard_components(table(spark, sf_dir, "documents"), 3, (90, 100))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 2,000 collocations of each language over all documents."""
     return collocations(table(spark, sf_dir, "documents"))
@@ -98,4 +104,4 @@ def op13_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_rule_ensemble, op2_byte_shards, op3_token_files, op4_decontaminate, op5_mix_sources, op6_warc_revisits,
     op7_minmax_dedup, op8_robust_outliers, op9_license_scan, op10_suffix_dedup,
-    op12_collocations, op13_repair_conversations)}
+    op11_jaccard_join, op12_collocations, op13_repair_conversations)}
