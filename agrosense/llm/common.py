@@ -65,6 +65,27 @@ def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def bit_map(hashes: DataFrame, bits: int):
+    """Bit map (numpy, 2**bits bits) of the one column of 64-bit hashes: a filter of fixed size.
+    A clear bit says that no hash with these low bits is there; full, it filters nothing."""
+    import numpy as np
+
+    slot = F.col("h").bitwiseAND((1 << bits) - 1)
+    rows = (hashes.toDF("h").groupBy(F.shiftright(slot, 5).alias("k"))
+            .agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 31 as int))")).alias("bits")).toPandas())
+    out = np.zeros(1 << (bits - 5), dtype=np.uint32)
+    out[rows["k"].to_numpy(dtype=np.int64)] = rows["bits"].to_numpy(dtype=np.int64).astype(np.uint32)
+    return out
+
+
+def in_bit_map(bits, hashes):
+    """Whether the bit of each hash (numpy, 64 bits) is set."""
+    import numpy as np
+
+    h = hashes.view(np.uint64) & np.uint64(32 * len(bits) - 1)
+    return (bits[h >> np.uint64(5)] >> (h & np.uint64(31)).astype(np.uint32)).astype(np.uint32) & np.uint32(1) == 1
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only. ``lower`` does the same, and faster, on pure ASCII text."""
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(

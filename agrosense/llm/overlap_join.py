@@ -13,16 +13,18 @@ factor; linked sets are in one interval or in neighbours, and differ in at most
 there. Shingles are dealt by hash into ``d + 1`` parts, so one part at least is equal in both:
 buckets are equal parts, and no link is lost (equal hashes of unequal parts only cost time).
 
-1. One pass gives every row's set size and a 128-bit digest; equal sets are one class, and only
-   one of each goes on. A second pass gives the classes' part keys.
+1. One pass gives every row's set size and a 128-bit digest; equal sets are one class. Another
+   counts part keys; a bit map of fixed size keeps those found twice, and a third pass gives
+   the classes that have them, so most part keys are shuffled once, as a count.
 2. Each bucket's smallest member is its pivot. Pivots are the queries, their members the index,
    in blocks of ``BLOCK_BYTES`` of sets. Links give components.
 3. Links no pivot showed join different components of a bucket. The members outside the
-   bucket's largest component are queried against all members, block against block. Most
-   buckets have one component by then. The components of all links are the result.
+   bucket's largest component ask all members that sizes admit: each pair once over all
+   buckets of up to ``SMALL`` members, block against block in larger ones. Most buckets have
+   one component by then. The components of all links are the result.
 
-Nothing is capped; large buckets have more blocks. Sets travel only for documents in buckets
-of two or more.
+Nothing is capped; large buckets have more blocks. What travels to the blocks are the texts
+(half the bytes of their sets), only of documents that a search names.
 
 Defined cases: null texts and texts without words have an empty set, are linked with nothing
 and are their own component (``component_id`` is their id); fewer words than ``width`` are one
@@ -41,20 +43,23 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agrosense.llm import minmax
+from agrosense.llm import common, minmax
 from agrosense.llm import prefix_hash as ph
-from agrosense.llm.common import ship, stored
+from agrosense.llm.common import bit_map, in_bit_map, ship, stored
 from agrosense.llm.components import components
 from agrosense.llm.minmax import shingle_sets
 
 ship(__name__)
 ship(ph.__name__)
 ship(minmax.__name__)
+ship(common.__name__)
 
 THRESHOLD = (90, 100)                 # 100 * intersection >= 90 * union
 MU = 0.0085                           # DivideSkip: the share of lists that count as long
 BLOCK_BYTES = 4 << 20                 # bytes of sets in one index
 PIECE_BYTES = 1 << 20
+SMALL = 256                           # members of a bucket whose open pairs are listed
+MAP_BITS = 24                         # bits of the maps of shared parts and wanted rows
 
 
 # ---- sizes and parts -------------------------------------------------------------------------
@@ -170,6 +175,7 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def _in_pieces(batches, width, make):
+    """``make(rows, sets, offsets)`` for stretches of about ``PIECE_BYTES``; text is the last column."""
     for b in batches:
         data, offsets = ph.text_buffers(b.column(b.num_columns - 1))
         for i, j in ph.groups_of(offsets, PIECE_BYTES):
@@ -177,59 +183,84 @@ def _in_pieces(batches, width, make):
 
 
 def _digests(sets, offsets):
+    """Sizes and 128-bit digests of the sets, as an Arrow binary column."""
     n = np.diff(offsets)
-    k = np.zeros((2, len(n)), dtype=np.uint64)
+    k = np.zeros((len(n), 2), dtype=np.uint64)
     full = np.flatnonzero(n)
     if len(full):
-        k[0, full] = np.add.reduceat(ph.mix64(sets ^ np.uint64(0x2545F4914F6CDD1D)), offsets[full])
-        k[1, full] = np.add.reduceat(ph.mix64(sets + np.uint64(0x632BE59BD9B4E019)), offsets[full])
-    return n, k.view(np.int64)
+        k[full, 0] = np.add.reduceat(ph.mix64(sets ^ np.uint64(0x2545F4914F6CDD1D)), offsets[full])
+        k[full, 1] = np.add.reduceat(ph.mix64(sets + np.uint64(0x632BE59BD9B4E019)), offsets[full])
+    return n, ph.binary_column(k.reshape(-1), 2 * np.arange(len(n) + 1))
 
 
 def document_digests(docs: DataFrame, width: int) -> DataFrame:
-    """``row, doc_id, n, k1, k2``: set size and digest of every row."""
+    """``row, doc_id, n, id``: key, set size and set digest of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         import pyarrow as pa
 
         def make(b, sets, offsets):
-            n, k = _digests(sets, offsets)
-            return pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n), pa.array(k[0]), pa.array(k[1])],
-                                              names=["row", "doc_id", "n", "k1", "k2"])
+            n, digest = _digests(sets, offsets)
+            return pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n), digest],
+                                              names=["row", "doc_id", "n", "id"])
         return _in_pieces(batches, width, make)
 
-    return _texts(docs).mapInArrow(run, f"row binary, doc_id {kind}, n long, k1 long, k2 long")
+    return _texts(docs).mapInArrow(run, f"row binary, doc_id {kind}, n long, id binary")
 
 
-def document_parts(texts: DataFrame, width: int, threshold) -> DataFrame:
-    """``id, b``: a row for each part key of the texts (id, text)."""
+def part_hashes(docs: DataFrame, width: int, threshold) -> DataFrame:
+    """``b``: a row for each part key of each document."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        return _in_pieces(batches, width, lambda b, sets, offsets: pa.RecordBatch.from_arrays(
+            [pa.array(part_keys(sets, offsets, threshold)[0].view(np.int64))], names=["b"]))
+
+    return docs.select(F.col("text").cast("string")).mapInArrow(run, "b long")
+
+
+def bucket_members(docs: DataFrame, width: int, threshold, shared: np.ndarray) -> DataFrame:
+    """``b, id``: classes by the part keys that the map ``shared`` has."""
 
     def run(batches):
         import pyarrow as pa
 
         def make(b, sets, offsets):
             keys, edges = part_keys(sets, offsets, threshold)
-            at = np.repeat(np.arange(b.num_rows), np.diff(edges))
-            return pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at)), pa.array(keys.view(np.int64))], names=["id", "b"])
+            keep = in_bit_map(shared, keys)
+            at = np.repeat(np.arange(b.num_rows), np.diff(edges))[keep]
+            return pa.RecordBatch.from_arrays([pa.array(keys[keep].view(np.int64)), _digests(sets, offsets)[1].take(pa.array(at))],
+                                              names=["b", "id"])
         return _in_pieces(batches, width, make)
 
-    return texts.mapInArrow(run, "id long, b long")
+    return docs.select(F.col("text").cast("string")).mapInArrow(run, "b long, id binary")
 
 
-def document_sets(texts: DataFrame, width: int) -> DataFrame:
-    """``id, grams``: the sorted shingle hashes of the texts (id, text)."""
+def wanted_texts(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """``id, text`` of the stored ``rows`` (row, id). One pass over the documents passes on those
+    whose row key is in a bit map, each once per task, so other texts are not shuffled."""
+    bits = bit_map(rows.select(F.xxhash64("row")), MAP_BITS)
 
     def run(batches):
         import pyarrow as pa
 
-        return _in_pieces(batches, width, lambda b, sets, offsets: pa.RecordBatch.from_arrays(
-            [b.column(0), ph.binary_column(sets, offsets)], names=["id", "grams"]))
+        seen = set()
+        for b in batches:
+            keep = in_bit_map(bits, b.column(1).to_numpy())
+            for k in np.flatnonzero(keep):
+                key = b.column(0)[int(k)].as_py()
+                keep[k] = key not in seen
+                seen.add(key)
+            if keep.any():
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(2)], names=["row", "text"]).filter(pa.array(keep))
 
-    return texts.mapInArrow(run, "id long, grams binary")
+    found = _texts(docs).select("row", F.xxhash64("row").alias("h"), "text").mapInArrow(run, "row binary, text string")
+    return found.join(rows, "row").select("id", "text")
 
 
-def _searched(named: DataFrame, sets: DataFrame, threshold) -> DataFrame:
+def _searched(named: DataFrame, texts: DataFrame, width: int, threshold) -> DataFrame:
     """Links ``x, y`` of blocks. ``named`` (block, id, query, part) says which documents of a
     block are queries and which are indexed; a query skips documents of its own ``part``, and
     of two queries that are both indexed the smaller asks."""
@@ -237,82 +268,110 @@ def _searched(named: DataFrame, sets: DataFrame, threshold) -> DataFrame:
     def search(block):
         import pandas as pd
 
+        block = block.drop_duplicates(["id", "query"])
         asks, has = block[block["query"]], block[~block["query"]]
         links = []
         if len(asks) and len(has):
-            read = lambda g: np.frombuffer(g, dtype=np.uint64)
-            index = Index([read(g) for g in has["grams"]], threshold)
-            ids, parts = has["id"].to_numpy(), has["part"].to_numpy()
-            also = np.isin(ids, asks["id"].to_numpy())
-            for x, part, grams in zip(asks["id"], asks["part"], asks["grams"]):
-                wanted = set(np.flatnonzero((parts != part) & (~also | (ids > x))).tolist())
-                links += [(x, ids[k]) for k in index.search(read(grams), wanted)]
-        return pd.DataFrame(links, columns=["x", "y"], dtype="int64")
+            both = list({**dict(zip(has["id"], has["text"])), **dict(zip(asks["id"], asks["text"]))}.items())
+            raw = [t.encode() for _, t in both]
+            edges = np.concatenate([[0], np.cumsum([len(t) for t in raw])]).astype(np.int64)
+            flat, offsets = shingle_sets(np.frombuffer(b"".join(raw), np.uint8), edges, width)
+            sets = {i: flat[offsets[k]:offsets[k + 1]] for k, (i, _) in enumerate(both)}
+            ids, parts = list(has["id"]), list(has["part"])
+            index, asking = Index([sets[i] for i in ids], threshold), set(asks["id"])
+            for x, part in zip(asks["id"], asks["part"]):
+                wanted = {k for k, (i, p) in enumerate(zip(ids, parts)) if p != part and (i > x or i not in asking)}
+                links += [(x, ids[k]) for k in index.search(sets[x], wanted)]
+        return pd.DataFrame(links, columns=["x", "y"])
 
-    return named.join(sets, "id").groupBy("block").applyInPandas(search, "x long, y long")
+    return named.join(texts, "id").groupBy("block").applyInPandas(search, "x binary, y binary")
 
 
 def _blocks_of(size):
     return F.greatest(F.lit(1), F.ceil(size * 8 / BLOCK_BYTES)).cast("int")
 
 
-def _pivot_blocks(met: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Pairs (x, pivot) as blocks: each pivot asks its members, some MB of them at a time."""
-    load = met.join(sizes, "id").groupBy("pivot").agg(F.sum("n").alias("load"))
-    cut = met.join(load, "pivot").withColumn("k", F.pmod(F.xxhash64("id"), _blocks_of(F.col("load"))))
-    block = F.struct("pivot", "k").alias("block")
-    return cut.select(block, "id", F.lit(False).alias("query"), F.col("id").alias("part")).unionAll(
-        cut.select(block, F.col("pivot").alias("id"), F.lit(True).alias("query"), F.lit(-1).cast("long").alias("part")).distinct())
+def _sized(pairs: DataFrame, sizes: DataFrame, threshold) -> DataFrame:
+    """The distinct pairs (x, y) whose set sizes can link, with y's size ``n``."""
+    num, den = threshold
+    side = lambda c, n: sizes.select(F.col("id").alias(c), F.col("n").alias(n))
+    return pairs.distinct().join(side("x", "n_x"), "x").join(side("y", "n"), "y").where(
+        den * F.least("n", "n_x") >= num * F.greatest("n", "n_x")).select("x", "y", "n")
+
 
+def _pair_blocks(pairs: DataFrame) -> DataFrame:
+    """Pairs (x, y, n) as blocks: each x asks its ys, some MB of them at a time."""
+    load = pairs.groupBy("x").agg(F.sum("n").alias("load"))
+    cut = pairs.join(load, "x").withColumn("k", F.pmod(F.xxhash64("y"), _blocks_of(F.col("load"))))
+    block = F.struct(F.col("x").alias("b"), F.col("k").cast("int").alias("i"), F.lit(0).alias("j")).alias("block")
+    return cut.select(block, F.col("y").alias("id"), F.lit(False).alias("query"), F.col("y").alias("part")).unionAll(
+        cut.select(block, F.col("x").alias("id"), F.lit(True).alias("query"), F.unhex(F.lit("")).alias("part")).distinct())
 
-def _open_blocks(members: DataFrame) -> DataFrame:
-    """Blocks of the buckets with several components. ``members``: b, id, n, component."""
+
+def _open(members: DataFrame) -> DataFrame:
+    """Members (b, id, n, component) of the buckets with several components, with the bucket's
+    largest one ``main`` and what it holds."""
     sizes = members.groupBy("b", "component").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("load"))
-    buckets = sizes.groupBy("b").agg(F.sum("load").alias("all"), F.max(F.struct("c", "component", "load")).alias("main"),
-                                     F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    told = members.join(buckets.select("b", _blocks_of(F.col("all")).alias("n_has"), F.col("main.component").alias("main"),
+    buckets = sizes.groupBy("b").agg(
+        F.sum("c").alias("c"), F.sum("load").alias("all"), F.max(F.struct("c", "component", "load")).alias("main"),
+        F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    return members.join(buckets.select("b", "c", _blocks_of(F.col("all")).alias("n_has"), F.col("main.component").alias("main"),
                                        _blocks_of(F.col("all") - F.col("main.load")).alias("n_asks")), "b")
-    own = F.xxhash64("id")
+
+
+def _open_pairs(told: DataFrame) -> DataFrame:
+    """Pairs (x, y) of small open buckets that no component joins; x is outside the main one."""
+    told = told.where(F.col("c") <= SMALL)
+    asks = told.where("component <> main").select("b", F.col("id").alias("x"), F.col("component").alias("cx"))
+    has = told.select("b", F.col("id").alias("y"), F.col("component").alias("cy"), (F.col("component") == F.col("main")).alias("m"))
+    return asks.join(has, "b").where("cx <> cy and (m or x < y)").select("x", "y")
+
+
+def _open_blocks(told: DataFrame) -> DataFrame:
+    """Blocks of the large open buckets."""
+    told, own = told.where(F.col("c") > SMALL), F.xxhash64("id")
     asks = told.where("component <> main").select(
         "b", "id", F.lit(True).alias("query"), F.col("component").alias("part"),
         F.pmod(own, F.col("n_asks")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("n_has") - 1)).alias("j"))
     has = told.select("b", "id", F.lit(False).alias("query"), F.col("component").alias("part"),
                       F.explode(F.sequence(F.lit(0), F.col("n_asks") - 1)).alias("i"),
                       F.pmod(own, F.col("n_has")).cast("int").alias("j"))
-    return asks.unionAll(has).select(F.struct("b", "i", "j").alias("block"), "id", "query", "part")
+    block = F.struct(F.unhex(F.hex("b")).alias("b"), "i", "j").alias("block")
+    return asks.unionAll(has).select(block, "id", "query", "part")
 
 
 def jaccard_components(docs: DataFrame, width: int = 3, threshold=THRESHOLD) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
     signed = stored(document_digests(docs, width), "join-digests")
-    key = ["k1", "k2", "n"]
-    heads = stored(signed.where("n > 0").groupBy(*key).agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"))
-        .select(*key, "first", F.col("first.row").alias("row"), F.monotonically_increasing_id().alias("id")), "join-heads")
+    heads = stored(signed.where("n > 0").groupBy("id").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"), F.first("n").alias("n")),
+        "join-heads")
     sizes = heads.select("id", "n")
 
-    wanted = lambda ids: _texts(docs).select("row", "text").join(ids, "row").select("id", "text")
-    parts = stored(document_parts(wanted(heads.select("row", "id")), width, threshold), "join-parts")
-    pivots = parts.groupBy("b").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("pivot < last")
-    members = stored(parts.join(pivots.select("b", "pivot"), "b").distinct(), "join-members")
-    met = stored(members.where("id <> pivot").select("id", "pivot").distinct(), "join-met")
-
-    asked = stored(members.select("id").distinct().join(heads.select("id", "row"), "id"), "join-asked")
-    sets = stored(document_sets(wanted(asked), width).dropDuplicates(["id"]), "join-sets")
-    links = stored(_searched(_pivot_blocks(met, sizes), sets, threshold), "join-links")
+    def links_in(blocks):
+        blocks = stored(blocks, "join-blocks")
+        rows = stored(blocks.select("id").distinct().join(heads.select("id", F.col("first.row").alias("row")), "id"), "join-asked")
+        return stored(_searched(blocks, stored(wanted_texts(docs, rows), "join-texts"), width, threshold), "join-links")
+
+    shared = part_hashes(docs, width, threshold).groupBy("b").count().where("count > 1").select("b")
+    members = stored(bucket_members(docs, width, threshold, bit_map(shared, MAP_BITS)).distinct(), "join-parts")
+    pivots = members.groupBy("b").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("pivot < last")
+    members = stored(members.join(pivots.select("b", "pivot"), "b"), "join-members")
+    met = members.where("id <> pivot").select(F.col("pivot").alias("x"), F.col("id").alias("y"))
+    links = links_in(_pair_blocks(stored(_sized(met, sizes, threshold), "join-met")))
     groups = stored(components(links), "join-groups")
 
-    grouped = members.select("b", "id").join(groups.withColumnRenamed("node", "id"), "id", "left").join(sizes, "id").select(
-        "b", "id", "n", F.coalesce("component", "id").alias("component"))
-    more = stored(_searched(_open_blocks(stored(grouped, "join-grouped")), sets, threshold), "join-more-links")
+    told = stored(_open(members.select("b", "id").join(groups.withColumnRenamed("node", "id"), "id", "left").join(sizes, "id").select(
+        "b", "id", "n", F.coalesce("component", "id").alias("component"))), "join-open")
+    more = links_in(_pair_blocks(stored(_sized(_open_pairs(told), sizes, threshold), "join-open-pairs")).unionAll(_open_blocks(told)))
     if not more.isEmpty():
         groups = stored(components(groups.select(F.col("node").alias("x"), F.col("component").alias("y"))
                                    .unionAll(more)), "join-groups")
 
     owned = stored(heads.join(groups.withColumnRenamed("node", "id"), "id", "left").select(
-        *key, "first", F.coalesce("component", "id").alias("component")), "join-owned")
+        "id", "first", F.coalesce("component", "id").alias("component")), "join-owned")
     best = owned.groupBy("component").agg(F.min("first").alias("best"))
-    named = stored(owned.join(best, "component").select(*key, F.col("best.doc_id").alias("component_id")), "join-names")
-    return signed.join(named, key, "left").select(
+    named = stored(owned.join(best, "component").select("id", F.col("best.doc_id").alias("component_id")), "join-names")
+    return signed.join(named, "id", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))

@@ -61,19 +61,22 @@ def collected(df):
     return sorted((tuple(r) for r in df.select("doc_id", "n_shingles", "component_id").collect()), key=repr)
 
 
-@pytest.mark.parametrize("block", [4 << 20, 2_000])
-@pytest.mark.parametrize("threshold", [(90, 100), (70, 100)])
-def test_join_equals_all_pairs(spark, monkeypatch, block, threshold):
+@pytest.mark.parametrize("block, small, threshold", [(4 << 20, 256, (90, 100)), (2_000, 1, (70, 100))])
+def test_join_equals_all_pairs(spark, monkeypatch, block, small, threshold):
     monkeypatch.setattr(oj, "BLOCK_BYTES", block)
+    monkeypatch.setattr(oj, "SMALL", small)
     data = rows(n=60) + odd_rows() + near_copies(3, 30, 12)
     got = collected(jaccard_components(frame(spark, data).repartition(6), 3, threshold))
     assert got == brute(data, *threshold)
     assert len({c for *_, c in got}) < len(data) - 80
 
 
-def test_a_chain_of_near_copies_with_a_common_line(spark, monkeypatch):
-    """Most links are between members that no pivot shows."""
+@pytest.mark.parametrize("small", [256, 5])
+def test_a_chain_of_near_copies_with_a_common_line(spark, monkeypatch, small):
+    """Most links are between members that no pivot shows; a full bit map filters nothing."""
     monkeypatch.setattr(oj, "BLOCK_BYTES", 3_000)
+    monkeypatch.setattr(oj, "SMALL", small)
+    monkeypatch.setattr(oj, "MAP_BITS", 6)
     rng = random.Random(1)
     line = prose(rng, 30)
     words, data = prose(rng, 60).split(" "), []
