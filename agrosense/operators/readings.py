@@ -29,21 +29,22 @@ WEATHER_NUMBERS = ("temp1_media", "ur1_media", "pioggia_mm")
 SOIL_NUMBERS = ("water_0", "temperature_0", "water_1", "temperature_1")
 
 
-def weather_readings(records: DataFrame, on_error: str = "quarantine") -> DataFrame:
+def weather_readings(records: DataFrame, on_error: str = "quarantine", keep: Sequence[str] = ()) -> DataFrame:
     """topic, _id, data_ora, event_time, day, hour, temp1_media, ur1_media, pioggia_mm.
 
     ``on_error='fail'`` stops the query on the first field that does not parse (the
-    reference's behaviour) instead of nulling it for a per-query reject.
+    reference's behaviour) instead of nulling it for a per-query reject. ``keep`` names further
+    columns to pass through.
     """
     return records.select(
         "topic", "_id", "data_ora", *_time_columns("data_ora", on_error),
         to_number("temp1_media", on_error).alias("temp1_media"),
         to_number("ur1_media", on_error).alias("ur1_media"),
-        to_number("pioggia_mm", on_error).alias("pioggia_mm"),
+        to_number("pioggia_mm", on_error).alias("pioggia_mm"), *keep,
     )
 
 
-def soil_readings(records: DataFrame, on_error: str = "quarantine") -> DataFrame:
+def soil_readings(records: DataFrame, on_error: str = "quarantine", keep: Sequence[str] = ()) -> DataFrame:
     """topic, _id, timestamp, event_time, day, hour, the four probes, and the pair means.
 
     ``water`` is the mean of the two probes' water content, ``soil_temp`` the mean of their
@@ -51,7 +52,7 @@ def soil_readings(records: DataFrame, on_error: str = "quarantine") -> DataFrame
     """
     typed = records.select(
         "topic", "_id", "timestamp", *_time_columns("timestamp", on_error),
-        *[to_number(c, on_error).alias(c) for c in SOIL_NUMBERS],
+        *[to_number(c, on_error).alias(c) for c in SOIL_NUMBERS], *keep,
     )
     return typed.withColumns({
         "water": (F.col("water_0") + F.col("water_1")) / 2,
