@@ -236,3 +236,44 @@ ORACLE_SQL["start_all_counts"] = "\nUNION ALL\n".join(
     + [f"SELECT '{n}' AS output, count(*) AS n_rows FROM ({ORACLE_SQL[key]})"
        for n, key in (("meteo", "raw_ingest_meteo"), ("suolo", "raw_ingest_soil"))]
     + ["SELECT 'rejected' AS output, CAST(0 AS BIGINT) AS n_rows"])
+
+
+# Tables on the commit log. A topic's hours close by its own latest reading, less the delay.
+def _closed_by_topic(kind: str, delay: str, group: str, select: str) -> str:
+    return _with(f"""
+SELECT topic, hour, {select} FROM {kind}
+GROUP BY topic, hour
+HAVING strptime(hour, '%Y-%m-%d %H') + INTERVAL 1 HOUR <=
+       (SELECT date_trunc('second', max(o.event_time)) FROM {kind} o WHERE o.topic = {group}.topic) - INTERVAL {delay}""")
+
+
+ORACLE_SQL.update({
+    "archive_log_meteo": ORACLE_SQL["raw_ingest_meteo"],
+    "archive_log_two_days": _with("""
+SELECT topic, _id, data_ora, temp1_media FROM weather, (SELECT max(data_ora)[1:10] AS last FROM weather)
+WHERE data_ora < last AND data_ora >= strftime(CAST(last AS DATE) - INTERVAL 2 DAY, '%Y-%m-%d')"""),
+    "daily_means_incremental": ORACLE_SQL["daily_means"],
+    "hourly_rollup_meteo": _closed_by_topic("weather", "10 MINUTE", "weather", f"""{_r('avg(temp1_media)', 9)} AS avg_temp,
+       {_r('avg(pioggia_mm)', 9)} AS avg_rain, count(*) AS n_temp, count(*) AS n_rain"""),
+    "per_topic_hours": _closed_by_topic("soil", "1 HOUR", "soil", f"""{_r('avg(water)', 9)} AS avg_water,
+       {_r('avg(soil_temp)', 9)} AS pair_temp, count(*) AS n_water, count(*) AS n_pair"""),
+    # a reading is late if its hour ended before the watermark that the loads before its own left
+    "late_reading_counts": _with("""
+SELECT topic, count(*) FILTER (WHERE NOT late) AS n_used, count(*) FILTER (WHERE late) AS n_late,
+       count(*) FILTER (WHERE late) AS n_kept
+FROM judged GROUP BY topic""",
+        """loaded AS (SELECT topic, hour, date_trunc('second', event_time) AS t, minute(event_time) // 20 AS load FROM soil)""",
+        """reached AS (SELECT a.topic, l.load, max(a.t) AS before FROM loaded a, (VALUES (0), (1), (2)) l(load)
+                WHERE a.load < l.load GROUP BY a.topic, l.load)""",
+        """judged AS (SELECT loaded.topic, coalesce(strptime(hour, '%Y-%m-%d %H') + INTERVAL 1 HOUR
+                       <= before - INTERVAL 1 HOUR, false) AS late
+                FROM loaded LEFT JOIN reached ON loaded.topic = reached.topic AND loaded.load = reached.load)"""),
+    "suite_once_values": f"""
+SELECT 'last_3_days_trend' AS result, day_minus_1 AS day, avg_temp1 AS value, run_id
+FROM ({ORACLE_SQL['last_3_days_trend']}), (VALUES ('run-1'), ('run-2')) r(run_id)
+UNION ALL SELECT 'days_to_water', day, CAST("totTempOver22" AS DOUBLE), run_id
+FROM ({ORACLE_SQL['days_to_water']}), (VALUES ('run-1'), ('run-2')) r(run_id)
+UNION ALL SELECT 'top10_humid_days', day, avg_humidity, 'run-2' FROM ({ORACLE_SQL['top10_humid_days']})
+UNION ALL SELECT 'top10_hot_days', day, avg_temp, 'run-2' FROM ({ORACLE_SQL['top10_hot_days']})
+UNION ALL SELECT 'top10_cold_days', day, avg_temp, 'run-2' FROM ({ORACLE_SQL['top10_cold_days']})""",
+})

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,9 +32,10 @@ from agrosense.plans.pipeline import (
     stored_weather,
     weather_from_events,
 )
-from agrosense.plans.suite import SUITE, run_batch_suite
+from agrosense.plans.suite import SUITE, run_batch_suite, run_suite_once
 from agrosense.schemas import SEPARATOR, TIME_FORMAT
 from agrosense.session import fresh_path
+from agrosense.sinks.log import latest_version, read_table, snapshot
 from agrosense.sinks.results import read_batches, read_replaced
 from agrosense.sources.events_adapter import (
     channel_records,
@@ -48,12 +50,27 @@ from agrosense.sources.tables import (
     stored_readings,
     table,
 )
+from agrosense.streaming.archive import (
+    compact_archive,
+    kept_daily,
+    refresh_daily,
+    start_archive,
+    stored_archive,
+)
 from agrosense.streaming.jobs import await_all, start_all
+from agrosense.streaming.per_topic import (
+    closed_hours,
+    late_readings,
+    reading_counts,
+    start_per_topic_hours,
+)
 from agrosense.streaming.replay import (
+    LOADS,
     archive_in_loads,
     kind_of_result,
     per_batch_result,
     result_schema,
+    run_loads,
     run_raw_archive,
     stream_raw,
     stream_result,
@@ -136,6 +153,7 @@ def csv_import_soil(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 RAIN_GT_0 = replace(DEFAULT, rain_min=0.0)
+NOW = StreamSettings(available_now=True)
 
 
 def _stream(name: str) -> Query:
@@ -258,6 +276,128 @@ def daily_means_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily.daily_means(stored_daily(spark, f"{out}/daily_partials"))
 
 
+# ---- tables on a commit log ------------------------------------------------------------------
+
+def event_loads(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The channel records of ``events`` in three loads with a third of every hour each."""
+    events = table(spark, sf_dir, "events")
+    return [channel_records(events.where(load)) for load in LOADS]
+
+
+def fail_once(at: str, batch: int):
+    """Hook that fails when table ``at`` has been committed for the ``batch``-th time."""
+    left = [batch]
+
+    def after_table(name: str) -> None:
+        if name == at:
+            left[0] -= 1
+            if left[0] == 0:
+                raise RuntimeError(f"stopped after the commit of {at}")
+    return after_table
+
+
+def log_archive(spark: SparkSession, sf_dir: str) -> str:
+    """The archive on the log after three loads; the second batch dies between two tables and is
+    repeated."""
+    hook = fail_once("meteo", 2)
+    return run_loads(spark, event_loads(spark, sf_dir), lambda channel, out, checkpoint: start_archive(
+        channel, out, checkpoint, NOW, after_table=hook))
+
+
+def archive_log_meteo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored weather records of the log archive, compacted after a failed and repeated batch."""
+    out = log_archive(spark, sf_dir)
+    compact_archive(spark, out)
+    return stored_archive(spark, f"{out}/meteo", "meteo")
+
+
+def archive_log_two_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather readings of the two days before the newest, whose files the log names."""
+    path = f"{log_archive(spark, sf_dir)}/meteo"
+    last = max((f.greatest["data_ora"] for f in snapshot(spark, path).files if f.greatest.get("data_ora")),
+               default="1970-01-03")[:10]
+    since = (date.fromisoformat(last) - timedelta(days=2)).isoformat()
+    return weather_readings(stored_archive(spark, path, "meteo", since=since, until=last)).select(
+        "topic", "_id", "data_ora", "temp1_media")
+
+
+def daily_means_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily means from a table that is brought up to date after each of three loads of days."""
+    kept, events = fresh_path(spark, "daily-kept"), table(spark, sf_dir, "events")
+    loads = [channel_records(events.where(f"day(ts) % 3 = {k}")) for k in range(3)]
+
+    def start(channel, out, checkpoint):
+        if latest_version(spark, f"{out}/meteo") >= 0:
+            refresh_daily(spark, f"{out}/meteo", kept)
+        return start_archive(channel, out, checkpoint, NOW)
+    out = run_loads(spark, loads, start)
+    refresh_daily(spark, f"{out}/meteo", kept)
+    return daily.daily_means(kept_daily(spark, kept))
+
+
+def _rounded_hours(hours: DataFrame, means, counts) -> DataFrame:
+    return hours.select("topic", "hour", *[F.round(c, 9).alias(c) for c in means], *counts)
+
+
+def hourly_rollup_meteo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed weather hours of three loads with a third of every hour each: the first closes
+    almost all, the readings of the others are late and correct them."""
+    out = run_loads(spark, event_loads(spark, sf_dir), lambda channel, out, checkpoint: start_per_topic_hours(
+        channel, "meteo", out, checkpoint, NOW))
+    return _rounded_hours(closed_hours(spark, out, "meteo"), ("avg_temp", "avg_rain"), ("n_temp", "n_rain"))
+
+
+SLOW_NODE, SLOW_BY_HOURS = 3, 3
+
+
+def slow_node_loads(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Soil readings in four loads by arrival; those of one node arrive three hours late."""
+    events = table(spark, sf_dir, "events").where(
+        "event_type IS NULL OR event_type NOT IN ('view', 'click')").withColumn("arrival", F.expr(
+            f"ts + make_dt_interval(0, CASE WHEN 1 + user_id % 9 = {SLOW_NODE} THEN {SLOW_BY_HOURS} ELSE 0 END)"))
+    first, last = events.agg(F.min("arrival"), F.max("arrival")).first()
+    if first is None:
+        return [channel_records(events.drop("arrival"))]
+    cuts = [first + (last - first) * k / 4 for k in range(1, 4)]
+    part = sum((F.col("arrival") >= F.lit(c)).cast("int") for c in cuts)
+    return [channel_records(events.where(part == k).drop("arrival")) for k in range(4)]
+
+
+def per_topic_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed soil hours while one node is three hours behind the others: none is lost."""
+    out = run_loads(spark, slow_node_loads(spark, sf_dir), lambda channel, out, checkpoint: start_per_topic_hours(
+        channel, "suolo", out, checkpoint, NOW))
+    return _rounded_hours(closed_hours(spark, out, "suolo"), ("avg_water", "pair_temp"), ("n_water", "n_pair"))
+
+
+def late_reading_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Soil readings used in time and late, per topic, in three loads; they add up to all."""
+    out = run_loads(spark, event_loads(spark, sf_dir), lambda channel, out, checkpoint: start_per_topic_hours(
+        channel, "suolo", out, checkpoint, NOW, after_table=fail_once("hours", 2)))
+    kept = late_readings(spark, out, "suolo").groupBy("topic").agg(F.count(F.lit(1)).alias("n_kept"))
+    return reading_counts(spark, out, "suolo").join(kept, "topic", "left").select(
+        "topic", "n_used", "n_late", F.coalesce("n_kept", F.lit(0).cast("long")).alias("n_kept"))
+
+
+def suite_once_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The values of the five daily results after a run that failed at the third of them and was
+    repeated under the same run id, and a second run."""
+    out, hook = fresh_path(spark, "suite-once"), fail_once("top10_humid_days", 1)
+    for run_id in ("run-1", "run-1", "run-2"):
+        try:
+            paths = run_suite_once(stored_weather(spark, sf_dir), out, run_id, after_result=hook)
+        except RuntimeError:
+            continue
+    values = {"last_3_days_trend": ("day_minus_1", "avg_temp1"), "days_to_water": ("day", "totTempOver22"),
+              "top10_humid_days": ("day", "avg_humidity"), "top10_hot_days": ("day", "avg_temp"),
+              "top10_cold_days": ("day", "avg_temp")}
+    parts = [read_table(spark, paths[n]).select(F.lit(n).alias("result"), F.col(day).alias("day"),
+                                                F.col(v).cast("double").alias("value"),
+                                                (F.col("run_id") if mode == "append" else F.lit("run-2")).alias("run_id"))
+             for n, _, mode in SUITE for day, v in [values[n]]]
+    return reduce(DataFrame.unionAll, parts)
+
+
 BATCH_QUERIES: dict[str, Query] = {
     "top10_hot_days": _weather_daily(daily.top10_hot_days),
     "top10_cold_days": _weather_daily(daily.top10_cold_days),
@@ -293,6 +433,13 @@ STREAM_QUERIES: dict[str, Query] = {
     "archive_water_content_alert": archive_water_content_alert,
     "hourly_rollup": hourly_rollup,
     "start_all_counts": start_all_counts,
+    "archive_log_meteo": archive_log_meteo,
+    "archive_log_two_days": archive_log_two_days,
+    "daily_means_incremental": daily_means_incremental,
+    "hourly_rollup_meteo": hourly_rollup_meteo,
+    "per_topic_hours": per_topic_hours,
+    "late_reading_counts": late_reading_counts,
+    "suite_once_values": suite_once_values,
     **{f"{name}_per_batch": _per_batch(name) for name in HOURLY_RESULTS},
 }
 

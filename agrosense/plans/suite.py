@@ -11,11 +11,13 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from agrosense.operators.aggregates import daily_weather
 from agrosense.operators.readings import WEATHER_NUMBERS, rejected_readings
 from agrosense.params import DEFAULT, Thresholds
 from agrosense.plans import daily
+from agrosense.sinks import log
 from agrosense.sinks.results import append_results, replace_results
 
 # Reference run order: trend, days to water, humid, hot, cold.
@@ -60,3 +62,28 @@ def run_batch_suite(src: DataFrame, out_dir: str, th: Thresholds = DEFAULT) -> d
     finally:
         d.unpersist()
     return paths
+
+
+def run_suite_once(src: DataFrame, out_dir: str, run_id: str, th: Thresholds = DEFAULT, after_result=None) -> dict:
+    """The suite on log tables, each result committed once per ``run_id``.
+
+    A run that failed half-way and is repeated writes only what it had not committed. Replaced
+    results are published against the version that was current when the run began: if another
+    run has published one meanwhile, that is a ``Conflict`` and the table stays as it is.
+    Returns ``name -> path``; read them with ``sinks.log.read_table``."""
+    spark = src.sparkSession
+    paths = {name: f"{out_dir}/{name}" for name, _, _ in SUITE}
+    began = {name: log.latest_version(spark, path) for name, path in paths.items()}
+    d, results = batch_results(src, th)
+    try:
+        for name, _, mode in SUITE:
+            if mode == "append":
+                rows = results[name].withColumn("run_id", F.lit(run_id))
+                log.append(rows, paths[name], app=run_id)
+            else:
+                log.overwrite(results[name], paths[name], began[name], app=run_id)
+            if after_result is not None:
+                after_result(name)
+    finally:
+        d.unpersist()
+    return paths

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from agrosense.params import DEFAULT, Thresholds
 from agrosense.schemas import SOIL_MARK, WEATHER_MARK
+from agrosense.sinks.log import latest_version, read_table
 from agrosense.sources.events_adapter import channel_records
 
 EVENTS_SCHEMA = ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
@@ -66,8 +67,14 @@ def stored_readings(spark: SparkSession, path: str, kind: str | None = None,
     Filters on ``topic`` prune ``topic=`` folders at planning time; ``kind`` selects weather
     or soil topics by their name mark, as the reference's per-topic collections do.
     ``since`` / ``until`` (time text, ``until`` exclusive, e.g. ``'2024-01-05'``) compare the
-    reading's time text, and its ``day=`` folder, which prunes the folders outside the range.
+    reading's time text, and its ``day=`` folder, which prunes the folders outside the range. A
+    reading whose date cannot be read is in no range. An archive on a commit log is scanned
+    through its log (``streaming.archive.stored_archive``).
     """
+    if kind is not None and latest_version(spark, path) >= 0:
+        from agrosense.streaming.archive import stored_archive
+
+        return stored_archive(spark, path, kind, topics, since, until)
     df = spark.read.parquet(path)
     if topics:
         df = df.where(F.col("topic").isin(*topics))
@@ -98,7 +105,7 @@ def stored_daily(spark: SparkSession, path: str, topics: list[str] | None = None
     """
     from agrosense.operators.aggregates import daily_from_partials
 
-    df = spark.read.parquet(path)
+    df = read_table(spark, path) if latest_version(spark, path) >= 0 else spark.read.parquet(path)
     if topics:
         df = df.where(F.col("topic").isin(*topics))
     return daily_from_partials(df, th)

@@ -18,8 +18,9 @@ Every sink is written with ``foreachBatch`` to ``<out>/<name>/query=<id>/batch_i
 with overwrite: a batch replayed after a failure replaces its own output, and the checkpoint
 (offsets + state) lets a restarted job resume where it stopped.
 
-Rows behind the watermark cannot change an hour that was already emitted; ``late_rows`` counts
-them, and the archive's hourly partials, which no watermark limits, give the complete hours.
+Rows behind the watermark cannot change an hour that was already emitted; ``supervise.Supervisor``
+counts them. ``per_topic.start_per_topic_hours`` drops none: each topic has its own watermark, and
+late readings are kept and correct their hour.
 """
 
 from __future__ import annotations
@@ -215,9 +216,9 @@ def start_raw_archive(channel: DataFrame, out_dir: str, checkpoint: str,
 
 
 def await_all(queries: Sequence[StreamingQuery], timeout_s: float | None = None,
-              poll_s: float = 0.5) -> None:
+              poll_s: float = 0.5, supervisor=None) -> dict | None:
     """Block until every query ended. The first failure stops the others and is raised; so is
-    a time-out, if one is given."""
+    a time-out, if one is given. With a ``Supervisor`` returns what it counted, by query name."""
     deadline = None if timeout_s is None else time.monotonic() + timeout_s
     while True:
         failed = next((q for q in queries if q.exception() is not None), None)
@@ -230,16 +231,10 @@ def await_all(queries: Sequence[StreamingQuery], timeout_s: float | None = None,
                 raise RuntimeError(f"{failed.name}: {failed.exception()}")
             raise TimeoutError(f"{', '.join(q.name for q in active)} still ran after {timeout_s} s")
         if not active:
-            return
+            return None if supervisor is None else {q.name: supervisor.of(q) for q in queries}
         active[0].awaitTermination(poll_s)
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows that the recent micro-batches of a query dropped behind the watermark."""
-    return sum(op.get("numRowsDroppedByWatermark", 0)
-               for p in query.recentProgress for op in dict(p).get("stateOperators", []))
-
-
 def kind_topics(topics: Sequence[str] | None, kind: str) -> list[str] | None:
     """Those of the subscribed topics that one kind's job needs."""
     mark = {"meteo": WEATHER_MARK, "suolo": SOIL_MARK}[kind]
