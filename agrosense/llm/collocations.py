@@ -50,7 +50,7 @@ MIN_COUNT, LONGEST, TOP = 30, 4, 2_000
 SCALE, DROP_SHARE = 2_000_000, (80, 100)
 NO_LANGUAGE = "und"
 
-PIECE_BYTES = 3 << 20                 # text coded by one dictionary
+PIECE_BYTES = 1 << 20                 # text coded by one dictionary
 MAP_BITS = 24                         # bits of the map of frequent words
 EXPAND = 16_000                       # bigrams expanded per language in the first round
 SLICE_ROWS, SLICE_BYTES = 1 << 18, 16 << 20
@@ -155,9 +155,11 @@ def _counted(docs: DataFrame, n: int, pick, hashes: bool = False) -> DataFrame:
                 if hashes:
                     key = np.unique(words.lang * len(words.dictionary) + words.code)
                     out.append(pa.array(words.word_hash()[key].view(np.int64)))
+                del words, ok, at            # before the next stretch is coded
                 for k in range(0, len(count), 50_000):
                     yield pa.RecordBatch.from_arrays([v.slice(k, 50_000) for v in out],
                                                      names=["lang", "phrase", "f", "h"][:len(out)])
+            pa.default_memory_pool().release_unused()
 
     return docs.select("lang", "text").mapInArrow(
         run, "lang string, phrase string, f long" + (", h long" if hashes else ""))
