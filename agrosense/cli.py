@@ -5,9 +5,16 @@
                                          [--checkpoint DIR] [--mode event_time|per_batch]
                                          [--available-now] [--state-partitions N] [--dedupe]
                                          [--kafka-option NAME=VALUE] [--threshold NAME=VALUE]
+    spark-submit agrosense/cli.py compact --archive DIR [--retention-hours 24] [--small-mb 64]
     spark-submit agrosense/cli.py batch --archive DIR --out DIR [--topics a,b]
                                         [--from-partials | --since DAY --until DAY]
                                         [--threshold NAME=VALUE] [--on-error fail]
+                                        [--daily DIR] [--run-id ID]
+
+``stream --log`` archives to tables on a commit log (``sinks.log``) and closes hours by a watermark
+per topic; ``compact`` rewrites such an archive's small files and deletes what is out of use.
+``batch --daily`` keeps a table of daily measures up from the days that changed and computes the
+results from it; ``--run-id`` commits each result once per id.
 
 ``replay`` publishes a sensor CSV as channel records, ``stream`` runs the raw archive and the
 hourly jobs until stopped (or once over what is there with ``--available-now``), ``batch``
@@ -30,7 +37,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 from agrosense.functions.columns import ON_ERROR  # noqa: E402
 from agrosense.operators.readings import weather_readings  # noqa: E402
 from agrosense.params import StreamSettings, Thresholds  # noqa: E402
-from agrosense.plans.suite import run_batch_suite  # noqa: E402
+from agrosense.plans.suite import run_batch_suite, run_suite_once  # noqa: E402
 from agrosense.schemas import DEFAULT_TOPICS  # noqa: E402
 from agrosense.session import apply_defaults  # noqa: E402
 from agrosense.sources.files import channel_files, csv_replay  # noqa: E402
@@ -40,7 +47,15 @@ from agrosense.sources.kafka import (  # noqa: E402
     publish_kafka,
 )
 from agrosense.sources.tables import stored_daily, stored_readings  # noqa: E402
-from agrosense.streaming.jobs import await_all, start_all  # noqa: E402
+from agrosense.streaming.archive import (  # noqa: E402
+    compact_archive,
+    kept_daily,
+    refresh_daily,
+    start_archive,
+)
+from agrosense.streaming.jobs import await_all, kind_topics, start_all  # noqa: E402
+from agrosense.streaming.per_topic import start_per_topic_hours  # noqa: E402
+from agrosense.streaming.supervise import Supervisor  # noqa: E402
 
 
 def _topics(text: str | None):
@@ -87,18 +102,41 @@ def stream(spark: SparkSession, args) -> None:
                                 max_files_per_trigger=args.max_files_per_trigger)
     # The checkpoint belongs to the output: a restart with the same --out resumes it.
     checkpoint = args.checkpoint or f"{args.out.rstrip('/')}/_checkpoint"
-    await_all(start_all(channel, args.out, checkpoint, settings, _thresholds(args), topics))
+    with Supervisor(spark) as supervisor:
+        if args.log:
+            of = channel if callable(channel) else lambda _: channel
+            queries = [start_archive(of(topics), f"{args.out}/raw", f"{checkpoint}/raw", settings, topics, _thresholds(args))]
+            for kind in ("meteo", "suolo"):
+                own = kind_topics(topics, kind)
+                if own is None or own:
+                    queries.append(start_per_topic_hours(of(own), kind, args.out, f"{checkpoint}/{kind}", settings, own))
+        else:
+            queries = start_all(channel, args.out, checkpoint, settings, _thresholds(args), topics)
+        for name, t in await_all(queries, supervisor=supervisor).items():
+            print(f"{name}: {t.batches} batches, {t.input_rows} rows, {t.late_rows} dropped as late")
+
+
+def compact(spark: SparkSession, args) -> None:
+    done = compact_archive(spark, args.archive, args.small_mb << 20, args.retention_hours * 3600)
+    for name, d in done.items():
+        print(f"{name}: {d['removed']} files to {d['added']}, {d['deleted']} deleted")
 
 
 def batch(spark: SparkSession, args) -> None:
     topics = _topics(args.topics)
-    if args.from_partials:
+    if args.daily:
+        refresh_daily(spark, f"{args.archive}/meteo", args.daily, topics, _thresholds(args))
+        src = kept_daily(spark, args.daily)
+    elif args.from_partials:
         src = stored_daily(spark, f"{args.archive}/daily_partials", topics, _thresholds(args))
     else:
         src = weather_readings(stored_readings(spark, f"{args.archive}/meteo", "meteo", topics,
                                                since=args.since, until=args.until),
                                on_error=args.on_error)
-    run_batch_suite(src, args.out, _thresholds(args))
+    if args.run_id:
+        run_suite_once(src, args.out, args.run_id, _thresholds(args))
+    else:
+        run_batch_suite(src, args.out, _thresholds(args))
 
 
 def parser() -> argparse.ArgumentParser:
@@ -127,7 +165,14 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--starting-offsets")
     s.add_argument("--max-offsets-per-trigger", type=int, default=MAX_OFFSETS_PER_TRIGGER)
     s.add_argument("--threshold", action="append", metavar="NAME=VALUE")
+    s.add_argument("--log", action="store_true")
+    c = sub.add_parser("compact")
+    c.add_argument("--archive", required=True)
+    c.add_argument("--retention-hours", type=float, default=24.0)
+    c.add_argument("--small-mb", type=int, default=64)
     b = sub.add_parser("batch")
+    b.add_argument("--daily", help="kept table of daily measures (log archives)")
+    b.add_argument("--run-id")
     b.add_argument("--archive", required=True)
     b.add_argument("--out", required=True)
     b.add_argument("--topics")
@@ -143,7 +188,7 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
     args = parser().parse_args(argv)
     spark = apply_defaults(spark or SparkSession.builder.appName(f"agrosense-{args.role}")
                            .getOrCreate())
-    {"replay": replay, "stream": stream, "batch": batch}[args.role](spark, args)
+    {"replay": replay, "stream": stream, "batch": batch, "compact": compact}[args.role](spark, args)
 
 
 if __name__ == "__main__":

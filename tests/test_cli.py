@@ -10,7 +10,9 @@ from agrosense.plans.pipeline import stored_weather
 from agrosense.session import fresh_path, local_path
 from agrosense.sinks.results import read_batches, read_replaced
 from agrosense.sources.events_adapter import channel_records
-from agrosense.sources.tables import table
+from agrosense.sinks.log import read_table
+from agrosense.sources.tables import stored_readings, table
+from agrosense.streaming.per_topic import closed_hours
 
 
 def test_replay_stream_batch(spark):
@@ -40,3 +42,20 @@ def test_replay_stream_batch(spark):
         cli.main(["batch", "--archive", f"{out}/raw", "--out", res, *extra], spark)
         got = {tuple(r) for r in read_replaced(spark, f"{res}/top10_hot_days").collect()}
         assert got == want
+
+
+def test_log_archive_roles(spark):
+    """stream --log, compact, and batch from the kept daily table, each result once per run id."""
+    src, out = fresh_path(spark, "t-cli-log-src"), fresh_path(spark, "t-cli-log")
+    channel_records(table(spark, SF_SMALL, "events")).write.parquet(src)
+    cli.main(["stream", "--files", src, "--out", out, "--available-now", "--log"], spark)
+    cli.main(["compact", "--archive", f"{out}/raw"], spark)
+    assert stored_readings(spark, f"{out}/raw/meteo", "meteo").count() == 398
+    assert closed_hours(spark, out, "suolo").count() > 0
+    want = {tuple(r) for r in daily.top10_hot_days(stored_weather(spark, SF_SMALL)).collect()}
+    res = fresh_path(spark, "t-cli-log-batch")
+    for extra in (["--daily", f"{out}/daily"], ["--from-partials"], []):
+        for _ in range(2):
+            cli.main(["batch", "--archive", f"{out}/raw", "--out", res, "--run-id", f"run{extra}", *extra], spark)
+        assert {tuple(r) for r in read_table(spark, f"{res}/top10_hot_days").collect()} == want
+    assert read_table(spark, f"{res}/last_3_days_trend").count() == 3
