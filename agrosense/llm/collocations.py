@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from agrosense.llm import prefix_hash as ph
-from agrosense.llm.common import ship, stored
+from agrosense.llm.common import arrow_rows, ship, stored
 
 ship(__name__)
 ship(ph.__name__)
@@ -51,6 +51,7 @@ SCALE, DROP_SHARE = 2_000_000, (80, 100)
 NO_LANGUAGE = "und"
 
 PIECE_BYTES = 1 << 20                 # text coded by one dictionary
+BATCH_ROWS = 1_000                    # texts that a task holds at a time, besides one stretch
 MAP_BITS = 24                         # bits of the map of frequent words
 EXPAND = 16_000                       # bigrams expanded per language in the first round
 SLICE_ROWS, SLICE_BYTES = 1 << 18, 16 << 20
@@ -324,6 +325,11 @@ def _none(df: DataFrame) -> DataFrame:
 
 def collocations(documents: DataFrame, top: int = TOP) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score``: each language's first ``top`` phrases."""
+    with arrow_rows(documents.sparkSession, BATCH_ROWS):
+        return _collocations(documents, top)
+
+
+def _collocations(documents: DataFrame, top: int) -> DataFrame:
     docs = documents.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANGUAGE)).alias("lang"),
                             F.col("text").cast("string").alias("text"))
     every_word = stored(_added_up(_counted(docs, 1, None, hashes=True), F.first("h").alias("h")), "phrase-words")

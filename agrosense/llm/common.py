@@ -65,6 +65,19 @@ def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Within it, at most ``rows`` rows come to a Python task at a time, for rows that are long
+    texts. What runs later than its end is not affected."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def bit_map(hashes: DataFrame, bits: int):
     """Bit map (numpy, 2**bits bits) of the one column of 64-bit hashes: a filter of fixed size.
     A clear bit says that no hash with these low bits is there; full, it filters nothing."""
