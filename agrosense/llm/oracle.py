@@ -117,7 +117,7 @@ SELECT n.doc_id, n.n AS n_shingles, coalesce(c.component_id, n.doc_id) AS compon
 FROM n LEFT JOIN (SELECT doc_id, min(node) AS component_id FROM reach GROUP BY doc_id) c USING (doc_id)"""
 
 OP12 = r"""
-WITH p AS (
+WITH p AS MATERIALIZED (
   SELECT coalesce(lang, 'und') AS lang,
          unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
