@@ -9,16 +9,17 @@ buckets; at the threshold of 0.85 a pair shares no bucket with a chance of 3 in
    byte of each signature value. Documents with equal sets are one class; only one row of each
    class goes on, so copies never meet as pairs.
 2. In every bucket one member is the pivot (another one in each band). Members are paired
-   with their pivots; pairs whose sizes or signature bytes rule the threshold out (by more
-   than four standard deviations) go, the others are confirmed on full sets. Links give
-   components.
+   with their pivots; all pairs whose sizes can reach the threshold are confirmed on full
+   sets. Links give components.
 3. Links that no pivot showed can only join different components of a bucket. The members
    outside the bucket's largest component meet all members, block against block inside tasks,
-   skipping pairs of one component, each pair only in the first band it shares; what the
-   signature admits is confirmed on full sets. The components of all links are the result.
+   skipping pairs of one component, each pair only in the first band it shares; what sizes and
+   signature admit (a pair at 0.85 fails with a chance below 10**-7) is confirmed on full
+   sets. The components of all links are the result.
 
 Sets are built only for documents in such pairs, and travel once per block of pairs, not once
-per pair. Nothing is capped: large buckets are split into more blocks.
+per pair. Nothing is capped: large buckets are split into more blocks, bounded by the number
+of documents and by the bytes of their sets.
 
 Rows are told apart by a 64-bit key of (doc_id, text), so rows with a null id and different
 texts under one id are documents like any other. The row kept of a group is the one with the
@@ -39,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from agrosense.llm import prefix_hash as ph
-from agrosense.llm.common import bounded, row_key, scratch, ship, stored
+from agrosense.llm.common import arrow_rows, bounded, row_key, scratch, ship, stored
 from agrosense.llm.components import components
 from agrosense.session import fresh_path
 
@@ -48,8 +49,10 @@ ship(ph.__name__)
 
 PERMS, ROWS, BANDS = 96, 6, 32                # 2 * PERMS = ROWS * BANDS signature values
 THRESHOLD = (85, 100)                         # 100 * intersection >= 85 * union
-SIGMAS = 4.2
+SIGMAS = 6.5
 BLOCK = 512                                   # documents on each side of a block of pairs
+BLOCK_BYTES = 2 << 20                         # bytes of their sets
+BATCH_SETS = 256                              # sets in one Arrow batch
 PIECE_BYTES = 1 << 20
 
 _RNG = np.random.default_rng(1729)
@@ -177,85 +180,98 @@ def _least_equal_bytes(threshold) -> int:
     return int(2 * PERMS * (t - SIGMAS * (t * (1 - t) / (2 * PERMS)) ** 0.5))
 
 
-def _likely(pairs: DataFrame, threshold) -> DataFrame:
-    """Of ``x, y, key, n_x, n_y, s_x, s_y`` the pairs that size and signature admit."""
-    least = _least_equal_bytes(threshold)
-    sized = pairs.where(threshold[1] * F.least("n_x", "n_y") >= threshold[0] * F.greatest("n_x", "n_y"))
-    kind = dict(pairs.dtypes)["x"]
-
-    def keep(batches):
-        import pyarrow as pa
-
-        for b in batches:
-            a, _ = ph.text_buffers(b.column(2))
-            c, _ = ph.text_buffers(b.column(3))
-            same = (a.reshape(-1, 2 * PERMS) == c.reshape(-1, 2 * PERMS)).sum(axis=1) >= least
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["x", "y"]).filter(
-                pa.array(same))
-
-    return sized.select("x", "y", "s_x", "s_y").mapInArrow(keep, f"x {kind}, y {kind}")
+def _admitted(pairs: DataFrame, heads: DataFrame, threshold) -> DataFrame:
+    """``x, y, n`` of the distinct pairs (x, y) whose set sizes can link; ``n`` is x's size."""
+    side = lambda s: heads.select(F.col("row").alias(s), F.col("n").alias(f"n_{s}"))
+    sized = pairs.join(side("x"), "x").join(side("y"), "y")
+    return sized.where(threshold[1] * F.least("n_x", "n_y") >= threshold[0] * F.greatest("n_x", "n_y")).select(
+        "x", "y", F.col("n_x").alias("n"))
 
 
 def confirmed(blocks: DataFrame, sets: DataFrame, threshold) -> DataFrame:
     """``x, y`` of the pairs in ``blocks`` (key, xs, ys: equally long arrays) whose full sets
-    reach the threshold. Every set comes once to each block that names it."""
+    reach the threshold. Every set comes once to each block that names it. A block's sets are
+    sorted before its pairs, so a task holds the sets of one block and one Arrow batch."""
     kind = blocks.schema["xs"].dataType.elementType.simpleString()
     named = blocks.select(F.col("key").alias("block"),
                           F.explode(F.array_distinct(F.concat("xs", "ys"))).alias("row"))
-    brought = named.join(sets, "row").select("block", "row", "grams")
+    none = F.lit(None)
+    brought = named.join(sets, "row").select("block", F.lit(False).alias("asks"), "row", "grams",
+                                             none.cast(f"array<{kind}>").alias("xs"), none.cast(f"array<{kind}>").alias("ys"))
+    asked = blocks.select(F.col("key").alias("block"), F.lit(True).alias("asks"), none.cast(kind).alias("row"),
+                          none.cast("binary").alias("grams"), "xs", "ys")
 
-    def check(left, right):
-        import pandas as pd
+    def check(batches):
+        import pyarrow as pa
 
-        have = {d: np.frombuffer(g, dtype=np.uint64) for d, g in zip(right["row"], right["grams"])}
-        out = []
-        for xs, ys in zip(left["xs"], left["ys"]):
-            for x, y in zip(xs, ys):
-                a, c = have[x], have[y]
-                if len(a) > len(c):
-                    a, c = c, a
-                at = np.minimum(np.searchsorted(c, a), len(c) - 1)
-                both = int((c[at] == a).sum())
-                if threshold[1] * both >= threshold[0] * (len(a) + len(c) - both):
-                    out.append((x, y))
-        return pd.DataFrame(out, columns=["x", "y"])
+        block, have = None, {}
+        for b in batches:
+            keys, asks = b.column(0).to_pylist(), b.column(1).to_pylist()
+            for k in range(b.num_rows):
+                if keys[k] != block:
+                    block, have = keys[k], {}
+                if not asks[k]:
+                    have[b.column(2)[k].as_py()] = np.frombuffer(b.column(3)[k].as_py(), dtype=np.uint64)
+                    continue
+                xs, ys = (b.column(c)[k].values for c in (4, 5))
+                linked = [_reaches(have[x], have[y], threshold) for x, y in zip(xs.to_pylist(), ys.to_pylist())]
+                yield pa.RecordBatch.from_arrays([xs, ys], names=["x", "y"]).filter(pa.array(linked, pa.bool_()))
+
+    rows = brought.unionByName(asked).repartition("block").sortWithinPartitions("block", "asks")
+    with arrow_rows(blocks.sparkSession, BATCH_SETS):
+        return stored(rows.mapInArrow(check, f"x {kind}, y {kind}"), "dedup-links")
+
+
+def _reaches(a: np.ndarray, c: np.ndarray, threshold) -> bool:
+    if len(a) > len(c):
+        a, c = c, a
+    at = np.minimum(np.searchsorted(c, a), len(c) - 1)
+    both = int((c[at] == a).sum())
+    return threshold[1] * both >= threshold[0] * (len(a) + len(c) - both)
 
-    return (blocks.groupBy("key").cogroup(brought.groupBy("block"))
-            .applyInPandas(check, f"x {kind}, y {kind}"))
+
+def _n_blocks(count, shingles):
+    """Blocks for so many documents with so many shingles: bounded in both."""
+    return F.ceil(F.greatest(count / BLOCK, 8 * shingles / BLOCK_BYTES, F.lit(1.0))).cast("int")
 
 
 def _packed(pairs: DataFrame) -> DataFrame:
-    """Pairs (x, y) as blocks: those of one ``y`` together, ``BLOCK`` at most on average."""
-    many = pairs.groupBy("y").agg(F.count(F.lit(1)).alias("n"))
-    split = pairs.join(many, "y").withColumn(
-        "key", F.xxhash64("y", F.pmod(F.xxhash64("x"), F.ceil(F.col("n") / BLOCK).cast("long"))))
+    """Pairs (x, y, n) as blocks: those of one ``y`` together, up to about ``BLOCK`` sets or
+    ``BLOCK_BYTES`` of them."""
+    many = pairs.groupBy("y").agg(_n_blocks(F.count(F.lit(1)), F.sum("n")).alias("parts"))
+    split = pairs.join(many, "y").withColumn("key", F.xxhash64("y", F.pmod(F.xxhash64("x"), F.col("parts"))))
     return split.groupBy("key").agg(F.collect_list(F.struct("x", "y")).alias("p")).select(
         "key", F.col("p.x").alias("xs"), F.col("p.y").alias("ys"))
 
 
-def _cross_blocks(members: DataFrame, threshold) -> DataFrame:
-    """Blocks of likely pairs between different components of a bucket. ``members``: b,
-    row, n, bands, sig, component."""
+def _open_members(members: DataFrame) -> DataFrame:
+    """Members (b, row, n, component) of the buckets with several components: whether each is a
+    stray (outside the bucket's largest component), and in how many blocks strays and all go."""
+    sizes = members.groupBy("b", "component").agg(F.count(F.lit(1)).alias("n_in"), F.sum("n").alias("load"))
+    buckets = sizes.groupBy("b").agg(
+        F.sum("n_in").alias("n_all"), F.sum("load").alias("load"), F.max(F.struct("n_in", "component", "load")).alias("main"),
+        F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    buckets = buckets.select("b", F.col("main.component").alias("main"), _n_blocks(F.col("n_all"), F.col("load")).alias("n_m"),
+                             _n_blocks(F.col("n_all") - F.col("main.n_in"), F.col("load") - F.col("main.load")).alias("n_s"))
+    return members.join(buckets, "b").select("b", "row", "component", (F.col("component") != F.col("main")).alias("stray"),
+                                             "n_m", "n_s")
+
+
+def _cross_blocks(opened: DataFrame, heads: DataFrame, threshold) -> DataFrame:
+    """Blocks of likely pairs between different components of a bucket, of ``_open_members``."""
     least = _least_equal_bytes(threshold)
-    kind = dict(members.dtypes)["row"]
-    sizes = members.groupBy("b", "component").agg(F.count(F.lit(1)).alias("n_in"))
-    buckets = stored(sizes.groupBy("b").agg(
-        F.sum("n_in").alias("n_all"), F.max(F.struct("n_in", "component"))["component"].alias("main"),
-        F.count(F.lit(1)).alias("parts")).where("parts > 1"), "dedup-open-buckets")
-    size_of = members.join(buckets, "b").withColumn("stray", F.col("component") != F.col("main"))
-    strays = size_of.where("stray").groupBy("b").agg(F.count(F.lit(1)).alias("n_stray"))
-    size_of = size_of.join(strays, "b")
+    kind = dict(opened.dtypes)["row"]
+    known = opened.join(heads, "row")
     # strays in n_s blocks against all members in n_m blocks: a stray goes to every member
     # block, a member to every stray block
-    n_s, n_m = F.ceil(F.col("n_stray") / BLOCK).cast("int"), F.ceil(F.col("n_all") / BLOCK).cast("int")
     own = F.xxhash64("row")
-    as_stray = size_of.where("stray").select(
+    as_stray = known.where("stray").select(
         "b", "row", "n", "bands", "sig", "component", F.lit(True).alias("s"),
-        F.pmod(own, n_s).cast("int").alias("i"),
-        F.explode(F.sequence(F.lit(0), n_m - 1)).alias("j"))
-    as_member = size_of.select(
+        F.pmod(own, F.col("n_s")).cast("int").alias("i"),
+        F.explode(F.sequence(F.lit(0), F.col("n_m") - 1)).alias("j"))
+    as_member = known.select(
         "b", "row", "n", "bands", "sig", "component", F.lit(False).alias("s"),
-        F.explode(F.sequence(F.lit(0), n_s - 1)).alias("i"), F.pmod(own, n_m).cast("int").alias("j"))
+        F.explode(F.sequence(F.lit(0), F.col("n_s") - 1)).alias("i"), F.pmod(own, F.col("n_m")).cast("int").alias("j"))
 
     def pair(part):
         import pandas as pd
@@ -318,21 +334,19 @@ def _decided(docs: DataFrame, width: int, threshold) -> DataFrame:
     members = stored(slots.join(pivots, "b"), "dedup-members")
     met = members.where("row <> pivot").select(F.col("row").alias("x"), F.col("pivot").alias("y"))
     met = met.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-    side = lambda s: heads.select(F.col("row").alias(s), F.col("n").alias(f"n_{s}"),
-                                  F.col("sig").alias(f"s_{s}"))
-    likely = stored(_likely(met.join(side("x"), "x").join(side("y"), "y"), threshold), "dedup-likely")
+    likely = stored(_admitted(met, heads, threshold), "dedup-likely")
 
     sets = _sets_of(docs, likely.select("x").unionAll(likely.select("y")), width)
-    links = stored(confirmed(stored(_packed(likely), "dedup-blocks"), sets, threshold), "dedup-links")
+    links = confirmed(stored(_packed(likely), "dedup-blocks"), sets, threshold)
     parts = stored(components(links), "dedup-parts")
 
-    grown = (members.where("m > 2").select("b", "row").join(heads, "row")
+    grown = (members.where("m > 2").select("b", "row").join(heads.select("row", "n"), "row")
              .join(parts.withColumnRenamed("node", "row"), "row", "left")
              .withColumn("component", F.coalesce("component", "row")))
-    rest = stored(_cross_blocks(stored(grown, "dedup-open"), threshold), "dedup-rest")
+    opened = stored(_open_members(stored(grown, "dedup-grown")), "dedup-open")
+    rest = stored(_cross_blocks(opened, heads, threshold), "dedup-rest")
     asked = rest.select(F.explode(F.array_distinct(F.concat("xs", "ys"))).alias("x"))
-    more_sets = _sets_of(docs, asked, width)
-    more = stored(confirmed(rest, more_sets, threshold), "dedup-more-links")
+    more = confirmed(rest, _sets_of(docs, asked, width), threshold)
     if more.limit(1).count():
         parts = stored(components(parts.select(F.col("node").alias("x"), F.col("component").alias("y"))
                                   .unionAll(more)), "dedup-parts")
