@@ -87,7 +87,11 @@ def license_matches(docs: DataFrame, templates=None, min_dice: float = MIN_DICE)
     units = (docs.select(row_key(F.col("doc_id"), F.col("text")).alias("k"), pieces.alias("pieces"))
              .select("k", F.explode_outer("pieces").alias("unit")))
     units = units.select("k", words_of(F.col("unit")).alias("words"))
-    units = units.select("k", bigrams("words").alias("unit_grams"))
+    # each distinct word but the first ends a bigram of its own, so a unit with more of them than
+    # any listed count admits needs no bigrams
+    largest = listed.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+    few = F.size(F.array_distinct("words")) <= largest + 1
+    units = units.select("k", F.when(few, bigrams("words")).alias("unit_grams"))
     # a filter on the bigrams, even "is not null", would be pushed below the projection of the
     # words and split them inside the lambda; a non-null count needs none
     units = units.withColumn("n", F.coalesce(F.size("unit_grams"), F.lit(0)))
