@@ -1,19 +1,22 @@
 """Mixing sources to target weights by hash thresholds, without sorting the documents.
 
-Every document has a 60-bit hash of its id. A source whose target is ``q`` whole passes plus
+Every document has a 60-bit hash of its id and text. A source whose target is ``q`` whole passes plus
 a rest takes each of its documents ``q`` times, and once more those whose hash is below the
 source's threshold. The threshold comes from nested histograms: the words of a source by the
 top 12 bits of the hash show in which bucket the running sum crosses the rest; only the
 documents of that boundary bucket are counted again by the next 12 bits, and so on to the
-full hash. The final step is a filter against one threshold per source.
+full hash. The final step is a filter against one threshold per source. Rows at the threshold
+itself are equal rows (or, hardly ever, share a hash): as many of them are taken as come nearest
+to the target, numbered by partition and position, each partition for itself.
 
 Targets: the sources in code-point order (null last) weigh 5, 2, 1, repeating, and share all
 words of the corpus; a target stops at 3 times its source's size and the excess is shared
 again by weight. That has one solution: a common level ``words per weight`` for all sources
 below their cap, found by one pass over the sources ordered by cap per weight.
 
-Defined cases: null text has size 0; a null source is a source of its own; documents with
-equal ids share their hash and are taken together; a source without words has target 0; an
+Defined cases: null text has size 0; a null source is a source of its own; texts under one id
+(or none) are chosen one by one, and of equal rows some may be taken once more than others (which
+of them makes no difference); a source without words has target 0; an
 empty table gives an empty result. Other columns of the input are ignored.
 """
 
@@ -53,14 +56,18 @@ def source_targets(sizes: DataFrame) -> DataFrame:
                     F.least("cap", F.col("level") * F.col("weight")).alias("target"))
 
 
-def mix_sources(docs: DataFrame) -> DataFrame:
-    """``doc_id, source, size, source_size, target, copies, taken`` for every document."""
-    digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    sized = stored(docs.select(
+def _sized(docs: DataFrame, *more: str) -> DataFrame:
+    """``doc_id, source, size, h`` and the columns ``more`` of every row."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    named = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("\x01"), text)
+    return docs.select(
         "doc_id", F.col("source").cast("string").alias("source"),
-        F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0))
-        .cast("long").alias("size"),
-        F.conv(F.substring(digest, 1, 15), 16, 10).cast("long").alias("h")), "mix-sizes")
+        F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
+        F.conv(F.substring(F.md5(named.cast("binary")), 1, 15), 16, 10).cast("long").alias("h"), *more)
+
+
+def _cuts(sized: DataFrame):
+    """What to take of each source of the stored ``sized``, and whether it may be broadcast."""
     targets = (source_targets(sized)
                .withColumn("passes", F.when(F.col("source_size") > 0, F.floor(
                    F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long"))
@@ -68,13 +75,40 @@ def mix_sources(docs: DataFrame) -> DataFrame:
     targets = stored(targets, "mix-targets")
     # every table below has at most one row per source: broadcast if a count allows it
     small = F.broadcast if targets.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else _as_is
-    cut = _thresholds(sized, targets, small)
-    return (sized.alias("d").join(cut.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source")))
-            .withColumn("copies", F.col("passes") + F.when(
-                (F.col("h") < F.col("cut_h")) | ((F.col("h") == F.col("cut_h")) & F.col("take_cut")),
-                F.lit(1)).otherwise(F.lit(0)))
-            .select("doc_id", "d.source", "size", "source_size", "target", "copies",
-                    (F.col("copies") * F.col("size")).alias("taken")))
+    return _thresholds(sized, targets, small)
+
+
+def _copies(rows: DataFrame, cut: DataFrame) -> DataFrame:
+    """``rows`` (with ``source, size, h``) and ``source_size, target, copies``."""
+    told = rows.alias("d").join(cut.withColumnRenamed("source", "__source").alias("t"),
+                                F.col("d.source").eqNullSafe(F.col("t.__source"))).drop("__source")
+    at_cut = F.col("h") == F.col("cut_h")
+    out = [*rows.columns, "source_size", "target", "copies"]
+    plain = told.where(~at_cut).withColumn("copies", F.col("passes") + (F.col("h") < F.col("cut_h")).cast("long"))
+    tied = stored(told.where(at_cut).withColumn("__at", F.monotonically_increasing_id()), "mix-tied")
+    part = F.shiftright("__at", 33)                  # the partition that the row was read in
+    per_part = tied.groupBy("source", part.alias("__part")).agg(
+        F.count(F.lit(1)).alias("__n"), F.sum("size").alias("__words"))
+    upto = Window.partitionBy("source").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    per_part = per_part.select(F.col("source").alias("__source"), "__part",
+                               F.coalesce(F.sum("__words").over(upto), F.lit(0)).alias("__base"))
+    inside = Window.partitionBy("source", "__part").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    placed = tied.withColumn("__part", part).withColumn(
+        "__own", F.coalesce(F.sum("size").over(inside), F.lit(0))).alias("d").join(
+        per_part.withColumnRenamed("__part", "__p").alias("t"),
+        F.col("d.source").eqNullSafe(F.col("t.__source")) & (F.col("__part") == F.col("__p")))
+    reached = F.col("before") + F.col("__base") + F.col("__own")
+    # a row is taken if that brings the sum nearer to the rest
+    placed = placed.withColumn("copies", F.col("passes") + (
+        2 * reached + F.col("size") <= 2 * F.col("rest")).cast("long"))
+    return plain.select(*out).unionAll(placed.select(*out))
+
+
+def mix_sources(docs: DataFrame) -> DataFrame:
+    """``doc_id, source, size, source_size, target, copies, taken`` for every document."""
+    sized = stored(_sized(docs), "mix-sizes")
+    return _copies(sized, _cuts(sized)).select(
+        "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def _as_is(df: DataFrame) -> DataFrame:
@@ -82,8 +116,8 @@ def _as_is(df: DataFrame) -> DataFrame:
 
 
 def _thresholds(sized: DataFrame, targets: DataFrame, small) -> DataFrame:
-    """Targets plus ``cut_h, take_cut``: hashes below ``cut_h`` are taken once more, those at
-    it if that brings the sum nearer to the rest."""
+    """Targets plus ``cut_h, before``: hashes below ``cut_h``, with ``before`` words, are taken
+    once more, and rows at it while that brings the sum nearer to the rest."""
     edge = targets.select("source", "rest", F.lit(0).cast("long").alias("before"),
                         F.lit(0).cast("long").alias("prefix"), F.lit(0).cast("long").alias("words"))
     for shift in range(HASH_BITS - LEVEL_BITS, -1, -LEVEL_BITS):
@@ -105,25 +139,19 @@ def _thresholds(sized: DataFrame, targets: DataFrame, small) -> DataFrame:
                 .withColumn("n", F.row_number().over(pick)).where("n = 1")
                 .select("source", "rest", "before", "prefix", "words"))
     edge = small(stored(edge, "mix-cuts"))
-    e = edge.select(F.col("source").alias("e_source"), F.col("prefix"), F.col("before"),
-                    F.col("words"))
+    e = edge.select(F.col("source").alias("e_source"), "prefix", "before")
     out = (targets.join(e, F.col("source").eqNullSafe(F.col("e_source")), "left")
-           .select("source", "source_size", "target", "passes",
+           .select("source", "source_size", "target", "passes", "rest", F.coalesce("before", F.lit(0)).alias("before"),
                    # no boundary bucket: nothing (rest 0) or, by rounding, everything is taken
                    F.coalesce("prefix", F.when(F.col("rest") > 0, F.lit((1 << HASH_BITS)))
-                              .otherwise(F.lit(-1))).alias("cut_h"),
-                   F.coalesce(2 * F.col("before") + F.col("words") <= 2 * F.col("rest"),
-                              F.lit(False)).alias("take_cut")))
+                              .otherwise(F.lit(-1))).alias("cut_h")))
     return small(out)
 
 
 def apply_mix(docs: DataFrame) -> DataFrame:
     """The mixed corpus: every row of ``docs`` as often as the mix takes it (0 to 3 times)."""
-    mixed = mix_sources(docs)
-    copies = mixed.groupBy(F.col("doc_id").alias("__id"), F.col("source").alias("__src")).agg(
-        F.max("copies").alias("__copies"))
-    kept = copies.where("__copies > 0")
-    out = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id"))
-                    & F.col("source").cast("string").eqNullSafe(F.col("__src")))
-    return (out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
-            .select(*docs.columns))
+    cut = _cuts(stored(_sized(docs), "mix-sizes"))
+    row = F.struct(*[F.col(c) for c in docs.columns]).alias("__row")
+    mixed = _copies(_sized(docs.withColumn("__row", row), "__row"), cut).where("copies > 0")
+    return (mixed.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+            .select("__row.*"))

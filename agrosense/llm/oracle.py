@@ -34,7 +34,7 @@ OP5 = r"""
 WITH d AS (
   SELECT doc_id, source,
          CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS h
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || chr(1) || coalesce(text, '')), 1, 15) AS BIGINT) AS h
   FROM documents),
 s0 AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 s1 AS (SELECT *, (ARRAY[5.0, 2.0, 1.0])[1 + (row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3]
@@ -51,15 +51,13 @@ s5 AS (SELECT source, source_size, least(cap, level * weight) AS target FROM s4)
 s6 AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END
               AS passes FROM s5),
 s7 AS (SELECT *, target - passes * source_size AS rest FROM s6),
-g AS (SELECT source, h, sum(size) AS words FROM d GROUP BY source, h),
-g2 AS (SELECT *, coalesce(sum(words) OVER (PARTITION BY source ORDER BY h
-                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM g)
-SELECT d.doc_id, d.size, s7.source_size, s7.target,
-       CAST(d.size * (s7.passes + CASE WHEN g2.before < s7.rest
-            AND (g2.before + g2.words < s7.rest OR 2 * g2.before + g2.words <= 2 * s7.rest)
+g AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY h, size, doc_id
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+             sum(size) OVER (PARTITION BY source ORDER BY h) AS upto FROM d)
+SELECT g.doc_id, g.size, s7.source_size, s7.target,
+       CAST(g.size * (s7.passes + CASE WHEN g.upto < s7.rest OR 2 * g.before + g.size <= 2 * s7.rest
             THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM d JOIN s7 ON d.source IS NOT DISTINCT FROM s7.source
-       JOIN g2 ON d.source IS NOT DISTINCT FROM g2.source AND d.h = g2.h"""
+FROM g JOIN s7 ON g.source IS NOT DISTINCT FROM s7.source"""
 
 OP6 = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
