@@ -14,7 +14,10 @@ Everything is aggregates over one stored table of numbers: medians and subset cu
 quantile sketches (rank error 1/10000), moments are algebraic, so a language or source with
 a third of all rows is pre-aggregated like any other. Groups with fewer than ``MIN_GROUP``
 rows are fitted together per language, what is still too small over all languages; if even
-that is too small nothing in it is rejected. A statistic whose deviation in the subset is
+that is too small it is judged by the estimate over all rows of the table. The cutoff allows for
+an estimate from few rows: it is the quantile of a new row's distance from the mean of the
+subset's ``h`` rows, ``p (h^2 - 1) / (h (h - p))`` times that of F with p and h - p degrees, which
+falls to the chi-squared quantile as h grows; h <= p rows estimate no scatter and reject nothing. A statistic whose deviation in the subset is
 below ``FLOOR`` (no symbols at all, say) gets that one; other variances stay as estimated. The
 floors are where a constant statistic alone rejects: 2.2% symbols, 9% repeated lines or words.
 
@@ -64,6 +67,38 @@ def chi2_quantile(p: float, k: int) -> float:
     return (low + high) / 2
 
 
+def f_quantile(p: float, k: int, m: int) -> float:
+    """Quantile of F with ``k`` and ``m`` degrees, from the incomplete beta function."""
+    a, b = k / 2, m / 2
+    norm = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b))
+
+    def beta_cdf(x):
+        # power series of the incomplete beta function, on the side where it converges fast
+        def series(x, a, b):
+            term = total = 1 / a
+            n = 0
+            while term > total * 1e-16:
+                term *= x * (a + b + n) / (a + 1 + n)
+                total += term
+                n += 1
+            return norm * math.exp(a * math.log(x) + b * math.log1p(-x)) * total
+        return series(x, a, b) if x < (a + 1) / (a + b + 2) else 1 - series(1 - x, b, a)
+
+    low, high = 0.0, 1.0                              # of k f / (k f + m)
+    for _ in range(100):
+        mid = (low + high) / 2
+        low, high = (mid, high) if beta_cdf(mid) < p else (low, mid)
+    return m * low / (k * (1 - low))
+
+
+def cutoff(n: int) -> float:
+    """Largest squared distance kept, of an estimate from ``n`` rows."""
+    p, h = len(STATS), int(SUBSET * n)
+    if h <= p:
+        return float("inf")
+    return p * (h * h - 1) / (h * (h - p)) * f_quantile(CUTOFF, p, h - p)
+
+
 # ---- counts --------------------------------------------------------------------------------
 
 def text_counts(docs: DataFrame, *keep: str) -> DataFrame:
@@ -230,13 +265,18 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     rated = counts.withColumn("base_failed", failed).withColumns(statistics())
     passed = rated.where(~F.col("base_failed"))
     grouped = stored(_grouped(passed), "outlier-rows")
-    enough = grouped.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MIN_GROUP)
-    fit = robust_fit(grouped)
-    enough = bounded(stored(enough, "outlier-sizes"))
-    judged = (_distance(grouped, fit).alias("r")
-              .join(enough.alias("e"), _same_group("r", "e"), "left")
-              .withColumn("kept", F.col("n").isNull()
-                          | (F.col("d2") <= chi2_quantile(CUTOFF, len(STATS)))))
+    sizes = bounded(stored(grouped.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("n")), "outlier-sizes"))
+    few = (F.col("n") < MIN_GROUP) & (F.col("g_lang") == REST) & (F.col("g_source") == REST)
+    if sizes.where(few).limit(1).count():            # the last pool is too small: fit it on all rows
+        others = grouped.where(~(F.col("g_lang").eqNullSafe(REST) & F.col("g_source").eqNullSafe(REST)))
+        fit = robust_fit(grouped.unionByName(others.withColumns({c: F.lit(REST) for c in GROUP})))
+        total = sizes.agg(F.sum("n")).first()[0]
+    else:
+        fit, total = robust_fit(grouped), MIN_GROUP
+    of_few = cutoff(total)                           # of all rows, if they are the estimate
+    large = F.lit(chi2_quantile(CUTOFF, len(STATS)))
+    judged = (_distance(grouped, fit).alias("r").join(sizes.alias("e"), _same_group("r", "e"))
+              .withColumn("kept", F.col("d2") <= F.when(F.col("n") < MIN_GROUP, F.lit(of_few)).otherwise(large)))
     counts_out = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return (judged.select(*[f"r.{c}" for c in counts_out], F.lit(False).alias("base_failed"),
                           "kept", "d2")

@@ -230,6 +230,24 @@ def test_apply_mix_repeats_rows(docs):
     assert Counter(r["doc_id"] for r in out.collect()) == +want
 
 
+def test_equal_rows_under_one_id_meet_the_target(spark):
+    texts = [(7 if k % 3 == 0 else 10 + k, "one two three four five", "en", "abc"[k % 7 // 3]) for k in range(1500)]
+    texts += [(None, "six words are in this row", "en", None)] * 300
+    docs = frame(spark, texts).repartition(6)
+    taken, target, size = Counter(), {}, Counter()
+    for r in mix_sources(docs).collect():
+        taken[r["source"]] += r["taken"]
+        target[r["source"]] = r["target"]
+        size[r["source"]] += 1
+    assert sum(size.values()) == 1800
+    for s in size:
+        assert abs(taken[s] - target[s]) <= 3, (s, taken[s], target[s])
+    want = Counter()
+    for r in mix_sources(docs).collect():
+        want[r["doc_id"], r["source"]] += r["copies"]
+    assert Counter((r["doc_id"], r["source"]) for r in apply_mix(docs.repartition(3)).collect()) == +want
+
+
 # ---- 6: WARC ----------------------------------------------------------------------------------------
 
 PAGES = [(1, "http://a/", "<p>one</p>"), (2, "http://b/", "<p>two\r\n\r\nWARC/1.1\r\n</p>"), (7, "http://c/", "<p>one</p>"),
@@ -401,6 +419,38 @@ def test_moderate_outliers_are_rejected(spark):
     assert sum(got[i]["kept"] for i, *_ in good) >= 590
 
 
+@pytest.mark.parametrize("others", [0, 250])
+def test_small_pools_are_judged(spark, others):
+    import random
+
+    rng = random.Random(5)
+    good = [(i, prose(rng, rng.randrange(60, 300)), "en", "s") for i in range(150)]
+    bad = [(1000 + i, " ".join(w + "***" for w in prose(rng, 100).split(" ")), "en", "s") for i in range(20)]
+    more = [(2000 + i, prose(rng, rng.randrange(60, 300)), "fr", "s") for i in range(others)]
+    kept = {r["doc_id"]: r["kept"] for r in quality_rules(frame(spark, good + bad + more)).collect()}
+    assert len(kept) == 170 + others
+    assert not any(kept[i] for i, *_ in bad)
+    assert sum(kept[i] for i, *_ in good + more) >= 0.98 * (150 + others)
+
+
+def test_few_rows_reject_nothing(spark):
+    import random
+
+    rng = random.Random(6)
+    rows = [(i, prose(rng, n), "en", "s") for i, n in enumerate((60, 900, 70, 4000, 200))]
+    assert all(r["kept"] for r in quality_rules(frame(spark, rows)).collect())
+
+
+def test_cutoffs():
+    from agrosense.llm import outliers
+
+    assert outliers.f_quantile(0.95, 5, 10) == pytest.approx(3.3258, abs=1e-4)
+    assert outliers.f_quantile(0.999, 5, 120) == pytest.approx(4.416, abs=2e-3)
+    cuts = [outliers.cutoff(n) for n in (3, 20, 50, 200, 100_000)]
+    assert cuts == sorted(cuts, reverse=True) and cuts[0] == float("inf")
+    assert cuts[-1] == pytest.approx(outliers.chi2_quantile(outliers.CUTOFF, 5), abs=0.01)
+
+
 # ---- 9: licences ----------------------------------------------------------------------------------
 
 def test_license_notices(spark):
