@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import threading
 from contextlib import contextmanager
 
 from pyspark import cloudpickle
@@ -32,16 +33,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-_SCOPES: list[list[str]] = []
+_SCOPES = threading.local()          # of each thread, the tables of its open ``scratch`` blocks
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def _scopes() -> list[list[str]]:
+    if not hasattr(_SCOPES, "open"):
+        _SCOPES.open = []
+    return _SCOPES.open
+
+
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` below the session's shared checkpoint folder and read it back: cuts the
     lineage, and a lost executor costs no recomputation of what lies before."""
     path = fresh_path(df.sparkSession, name)
-    if _SCOPES:
-        _SCOPES[-1].append(path)
-    df.write.parquet(path)
+    if _scopes():
+        _scopes()[-1].append(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -49,12 +56,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def scratch(spark: SparkSession):
     """Within it, tables written by ``stored`` are scratch and deleted at its end. What must
     outlive it is written to a path of its own, inside."""
-    _SCOPES.append([])
+    _scopes().append([])
     try:
         yield
     finally:
         conf = spark._jsc.hadoopConfiguration()
-        for name in _SCOPES.pop():
+        for name in _scopes().pop():
             path = spark._jvm.org.apache.hadoop.fs.Path(name)
             path.getFileSystem(conf).delete(path, True)
 

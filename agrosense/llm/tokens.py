@@ -2,13 +2,16 @@
 
 1. The texts are encoded once with the given tokenizer and the raw ids stored. A task hashes
    all white-space separated words of a batch at once and encodes each word it has not seen
-   yet; ids of known words are gathered from its cache. Splitting at ASCII white space does
+   yet; ids of known words are gathered from its cache, once their bytes have been compared
+   with the cached word's. Splitting at ASCII white space does
    not change the ids of a tokenizer that drops white space and never joins across it; if
    its pattern also separates letters from punctuation, words are cut there, and if it
-   lower-cases, words that differ in A-Z only are one.
+   lower-cases, words that differ in A-Z only are one. If its vocabulary marks word ends, new
+   words of letters are encoded many at once and parted at the marks.
 2. The ids are counted over the whole corpus (at most one row per vocabulary entry) and
    ranked by falling count, so that the commonest ids get the smallest codes.
-3. The documents are range-partitioned and sorted by ``doc_id`` and written as blocks. A
+3. The documents are range-partitioned and sorted by ``doc_id`` and, within it, their row
+   number, so that many rows under one id are spread too, and written as blocks. A
    block holds the ranks of up to ``BLOCK_DOCS`` documents: 1 to 4 little-endian bytes each in
    ``data``, and their lengths as two bits each, four to a byte, in ``control``; ``doc_ids``,
    ``counts`` and ``before`` (ids of the file's earlier blocks) are its index. The files are Parquet, so any file system Spark knows will
@@ -22,6 +25,8 @@ columns of the input are ignored.
 
 from __future__ import annotations
 
+import sys
+import types
 import zlib
 
 import numpy as np
@@ -29,8 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from agrosense.llm import prefix_hash as ph
-from agrosense.llm.common import ship
-from agrosense.session import fresh_path
+from agrosense.llm.common import scratch, ship, stored
 
 ship(__name__)
 ship(ph.__name__)
@@ -39,18 +43,48 @@ END_ID = 2
 BLOCK_DOCS = 256
 BLOCK_IDS = 1 << 18
 ENCODE_WORDS = 1_000
+JOINED_WORDS = 100               # words of letters that are encoded as one text
+SHORT_WORD = 64                  # bytes up to which words are compared eight bytes at a time
 # Fixed value: the pattern of pre-tokenizers that separate letters from punctuation.
 SPLIT_PATTERN = r"[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 PIECE_BYTES = 1 << 19            # texts are hashed in pieces of about this size
-CACHE_WORDS = 2_000_000          # words a worker keeps (about 25 bytes each); then it starts anew
+CACHE_WORDS = 1_000_000          # words a worker keeps (about 80 bytes each); then it starts anew
 
 
 # ---- encoding ------------------------------------------------------------------------------
 
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+def _eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place of ``data`` as integers; its last seven bytes are padding."""
+    return np.ndarray(max(len(data) - 7, 0), dtype="<u8", buffer=data, strides=(1,))
+
+
+def equal_spans(a: np.ndarray, a_at: np.ndarray, b: np.ndarray, b_at: np.ndarray,
+                n: np.ndarray) -> np.ndarray:
+    """Whether ``n`` bytes of ``a`` from ``a_at`` are those of ``b`` from ``b_at``, for many
+    spans. The last seven bytes of ``a`` and ``b`` are padding."""
+    equal = np.ones(len(n), dtype=bool)
+    left, right = _eights(a), _eights(b)
+    at, done = np.flatnonzero((n > 0) & (n <= SHORT_WORD)), 0
+    while len(at):
+        beyond = (8 * np.maximum(0, 8 - (n[at] - done))).astype(np.uint64)
+        differ = (left[a_at[at] + done] ^ right[b_at[at] + done]) << beyond
+        equal[at[differ != 0]] = False
+        done += 8
+        at = at[n[at] > done]
+    for i in np.flatnonzero(n > SHORT_WORD):
+        equal[i] = np.array_equal(a[a_at[i]:a_at[i] + n[i]], b[b_at[i]:b_at[i] + n[i]])
+    return equal
+
+
 class WordCache:
-    """Ids of words seen before: sorted word hashes, and the ids of each in one flat array."""
+    """Words seen before: their sorted hashes, their bytes, and their ids in one flat array."""
 
     def __init__(self, tokenizer_json: str, dtype, folds: bool, parts: bool):
+        import json
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"     # a task has one core
@@ -58,33 +92,80 @@ class WordCache:
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.dtype, self.folds, self.parts = dtype, folds, parts
+        model = json.loads(tokenizer_json)["model"]
+        suffix = model.get("end_of_word_suffix")
+        self.ends_word = None
+        if suffix and isinstance(model["vocab"], dict):
+            self.ends_word = np.zeros(max(model["vocab"].values()) + 1, dtype=bool)
+            self.ends_word[[i for word, i in model["vocab"].items() if word.endswith(suffix)]] = True
         self.clear()
 
     def clear(self):
         self.hashes = np.zeros(0, dtype=np.uint64)
-        self.at = np.zeros(0, dtype=np.int64)
-        self.length = np.zeros(0, dtype=np.int32)
-        self.flat = np.zeros(1 << 16, dtype=self.dtype)
-        self.used = 0
-
-    def add(self, hashes: np.ndarray, texts: list[str]) -> None:
-        """``hashes`` are sorted and new."""
-        coded = []
+        self.entry = np.zeros(0, dtype=np.int64)           # of each hash: its word's number
+        self.at = np.zeros(0, dtype=np.int64)              # of each word: where its ids begin
+        self.length = np.zeros(0, dtype=np.int64)
+        self.word_at = np.zeros(0, dtype=np.int64)         # of each word: where its bytes begin
+        self.word_bytes = np.zeros(0, dtype=np.int64)
+        self.flat, self.used = np.zeros(1 << 16, dtype=self.dtype), 0
+        self.text, self.text_used = np.zeros(1 << 16, dtype=np.uint8), 0
+
+    def _encode_each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        flats, lengths = [], []
         for i in range(0, len(texts), ENCODE_WORDS):
-            part = self.tokenizer.encode_batch_fast(texts[i:i + ENCODE_WORDS], add_special_tokens=False)
-            coded.extend(e.ids for e in part)
-        lengths = np.fromiter(map(len, coded), dtype=np.int32, count=len(coded))
-        total = int(lengths.sum())
-        while self.used + total > len(self.flat):
+            part = [e.ids for e in self.tokenizer.encode_batch_fast(
+                texts[i:i + ENCODE_WORDS], add_special_tokens=False)]
+            lengths.extend(map(len, part))
+            flats.extend(j for ids in part for j in ids)
+        return np.array(flats, dtype=self.dtype), np.array(lengths, dtype=np.int64)
+
+    def _encode_joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_encode_each`` for words of letters, many in one text: each is one piece to the
+        tokenizer, whose last id carries the mark. Should the marks not agree, one by one."""
+        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids,
+                       dtype=np.int64)
+        last = np.flatnonzero(self.ends_word[ids]) if not len(ids) or ids.max() < len(
+            self.ends_word) else np.zeros(0, dtype=np.int64)
+        if len(last) != len(words) or last[-1] != len(ids) - 1:
+            return self._encode_each(words)
+        return ids.astype(self.dtype), np.diff(np.concatenate([[-1], last]))
+
+    def encode_words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of the words and the number of ids of each."""
+        joined = np.array([self.ends_word is not None and len(t) <= SHORT_WORD and t.isalpha()
+                           for t in texts], dtype=bool)
+        order = np.concatenate([np.flatnonzero(joined), np.flatnonzero(~joined)])
+        n = int(joined.sum())
+        coded = [self._encode_joined([texts[i] for i in order[j:min(n, j + JOINED_WORDS)]])
+                 for j in range(0, n, JOINED_WORDS)]
+        coded.append(self._encode_each([texts[i] for i in order[n:]]))
+        flat = np.concatenate([ids for ids, _ in coded])
+        counts = np.concatenate([lengths for _, lengths in coded])
+        lengths = np.zeros(len(texts), dtype=np.int64)
+        lengths[order] = counts
+        starts = np.zeros(len(texts), dtype=np.int64)
+        starts[order] = np.cumsum(counts) - counts
+        ends = np.cumsum(lengths)
+        return flat[np.repeat(starts - (ends - lengths), lengths) + np.arange(len(flat))], lengths
+
+    def add(self, raws: list[bytes]) -> np.ndarray:
+        """Keep these words; the numbers they get."""
+        flat, lengths = self.encode_words([r.decode("utf-8", "replace") for r in raws])
+        text = np.frombuffer(b"".join(raws), dtype=np.uint8)
+        sizes = np.fromiter(map(len, raws), dtype=np.int64, count=len(raws))
+        while self.used + len(flat) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[self.used:self.used + total] = np.fromiter(
-            (i for ids in coded for i in ids), dtype=self.dtype, count=total)
-        starts = self.used + np.concatenate([[0], np.cumsum(lengths[:-1], dtype=np.int64)])
-        self.used += total
-        where = np.searchsorted(self.hashes, hashes)
-        self.hashes = np.insert(self.hashes, where, hashes)
-        self.at = np.insert(self.at, where, starts)
-        self.length = np.insert(self.length, where, lengths)
+        while self.text_used + len(text) + 8 > len(self.text):
+            self.text = np.concatenate([self.text, np.zeros_like(self.text)])
+        self.flat[self.used:self.used + len(flat)] = flat
+        self.text[self.text_used:self.text_used + len(text)] = text
+        numbers = len(self.at) + np.arange(len(raws))
+        self.at = np.concatenate([self.at, self.used + np.cumsum(lengths) - lengths])
+        self.length = np.concatenate([self.length, lengths])
+        self.word_at = np.concatenate([self.word_at, self.text_used + np.cumsum(sizes) - sizes])
+        self.word_bytes = np.concatenate([self.word_bytes, sizes])
+        self.used, self.text_used = self.used + len(flat), self.text_used + len(text)
+        return numbers
 
     def ids(self, data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in ``data`` and the number of ids of each text."""
@@ -92,43 +173,56 @@ class WordCache:
         n_docs = len(edges) - 1
         if len(start) == 0:
             return np.zeros(0, dtype=self.dtype), np.zeros(n_docs, dtype=np.int64)
+        plain = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
         if self.folds:
-            h = ph.mix64(ph.span_hash(ph.prefix_sums(data, ph.LOWERED_VALUES), start, stop))
             marked = np.concatenate([[0], np.cumsum(data == ord("<"))])
             exact = np.flatnonzero(marked[stop] > marked[start])    # may hold a special token
-            if len(exact):
-                h[exact] = ph.mix64(~ph.span_hash(ph.prefix_sums(data), start[exact], stop[exact]))
-        else:
-            h = ph.mix64(ph.span_hash(ph.prefix_sums(data), start, stop))
+            plain = _LOWER[plain]
+            for i in exact:
+                plain[start[i]:stop[i]] = data[start[i]:stop[i]]
+        h = word_hashes(plain[:len(data)], start, stop)
+        size = stop - start
         unique, first, inverse = np.unique(h, return_index=True, return_inverse=True)
-        if len(self.hashes) + len(unique) > CACHE_WORDS:
+        if len(self.at) + len(unique) > CACHE_WORDS:
             self.clear()
         where = np.searchsorted(self.hashes, unique)
         known = np.zeros(len(unique), dtype=bool)
         inside = where < len(self.hashes)
         known[inside] = self.hashes[where[inside]] == unique[inside]
         new = np.flatnonzero(~known)
+        raw = plain.tobytes()
         if len(new):
-            raw = data.tobytes()
-            self.add(unique[new], [raw[start[i]:stop[i]].decode("utf-8", "replace")
-                                   for i in first[new]])
+            numbers = self.add([raw[start[i]:stop[i]] for i in first[new]])
+            self.hashes = np.insert(self.hashes, where[new], unique[new])
+            self.entry = np.insert(self.entry, where[new], numbers)
             where = np.searchsorted(self.hashes, unique)
-        entry = where[inverse]
-        lengths = self.length[entry].astype(np.int64)
+        word = self.entry[where][inverse]
+        same = self.word_bytes[word] == size
+        at = np.flatnonzero(same)
+        same[at] = equal_spans(plain, start[at], self.text, self.word_at[word[at]], size[at])
+        strays = np.flatnonzero(~same)            # another word has the same hash
+        if len(strays):
+            spelled = [raw[start[i]:stop[i]] for i in strays]
+            kinds = {w: k for k, w in enumerate(dict.fromkeys(spelled))}
+            word[strays] = self.add(list(kinds))[[kinds[w] for w in spelled]]
+        lengths = self.length[word]
         ends = np.cumsum(lengths)
-        source = np.repeat(self.at[entry] - (ends - lengths), lengths) + np.arange(ends[-1])
+        source = np.repeat(self.at[word] - (ends - lengths), lengths) + np.arange(ends[-1])
         upto = np.concatenate([[0], ends])[np.searchsorted(start, edges)]
         return self.flat[source], np.diff(upto)
 
 
-_CACHES: dict = {}
+def word_hashes(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words; equal hashes are told apart by their bytes."""
+    return ph.mix64(ph.span_hash(ph.prefix_sums(data), start, stop))
 
 
 def _word_cache(key: str, tokenizer_json: str, dtype, folds: bool, parts: bool) -> WordCache:
-    if key not in _CACHES:
-        _CACHES.clear()
-        _CACHES[key] = WordCache(tokenizer_json, dtype, folds, parts)
-    return _CACHES[key]
+    """The Python worker's cache, in a module of its own: this one is sent anew with each task."""
+    kept = sys.modules.setdefault("token_word_cache", types.ModuleType("token_word_cache")).__dict__
+    if kept.get("key") != key:
+        kept["key"], kept["cache"] = key, WordCache(tokenizer_json, dtype, folds, parts)
+    return kept["cache"]
 
 
 def _cut(data: np.ndarray, limit: int):
@@ -167,7 +261,8 @@ def encode_texts(cache: WordCache, data: np.ndarray, offsets: np.ndarray, end_id
 
 
 def token_ids(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> tuple[DataFrame, str]:
-    """``doc_id, n, ids``: the raw ids of each text as little-endian integers, and their type."""
+    """``doc_id, row, n, ids``: the raw ids of each text as little-endian integers, and their
+    type. ``row`` is a number of the row's own."""
     import json
 
     spark = docs.sparkSession
@@ -185,16 +280,21 @@ def token_ids(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> tup
     def encode(batches):
         import pyarrow as pa
 
+        from pyspark import TaskContext
+
         cache = _word_cache(key, shared.value, np.dtype(dtype), folds, parts)
+        row = TaskContext.get().partitionId() << 40
         for b in batches:
             data, offsets = ph.text_buffers(b.column(1))
             flat, ends = encode_texts(cache, data, offsets, end_id)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(np.diff(ends)), ph.binary_column(flat, ends)],
-                names=["doc_id", "n", "ids"])
+                [b.column(0), pa.array(row + np.arange(b.num_rows)), pa.array(np.diff(ends)),
+                 ph.binary_column(flat, ends)],
+                names=["doc_id", "row", "n", "ids"])
+            row += b.num_rows
 
     out = docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
-        encode, f"doc_id {id_type}, n long, ids binary")
+        encode, f"doc_id {id_type}, row long, n long, ids binary")
     return out, dtype
 
 
@@ -253,11 +353,14 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = END_ID) -> None:
     """Write the token files of ``docs`` below ``path``: ``blocks`` and ``ranks``."""
+    with scratch(docs.sparkSession):
+        _write_files(docs, tokenizer_path, path, end_id)
+
+
+def _write_files(docs: DataFrame, tokenizer_path: str, path: str, end_id: int) -> None:
     spark = docs.sparkSession
     coded, dtype = token_ids(docs, tokenizer_path, end_id)
-    raw_path = fresh_path(spark, "token-ids")
-    coded.write.option("compression", "zstd").parquet(raw_path)
-    ids = spark.read.schema(coded.schema).parquet(raw_path)
+    ids = stored(coded, "token-ids", compression="zstd")
 
     ranked = Window.orderBy(F.desc("n"), "id")       # a vocabulary's rows, whatever the input
     (id_counts(ids, dtype).withColumn("rank", F.row_number().over(ranked) - 1)
@@ -291,8 +394,8 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int =
                 seq, before, i = seq + 1, before + int(counts.sum()), j
 
     n_files = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (ids.select("doc_id", "ids").repartitionByRange(n_files, "doc_id")
-     .sortWithinPartitions("doc_id").withColumn("file_no", F.spark_partition_id())
+    (ids.select("doc_id", "ids", "row").repartitionByRange(n_files, "doc_id", "row")
+     .sortWithinPartitions("doc_id", "row").drop("row").withColumn("file_no", F.spark_partition_id())
      .mapInArrow(blocks, f"file_no int, block long, before long, n_ids long, doc_ids array<{id_type}>, "
                          "counts array<long>, control binary, data binary")
      .write.option("compression", "zstd").parquet(f"{path}/blocks"))

@@ -124,6 +124,35 @@ def test_word_cache_starts_anew(monkeypatch, spark, docs, data, tmp_path):
         assert ids[ends[k]:ends[k + 1]].tolist() == t.encode(x, add_special_tokens=False).ids + [2]
 
 
+def test_words_of_one_hash_keep_their_own_ids(monkeypatch, data):
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(tokens, "word_hashes", lambda data, start, stop: (start % 3).astype(np.uint64))
+    monkeypatch.setattr(tokens, "PIECE_BYTES", 2_000)
+    path = tokenizer_path()
+    t = Tokenizer.from_file(path)
+    raw = [(x or "")[:3000] for _, x, *_ in data] + ["İstanbul ǆ ﬁne e\u0301te \u0301 o'clock 12ab34 " + "z" * 70] * 2
+    flat = np.frombuffer("".join(raw).encode(), np.uint8)
+    edges = np.concatenate([[0], np.cumsum([size_in_bytes(x) for x in raw])])
+    cache = tokens.WordCache(open(path, encoding="utf-8").read(), np.dtype("<u2"), True, True)
+    ids, ends = tokens.encode_texts(cache, flat, edges, 2)
+    for k, x in enumerate(raw):
+        assert ids[ends[k]:ends[k + 1]].tolist() == t.encode(x, add_special_tokens=False).ids + [2]
+
+
+def test_token_files_spread_one_id(spark, tmp_path):
+    rows = [(None if i % 3 == 0 else i, f"word{i % 7} x") for i in range(3_000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    tokens.write_tokens(docs, tokenizer_path(), str(tmp_path / "t"))
+    sizes = [r["n"] for r in spark.read.parquet(str(tmp_path / "t" / "blocks")).groupBy("file_no")
+             .agg({"n_ids": "sum"}).toDF("file_no", "n").collect()]
+    assert max(sizes) < 2 * sum(sizes) / len(sizes)              # a third of the rows has one id
+    got = tokens.read_tokens(spark, str(tmp_path / "t")).orderBy("start").collect()
+    ids = [r["doc_id"] for r in got]
+    assert len(ids) == 3_000 and ids == sorted(ids, key=lambda i: -1 if i is None else i)
+
+
 # ---- 4: decontamination ----------------------------------------------------------------------
 
 BENCH_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
