@@ -375,14 +375,20 @@ def _sets_of(docs: DataFrame, rows: DataFrame, width: int) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5, threshold=THRESHOLD) -> DataFrame:
-    """One row of each near-duplicate group, the one with the smallest id; a row that repeats
-    an id with its text stays once. Columns unchanged."""
+    """One row of each near-duplicate group, the one with the smallest id; of rows that repeat
+    an id with its text, the one whose JSON has the smallest hash. Columns unchanged."""
     spark, path = docs.sparkSession, fresh_path(docs.sparkSession, "dedup-kept")
     with scratch(spark):
         _decided(docs, width, threshold).where("kept").groupBy("row").count().write.parquet(path)
     kept = spark.read.parquet(path)
     repeated = kept.where("count > 1").limit(1).count()
-    kept = kept.select(F.col("row").alias("__row"))
-    known = docs.withColumn("__row", row_key(F.col("doc_id"), F.col("text"))).join(
-        kept, "__row", "left_semi")
-    return (known.dropDuplicates(["__row"]) if repeated else known).drop("__row")
+    keyed = docs.withColumn("__row", row_key(F.col("doc_id"), F.col("text")))
+    known = keyed.join(kept.select(F.col("row").alias("__row")), "__row", "left_semi")
+    if not repeated:
+        return known.drop("__row")
+    again = F.xxhash64(F.to_json(F.struct(*[F.col(c) for c in docs.columns])))
+    many = kept.where("count > 1").select(F.col("row").alias("__row"))
+    least = stored(keyed.join(many, "__row", "left_semi").groupBy("__row")
+                   .agg(F.min(again).alias("__least")), "dedup-first-rows")
+    chosen = known.join(least, "__row", "left").where(F.col("__least").isNull() | (again == F.col("__least")))
+    return chosen.dropDuplicates(["__row"]).drop("__row", "__least")

@@ -209,13 +209,24 @@ def fold(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")), F.lit(0)) % FOLDS
 
 
-def train(stats: DataFrame, labels: DataFrame) -> dict:
-    """Fit on at most ``MAX_SAMPLE`` labelled rows outside the held-out fold."""
+def labelled_sample(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """``rows`` that are labelled and outside the held-out fold, with their label ``__y``; of
+    more than ``MAX_SAMPLE`` a share of about so many, chosen by a hash of the whole row."""
     known = (labels.where(F.col("quality").isNotNull()).groupBy("doc_id")
-             .agg(F.avg(F.col("quality").cast("double")).alias("y")))
-    rows = (stats.where(fold(F.col("doc_id")) != HELD_OUT).join(known, "doc_id")
-            .orderBy(F.xxhash64("doc_id"), "doc_id", *STATS).limit(MAX_SAMPLE)
-            .select(*STATS, (F.col("y") >= 0.5).cast("double").alias("y")).toPandas())
+             .agg((F.avg(F.col("quality").cast("double")) >= 0.5).cast("double").alias("__y")))
+    usable = rows.where(fold(F.col("doc_id")) != HELD_OUT).join(known, "doc_id")
+    n = usable.count()
+    if n <= MAX_SAMPLE:
+        return usable
+    drawn = F.pmod(F.xxhash64(*rows.columns), F.lit(1 << 31))
+    return usable.where(drawn < int(MAX_SAMPLE / n * (1 << 31)))
+
+
+def train(sample: DataFrame) -> dict:
+    """Fit on the statistics and labels of a ``labelled_sample``. Its order decides nothing but
+    rounding, and is fixed; the limit only matters where one row is repeated very often."""
+    rows = (sample.orderBy(F.xxhash64("doc_id"), "doc_id", *STATS).limit(MAX_SAMPLE)
+            .select(*STATS, F.col("__y").alias("y")).toPandas())
     values = rows[list(STATS)].to_numpy(dtype=float).reshape(-1, len(STATS))
     return fit_rules(values, rows["y"].to_numpy(dtype=float))
 
@@ -223,7 +234,7 @@ def train(stats: DataFrame, labels: DataFrame) -> dict:
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every row of ``docs``."""
     stats = stored(with_statistics(docs, "doc_id"), "quality-statistics")
-    score = compiled(train(stats, labels))
+    score = compiled(train(labelled_sample(stats, labels)))
     return stats.select("doc_id", (fold(F.col("doc_id")) == HELD_OUT).alias("held_out"),
                         score.alias("score")).withColumn(
         "predicted", (F.col("score") >= ACCEPT).cast("int"))
@@ -231,8 +242,10 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def accept_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the classifier accepts; columns unchanged."""
-    stats = stored(with_statistics(docs, "doc_id"), "quality-statistics")
-    score = compiled(train(stats, labels))
+    # the statistics of all rows are only needed once, below
+    sample = labelled_sample(docs.select("doc_id", F.col("text").cast("string").alias("text")), labels)
+    stats = stored(with_statistics(sample, "doc_id", "__y"), "quality-statistics")
+    score = compiled(train(stats))
     taken = {c: f"__c{i}" for i, c in enumerate(docs.columns)}
     named = docs.select(*[F.col(c).alias(n) for c, n in taken.items()],
                         F.col("text").alias("text"))
