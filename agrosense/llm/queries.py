@@ -51,7 +51,7 @@ def token_digest(docs: DataFrame) -> DataFrame:
 
     spark, path = docs.sparkSession, fresh_path(docs.sparkSession, "token-files")
     write_tokens(docs, public_tokenizers.path("word_bpe_49k.json"), path)
-    return read_tokens(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return read_tokens(spark, path, with_ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

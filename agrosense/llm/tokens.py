@@ -119,16 +119,21 @@ class WordCache:
             flats.extend(j for ids in part for j in ids)
         return np.array(flats, dtype=self.dtype), np.array(lengths, dtype=np.int64)
 
-    def _encode_joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _encode_joined(self, words: list[str]):
         """As ``_encode_each`` for words of letters, many in one text: each is one piece to the
-        tokenizer, whose last id carries the mark. Should the marks not agree, one by one."""
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids,
-                       dtype=np.int64)
-        last = np.flatnonzero(self.ends_word[ids]) if not len(ids) or ids.max() < len(
-            self.ends_word) else np.zeros(0, dtype=np.int64)
-        if len(last) != len(words) or last[-1] != len(ids) - 1:
-            return self._encode_each(words)
-        return ids.astype(self.dtype), np.diff(np.concatenate([[-1], last]))
+        tokenizer, whose last id carries the mark. Where the marks don't agree, one by one."""
+        groups = [words[i:i + JOINED_WORDS] for i in range(0, len(words), JOINED_WORDS)]
+        for i in range(0, len(groups), 10):
+            part = self.tokenizer.encode_batch_fast([" ".join(g) for g in groups[i:i + 10]],
+                                                    add_special_tokens=False)
+            for group, coded in zip(groups[i:i + 10], part):
+                ids = np.array(coded.ids, dtype=np.int64)
+                known = len(ids) and ids.max() < len(self.ends_word)
+                last = np.flatnonzero(self.ends_word[ids]) if known else ids
+                if len(last) == len(group) and last[-1] == len(ids) - 1:
+                    yield ids.astype(self.dtype), np.diff(np.concatenate([[-1], last]))
+                else:
+                    yield self._encode_each(group)
 
     def encode_words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of the words and the number of ids of each."""
@@ -136,8 +141,7 @@ class WordCache:
                            for t in texts], dtype=bool)
         order = np.concatenate([np.flatnonzero(joined), np.flatnonzero(~joined)])
         n = int(joined.sum())
-        coded = [self._encode_joined([texts[i] for i in order[j:min(n, j + JOINED_WORDS)]])
-                 for j in range(0, n, JOINED_WORDS)]
+        coded = list(self._encode_joined([texts[i] for i in order[:n]]))
         coded.append(self._encode_each([texts[i] for i in order[n:]]))
         flat = np.concatenate([ids for ids, _ in coded])
         counts = np.concatenate([lengths for _, lengths in coded])
@@ -401,8 +405,9 @@ def _write_files(docs: DataFrame, tokenizer_path: str, path: str, end_id: int) -
      .write.option("compression", "zstd").parquet(f"{path}/blocks"))
 
 
-def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """``doc_id, start, n_tokens, ids_crc32, ids`` of every document in the files."""
+def read_tokens(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
+    """``doc_id, start, n_tokens, ids_crc32, ids`` of every document in the files; all ids are
+    decoded, but not returned unless ``with_ids``."""
     blocks = spark.read.parquet(f"{path}/blocks")
     pairs = spark.read.parquet(f"{path}/ranks").select("id", "rank").toPandas()
     id_of = np.zeros(len(pairs) + 1, dtype="<u4")
@@ -426,10 +431,12 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                 flat = shared.value[unpack(control.as_py(), data.as_py(), int(edges[-1]))]
                 raw = flat.tobytes()
                 crcs = [zlib.crc32(raw[4 * edges[k]:4 * edges[k + 1]]) for k in range(len(counts))]
-                yield pa.RecordBatch.from_arrays([
-                    doc_ids.values, pa.array(start.as_py() + edges[:-1]), pa.array(counts),
-                    pa.array(crcs, pa.int64()), ph.binary_column(flat, edges)],
-                    names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"])
+                columns = {"doc_id": doc_ids.values, "start": pa.array(start.as_py() + edges[:-1]),
+                           "n_tokens": pa.array(counts), "ids_crc32": pa.array(crcs, pa.int64())}
+                if with_ids:
+                    columns["ids"] = ph.binary_column(flat, edges)
+                yield pa.RecordBatch.from_pydict(columns)
 
     return placed.select("start", "doc_ids", "counts", "control", "data").mapInArrow(
-        decode, f"doc_id {id_type}, start long, n_tokens long, ids_crc32 long, ids binary")
+        decode, f"doc_id {id_type}, start long, n_tokens long, ids_crc32 long"
+                + (", ids binary" if with_ids else ""))
