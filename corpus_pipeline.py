@@ -3,6 +3,14 @@
 ``STAGES`` lists (name, function) in order. A function takes (spark, docs, sf_dir), works on
 all rows its predecessor kept and returns a DataFrame: the columns of ``documents`` for the
 first four, the digest of the token files for the last.
+
+Defined cases: a null text is scored and encoded as an empty one and has no shingles or
+benchmark words; rows without words are their own near-duplicate group; rows without an id
+are documents of their own; rows that repeat an id with its text are one document to the
+near-duplicate stage; whole texts are used at any length; without labels every score is 0.5
+and no row stays; without a benchmark the third stage keeps all; empty tables give empty
+results; further columns are carried along and may have any name that does not begin with
+two underscores.
 """
 
 from __future__ import annotations
