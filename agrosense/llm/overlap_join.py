@@ -13,15 +13,19 @@ factor; linked sets are in one interval or in neighbours, and differ in at most
 there. Shingles are dealt by hash into ``d + 1`` parts, so one part at least is equal in both:
 buckets are equal parts, and no link is lost (equal hashes of unequal parts only cost time).
 
-1. One pass gives every row's set size and a 128-bit digest; equal sets are one class. Another
-   counts part keys; a bit map of fixed size keeps those found twice, and a third pass gives
-   the classes that have them, so most part keys are shuffled once, as a count.
+1. One pass gives every row's set size, a 128-bit digest and a parity sketch; equal sets are one
+   class. Another gives the part keys, each with 64 bits of its class's digest, which are
+   shuffled once: a bucket's least and greatest class show whether it has several.
 2. Each bucket's smallest member is its pivot. Pivots are the queries, their members the index,
    in blocks of ``BLOCK_BYTES`` of sets. Links give components.
 3. Links no pivot showed join different components of a bucket. The members outside the
-   bucket's largest component ask all members that sizes admit: each pair once over all
-   buckets of up to ``SMALL`` members, block against block in larger ones. Most buckets have
-   one component by then. The components of all links are the result.
+   bucket's largest component ask all members that sizes and sketches admit: each pair once
+   over all buckets of up to ``SMALL`` members, block against block in larger ones. Most buckets
+   have one component by then. The components of all links are the result.
+
+A bit of a sketch is the parity of the number of shingles dealt to it, so two sketches differ in
+at most as many bits as the sets do in shingles: a pair whose sketches differ in more than a link
+may has none, and its texts need not travel. Of long sets the sketch says little; it loses no link.
 
 Nothing is capped; large buckets have more blocks. What travels to the blocks are the texts
 (half the bytes of their sets), only of documents that a search names.
@@ -40,7 +44,7 @@ from bisect import bisect_left
 from math import log
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from agrosense.llm import common, minmax
@@ -59,7 +63,8 @@ MU = 0.0085                           # DivideSkip: the share of lists that coun
 BLOCK_BYTES = 4 << 20                 # bytes of sets in one index
 PIECE_BYTES = 1 << 20
 SMALL = 256                           # members of a bucket whose open pairs are listed
-MAP_BITS = 24                         # bits of the maps of shared parts and wanted rows
+MAP_BITS = 24                         # bits of the map of wanted rows
+SKETCH = [f"s{k}" for k in range(8)]  # columns of a parity sketch, 64 bits each
 
 
 # ---- sizes and parts -------------------------------------------------------------------------
@@ -183,59 +188,71 @@ def _in_pieces(batches, width, make):
 
 
 def _digests(sets, offsets):
-    """Sizes and 128-bit digests of the sets, as an Arrow binary column."""
+    """Sizes of the sets, the first half of their 128-bit digests, and these as an Arrow binary column."""
     n = np.diff(offsets)
     k = np.zeros((len(n), 2), dtype=np.uint64)
     full = np.flatnonzero(n)
     if len(full):
         k[full, 0] = np.add.reduceat(ph.mix64(sets ^ np.uint64(0x2545F4914F6CDD1D)), offsets[full])
         k[full, 1] = np.add.reduceat(ph.mix64(sets + np.uint64(0x632BE59BD9B4E019)), offsets[full])
-    return n, ph.binary_column(k.reshape(-1), 2 * np.arange(len(n) + 1))
+    return n, k[:, 0].copy().view(np.int64), ph.binary_column(k.reshape(-1), 2 * np.arange(len(n) + 1))
+
+
+def parity_sketches(sets, offsets) -> np.ndarray:
+    """A row of 64-bit integers for each set: bit by bit, the parity of the shingles dealt to it."""
+    n, bits = len(offsets) - 1, 64 * len(SKETCH)
+    bit = (ph.mix64(sets ^ np.uint64(0x3C79AC492BA7B653)) % np.uint64(bits)).astype(np.int64)
+    odd = np.bincount(np.repeat(np.arange(n), np.diff(offsets)) * bits + bit, minlength=n * bits) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(n, bits), axis=1, bitorder="little").view("<i8")
 
 
 def document_digests(docs: DataFrame, width: int) -> DataFrame:
-    """``row, doc_id, n, id``: key, set size and set digest of every row."""
+    """``row, doc_id, n, h, id`` and the sketch: key, set size and set digest of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         import pyarrow as pa
 
         def make(b, sets, offsets):
-            n, digest = _digests(sets, offsets)
-            return pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n), digest],
-                                              names=["row", "doc_id", "n", "id"])
+            n, h, digest = _digests(sets, offsets)
+            sketch = [pa.array(np.ascontiguousarray(c)) for c in parity_sketches(sets, offsets).T]
+            return pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n), pa.array(h), digest, *sketch],
+                                              names=["row", "doc_id", "n", "h", "id", *SKETCH])
         return _in_pieces(batches, width, make)
 
-    return _texts(docs).mapInArrow(run, f"row binary, doc_id {kind}, n long, id binary")
+    return _texts(docs).mapInArrow(run, f"row binary, doc_id {kind}, n long, h long, id binary, "
+                                        + ", ".join(f"{c} long" for c in SKETCH))
 
 
-def part_hashes(docs: DataFrame, width: int, threshold) -> DataFrame:
-    """``b``: a row for each part key of each document."""
+def part_members(docs: DataFrame, width: int, threshold) -> DataFrame:
+    """``b, h``: the part keys of each document and the first 64 bits of its set digest. A task
+    gives those of equal sets once."""
 
     def run(batches):
         import pyarrow as pa
 
-        return _in_pieces(batches, width, lambda b, sets, offsets: pa.RecordBatch.from_arrays(
-            [pa.array(part_keys(sets, offsets, threshold)[0].view(np.int64))], names=["b"]))
+        seen = set()
 
-    return docs.select(F.col("text").cast("string")).mapInArrow(run, "b long")
+        def make(_, sets, offsets):
+            n, h, digest = _digests(sets, offsets)
+            fresh = np.zeros(len(n), dtype=bool)
+            for k, d in enumerate(digest.to_pylist()):
+                if n[k] and d not in seen:
+                    seen.add(d)
+                    fresh[k] = True
+            keys, edges = part_keys(sets[np.repeat(fresh, n)], np.concatenate([[0], np.cumsum(n[fresh])]).astype(np.int64), threshold)
+            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(np.repeat(h[fresh], np.diff(edges)))],
+                                              names=["b", "h"])
+        return _in_pieces(batches, width, make)
 
+    return docs.select(F.col("text").cast("string")).mapInArrow(run, "b long, h long")
 
-def bucket_members(docs: DataFrame, width: int, threshold, shared: np.ndarray) -> DataFrame:
-    """``b, id``: classes by the part keys that the map ``shared`` has."""
 
-    def run(batches):
-        import pyarrow as pa
-
-        def make(b, sets, offsets):
-            keys, edges = part_keys(sets, offsets, threshold)
-            keep = in_bit_map(shared, keys)
-            at = np.repeat(np.arange(b.num_rows), np.diff(edges))[keep]
-            return pa.RecordBatch.from_arrays([pa.array(keys[keep].view(np.int64)), _digests(sets, offsets)[1].take(pa.array(at))],
-                                              names=["b", "id"])
-        return _in_pieces(batches, width, make)
-
-    return docs.select(F.col("text").cast("string")).mapInArrow(run, "b long, id binary")
+def shared_buckets(parts: DataFrame) -> DataFrame:
+    """``b, h, pivot``: the members, each once, of the buckets with several, and the smallest."""
+    bucket = Window.partitionBy("b")
+    spread = parts.select("b", "h", F.min("h").over(bucket).alias("pivot"), F.max("h").over(bucket).alias("last"))
+    return spread.where("pivot < last").select("b", "h", "pivot").distinct()
 
 
 def wanted_texts(docs: DataFrame, rows: DataFrame) -> DataFrame:
@@ -291,12 +308,24 @@ def _blocks_of(size):
     return F.greatest(F.lit(1), F.ceil(size * 8 / BLOCK_BYTES)).cast("int")
 
 
-def _sized(pairs: DataFrame, sizes: DataFrame, threshold) -> DataFrame:
-    """The distinct pairs (x, y) whose set sizes can link, with y's size ``n``."""
+def _may_link(x: str, y: str, threshold):
+    """Whether sizes and sketches admit a link; the columns of a side end in ``x`` and ``y``."""
     num, den = threshold
-    side = lambda c, n: sizes.select(F.col("id").alias(c), F.col("n").alias(n))
-    return pairs.distinct().join(side("x", "n_x"), "x").join(side("y", "n"), "y").where(
-        den * F.least("n", "n_x") >= num * F.greatest("n", "n_x")).select("x", "y", "n")
+    n_x, n_y = F.col(f"n_{x}"), F.col(f"n_{y}")
+    differ = sum((F.bit_count(F.col(f"{c}_{x}").bitwiseXOR(F.col(f"{c}_{y}"))) for c in SKETCH), F.lit(0))
+    return (den * F.least(n_x, n_y) >= num * F.greatest(n_x, n_y)) & ((den + num) * differ <= (den - num) * (n_x + n_y))
+
+
+def _side(side: str) -> list:
+    return [F.col("id").alias(side), F.col("n").alias(f"n_{side}"), *(F.col(c).alias(f"{c}_{side}") for c in SKETCH)]
+
+
+def _met(members: DataFrame, heads: DataFrame, threshold) -> DataFrame:
+    """The distinct pairs (x, y) of a pivot and a member that may link, with y's size ``n``."""
+    pairs = members.where("h <> pivot").select(F.col("pivot").alias("h_x"), F.col("h").alias("h_y")).distinct()
+    of = lambda side: heads.select(F.col("h").alias(f"h_{side}"), *_side(side))
+    both = pairs.join(of("x"), "h_x").join(of("y"), "h_y").where(_may_link("x", "y", threshold))
+    return both.select("x", "y", F.col("n_y").alias("n"))
 
 
 def _pair_blocks(pairs: DataFrame) -> DataFrame:
@@ -319,12 +348,15 @@ def _open(members: DataFrame) -> DataFrame:
                                        _blocks_of(F.col("all") - F.col("main.load")).alias("n_asks")), "b")
 
 
-def _open_pairs(told: DataFrame) -> DataFrame:
-    """Pairs (x, y) of small open buckets that no component joins; x is outside the main one."""
-    told = told.where(F.col("c") <= SMALL)
-    asks = told.where("component <> main").select("b", F.col("id").alias("x"), F.col("component").alias("cx"))
-    has = told.select("b", F.col("id").alias("y"), F.col("component").alias("cy"), (F.col("component") == F.col("main")).alias("m"))
-    return asks.join(has, "b").where("cx <> cy and (m or x < y)").select("x", "y")
+def _open_pairs(told: DataFrame, heads: DataFrame, threshold) -> DataFrame:
+    """The distinct pairs (x, y), with y's size ``n``, of small open buckets that no component
+    joins and that may link; x is outside the main component."""
+    told = stored(told.where(F.col("c") <= SMALL).select("b", "id", "component", "main")
+                  .join(heads.select("id", "n", *SKETCH), "id"), "join-open-small")
+    asks = told.where("component <> main").select("b", F.col("component").alias("cx"), *_side("x"))
+    has = told.select("b", F.col("component").alias("cy"), (F.col("component") == F.col("main")).alias("m"), *_side("y"))
+    return asks.join(has, "b").where(F.expr("cx <> cy and (m or x < y)") & _may_link("x", "y", threshold)).select(
+        "x", "y", F.col("n_y").alias("n")).distinct()
 
 
 def _open_blocks(told: DataFrame) -> DataFrame:
@@ -343,27 +375,22 @@ def _open_blocks(told: DataFrame) -> DataFrame:
 def jaccard_components(docs: DataFrame, width: int = 3, threshold=THRESHOLD) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
     signed = stored(document_digests(docs, width), "join-digests")
-    heads = stored(signed.where("n > 0").groupBy("id").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"), F.first("n").alias("n")),
-        "join-heads")
-    sizes = heads.select("id", "n")
+    heads = stored(signed.where("n > 0").groupBy("id", "h", "n", *SKETCH).agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")), "join-heads")
 
     def links_in(blocks):
         blocks = stored(blocks, "join-blocks")
         rows = stored(blocks.select("id").distinct().join(heads.select("id", F.col("first.row").alias("row")), "id"), "join-asked")
         return stored(_searched(blocks, stored(wanted_texts(docs, rows), "join-texts"), width, threshold), "join-links")
 
-    shared = part_hashes(docs, width, threshold).groupBy("b").count().where("count > 1").select("b")
-    members = stored(bucket_members(docs, width, threshold, bit_map(shared, MAP_BITS)).distinct(), "join-parts")
-    pivots = members.groupBy("b").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("pivot < last")
-    members = stored(members.join(pivots.select("b", "pivot"), "b"), "join-members")
-    met = members.where("id <> pivot").select(F.col("pivot").alias("x"), F.col("id").alias("y"))
-    links = links_in(_pair_blocks(stored(_sized(met, sizes, threshold), "join-met")))
+    members = stored(shared_buckets(part_members(docs, width, threshold)), "join-members")
+    links = links_in(_pair_blocks(stored(_met(members, heads, threshold), "join-met")))
     groups = stored(components(links), "join-groups")
 
-    told = stored(_open(members.select("b", "id").join(groups.withColumnRenamed("node", "id"), "id", "left").join(sizes, "id").select(
-        "b", "id", "n", F.coalesce("component", "id").alias("component"))), "join-open")
-    more = links_in(_pair_blocks(stored(_sized(_open_pairs(told), sizes, threshold), "join-open-pairs")).unionAll(_open_blocks(told)))
+    parted = stored(heads.select("id", "h", "n").join(groups.withColumnRenamed("node", "id"), "id", "left").select(
+        "id", "h", "n", F.coalesce("component", "id").alias("component")), "join-parted")
+    told = stored(_open(members.select("b", "h").join(parted, "h").drop("h")), "join-open")
+    more = links_in(_pair_blocks(stored(_open_pairs(told, heads, threshold), "join-open-pairs")).unionAll(_open_blocks(told)))
     if not more.isEmpty():
         groups = stored(components(groups.select(F.col("node").alias("x"), F.col("component").alias("y"))
                                    .unionAll(more)), "join-groups")

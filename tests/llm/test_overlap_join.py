@@ -119,3 +119,30 @@ def test_linked_sets_share_a_part():
 @pytest.mark.parametrize("data", [[], [(1, None, "en", "a"), (2, "", "en", "a"), (None, "a b c", None, None)]])
 def test_empty_tables_and_texts(spark, data):
     assert collected(jaccard_components(frame(spark, data))) == brute(data, 90, 100)
+
+
+def test_sketches_admit_every_link_and_part_from_few():
+    rng = np.random.default_rng(11)
+    for _ in range(100):
+        base = rng.choice(1 << 40, int(rng.integers(1, 400)), replace=False).astype(np.uint64)
+        a = base[int(rng.integers(0, len(base))):]
+        offs = np.array([0, len(base), len(base) + len(a)])
+        x, y = oj.parity_sketches(np.concatenate([base, a]), offs)
+        assert sum(int(v).bit_count() for v in (x ^ y).view(np.uint64)) <= len(base) - len(a)
+
+
+def test_pairs_that_cannot_link_are_not_listed(spark):
+    """A common line fills one part of all members, who have nothing else in common."""
+    rng = random.Random(5)
+    data = [(i, prose(rng, 120), "en", "a") for i in range(12)]
+    heads = oj.document_digests(frame(spark, data), 3).localCheckpoint()
+    pairs = [(heads.where(f"doc_id = {i}").first()["id"], i) for i in range(12)]
+    told = spark.createDataFrame([(1, bytes(k), bytes(k), 12, bytes(pairs[0][0])) for k, _ in pairs],
+                                 "b long, id binary, component binary, c long, main binary")
+    assert oj._open_pairs(told, heads, (90, 100)).count() == 0
+    assert oj._open_pairs(told, heads, (0, 100)).count() == 66
+
+
+def test_only_members_of_shared_buckets_stay(spark):
+    parts = spark.createDataFrame([(1, 5), (1, 5), (2, 5), (2, 7), (2, 7), (2, -3), (3, 9)], "b long, h long")
+    assert sorted(map(tuple, oj.shared_buckets(parts).collect())) == [(2, -3, -3), (2, 5, -3), (2, 7, -3)]
