@@ -17,8 +17,9 @@ buckets; at the threshold of 0.85 a pair shares no bucket with a chance of 3 in
    signature admit (a pair at 0.85 fails with a chance below 10**-7) is confirmed on full
    sets. The components of all links are the result.
 
-Sets are built only for documents in such pairs, and travel once per block of pairs, not once
-per pair. Nothing is capped: large buckets are split into more blocks, bounded by the number
+Sets are built only for documents in such pairs: a bit map of their keys, of fixed size, says in
+the pass over the texts which, so texts are not shuffled for it. They travel once per block of
+pairs, not once per pair. Nothing is capped: large buckets are split into more blocks, bounded by the number
 of documents and by the bytes of their sets.
 
 Rows are told apart by a 64-bit key of (doc_id, text), so rows with a null id and different
@@ -39,13 +40,15 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from agrosense.llm import common
 from agrosense.llm import prefix_hash as ph
-from agrosense.llm.common import arrow_rows, bounded, row_key, scratch, ship, stored
+from agrosense.llm.common import arrow_rows, bit_map, bounded, in_bit_map, row_key, scratch, ship, stored, with_map_hits
 from agrosense.llm.components import components
 from agrosense.session import fresh_path
 
 ship(__name__)
 ship(ph.__name__)
+ship(common.__name__)
 
 PERMS, ROWS, BANDS = 96, 6, 32                # 2 * PERMS = ROWS * BANDS signature values
 THRESHOLD = (85, 100)                         # 100 * intersection >= 85 * union
@@ -54,6 +57,7 @@ BLOCK = 512                                   # documents on each side of a bloc
 BLOCK_BYTES = 2 << 20                         # bytes of their sets
 BATCH_SETS = 256                              # sets in one Arrow batch
 PIECE_BYTES = 1 << 20
+MAP_BITS = 24                                 # bits of the map of wanted rows
 
 _RNG = np.random.default_rng(1729)
 PERM_MUL = _RNG.integers(0, 1 << 63, PERMS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -156,13 +160,23 @@ def document_signatures(docs: DataFrame, width: int) -> DataFrame:
         sign, f"row long, doc_id {kind}, n long, k1 long, k2 long, bands array<long>, sig binary")
 
 
-def document_sets(texts: DataFrame, width: int) -> DataFrame:
-    """``row, grams``: the sorted shingle hashes of every row of ``texts`` (row, text) as 8-byte integers."""
+def document_sets(texts: DataFrame, width: int, wanted: np.ndarray) -> DataFrame:
+    """``row, grams``: the sorted shingle hashes, as 8-byte integers, of the rows of ``texts`` (row,
+    text) that the bit map ``wanted`` has; each once per task."""
 
     def build(batches):
         import pyarrow as pa
 
+        seen = set()
         for b in batches:
+            keep = in_bit_map(wanted, b.column(0).to_numpy())
+            for k in np.flatnonzero(keep):
+                key = b.column(0)[int(k)].as_py()
+                keep[k] = key not in seen
+                seen.add(key)
+            if not keep.any():
+                continue
+            b = b.filter(pa.array(keep))
             data, offsets = ph.text_buffers(b.column(1))
             for i, j in ph.groups_of(offsets, PIECE_BYTES):
                 sets, offs = shingle_sets(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], width)
@@ -261,7 +275,8 @@ def _cross_blocks(opened: DataFrame, heads: DataFrame, threshold) -> DataFrame:
     """Blocks of likely pairs between different components of a bucket, of ``_open_members``."""
     least = _least_equal_bytes(threshold)
     kind = dict(opened.dtypes)["row"]
-    known = opened.join(heads, "row")
+    near = with_map_hits(heads, "row", opened.select("row"), MAP_BITS).where("__hit").drop("__hit")
+    known = stored(opened.join(near, "row"), "dedup-known")
     # strays in n_s blocks against all members in n_m blocks: a stray goes to every member
     # block, a member to every stray block
     own = F.xxhash64("row")
@@ -370,8 +385,8 @@ def _decided(docs: DataFrame, width: int, threshold) -> DataFrame:
 def _sets_of(docs: DataFrame, rows: DataFrame, width: int) -> DataFrame:
     """Stored shingle sets of the rows whose keys are in the one column of ``rows``."""
     wanted = stored(rows.toDF("row").distinct(), "dedup-wanted")
-    texts = _keyed(docs).select("row", "text").join(wanted, "row", "left_semi")
-    return stored(document_sets(texts, width).dropDuplicates(["row"]), "dedup-sets")
+    sets = document_sets(_keyed(docs).select("row", "text"), width, bit_map(wanted, MAP_BITS))
+    return stored(sets.join(wanted, "row", "left_semi").dropDuplicates(["row"]), "dedup-sets")
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5, threshold=THRESHOLD) -> DataFrame:
@@ -379,11 +394,16 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5, threshold=THRESHOLD) -
     an id with its text, the one whose JSON has the smallest hash. Columns unchanged."""
     spark, path = docs.sparkSession, fresh_path(docs.sparkSession, "dedup-kept")
     with scratch(spark):
-        _decided(docs, width, threshold).where("kept").groupBy("row").count().write.parquet(path)
-    kept = spark.read.parquet(path)
+        _decided(docs, width, threshold).groupBy("row").agg(
+            F.max("kept").alias("kept"), F.count(F.lit(1)).alias("count")).write.parquet(path)
+    decided = spark.read.parquet(path)
+    kept, left = decided.where("kept"), decided.where("not kept").select(F.col("row").alias("__row"))
     repeated = kept.where("count > 1").limit(1).count()
     keyed = docs.withColumn("__row", row_key(F.col("doc_id"), F.col("text")))
-    known = keyed.join(kept.select(F.col("row").alias("__row")), "__row", "left_semi")
+    # a clear bit says that a row is kept; only the others are held against the rows left out
+    told = with_map_hits(keyed, "__row", left, MAP_BITS)
+    known = told.where("not __hit").unionByName(
+        told.where("__hit").join(left, "__row", "left_anti")).drop("__hit")
     if not repeated:
         return known.drop("__row")
     again = F.xxhash64(F.to_json(F.struct(*[F.col(c) for c in docs.columns])))

@@ -596,3 +596,39 @@ def test_no_benchmark_leaves_all(spark, docs, data):
     bench = spark.createDataFrame([], "item_id bigint, text string")
     assert remove_contaminated(docs, bench).count() == len(data)
     assert contamination(docs, bench).where("contaminated").count() == 0
+
+
+@pytest.mark.parametrize("bits", [24, 6])
+def test_sets_of_wanted_rows_without_shuffling_texts(spark, monkeypatch, bits):
+    """A full bit map lets other rows pass, which the join drops."""
+    monkeypatch.setattr(minmax, "MAP_BITS", bits)
+    data = rows(n=300) + rows(n=40)
+    docs = frame(spark, data)
+    keyed = minmax._keyed(docs)
+    wanted = keyed.where("doc_id % 7 = 0").select("row")
+    plans = []
+    stored = minmax.stored
+
+    def seen(df, name):
+        if name == "dedup-sets":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return stored(df, name)
+    monkeypatch.setattr(minmax, "stored", seen)
+    sets = minmax._sets_of(docs, wanted, 3)
+    got = [r["row"] for r in sets.collect()]
+    assert sorted(got) == sorted(r["row"] for r in wanted.distinct().collect())
+    assert 0 < plans[0].index("LeftSemi") < plans[0].index("MapInArrow")
+
+
+@pytest.mark.parametrize("bits", [24, 6])
+def test_rows_that_stay_are_not_shuffled(spark, monkeypatch, bits):
+    """Only rows whose bit is set are held against the rows left out, also with a full map."""
+    monkeypatch.setattr(minmax, "MAP_BITS", bits)
+    data = rows(n=80) + rows(n=40) + family()
+    docs = frame(spark, data)
+    left = drop_near_duplicates(docs, 5, (80, 100))
+    plan = left._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and "Union" in plan
+    assert left.columns == docs.columns
+    kept = sorted(r["doc_id"] for r in near_duplicates(docs, 5, (80, 100)).where("kept").select("doc_id").distinct().collect())
+    assert sorted(r["doc_id"] for r in left.collect()) == kept
