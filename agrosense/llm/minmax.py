@@ -42,7 +42,8 @@ from pyspark.sql import functions as F
 
 from agrosense.llm import common
 from agrosense.llm import prefix_hash as ph
-from agrosense.llm.common import arrow_rows, bit_map, bounded, in_bit_map, row_key, scratch, ship, stored, with_map_hits
+from agrosense.llm.common import (arrow_bytes, arrow_rows, bit_map, bounded, in_bit_map, row_key, scratch, ship, stored,
+                                  with_map_hits)
 from agrosense.llm.components import components
 from agrosense.session import fresh_path
 
@@ -56,7 +57,7 @@ SIGMAS = 6.5
 BLOCK = 512                                   # documents on each side of a block of pairs
 BLOCK_BYTES = 2 << 20                         # bytes of their sets
 BATCH_SETS = 256                              # sets in one Arrow batch
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18                         # texts are hashed in pieces of about this size
 MAP_BITS = 24                                 # bits of the map of wanted rows
 
 _RNG = np.random.default_rng(1729)
@@ -332,7 +333,8 @@ def near_duplicates(docs: DataFrame, width: int = 3, threshold=THRESHOLD) -> Dat
 
 def _decided(docs: DataFrame, width: int, threshold) -> DataFrame:
     """``near_duplicates`` with the key ``row`` of each row."""
-    signed = stored(document_signatures(docs, width), "dedup-signatures")
+    with arrow_bytes(docs.sparkSession):
+        signed = stored(document_signatures(docs, width), "dedup-signatures")
     key = ["k1", "k2", "n"]
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row"))
     classes = stored(signed.where("n > 0").groupBy(*key).agg(first.alias("first"))
@@ -386,7 +388,8 @@ def _sets_of(docs: DataFrame, rows: DataFrame, width: int) -> DataFrame:
     """Stored shingle sets of the rows whose keys are in the one column of ``rows``."""
     wanted = stored(rows.toDF("row").distinct(), "dedup-wanted")
     sets = document_sets(_keyed(docs).select("row", "text"), width, bit_map(wanted, MAP_BITS))
-    return stored(sets.join(wanted, "row", "left_semi").dropDuplicates(["row"]), "dedup-sets")
+    with arrow_bytes(docs.sparkSession):
+        return stored(sets.join(wanted, "row", "left_semi").dropDuplicates(["row"]), "dedup-sets")
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5, threshold=THRESHOLD) -> DataFrame:

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from agrosense.llm import prefix_hash as ph
-from agrosense.llm.common import scratch, ship, stored
+from agrosense.llm.common import arrow_bytes, scratch, ship, stored
 
 ship(__name__)
 ship(ph.__name__)
@@ -48,7 +48,8 @@ SHORT_WORD = 64                  # bytes up to which words are compared eight by
 # Fixed value: the pattern of pre-tokenizers that separate letters from punctuation.
 SPLIT_PATTERN = r"[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 PIECE_BYTES = 1 << 19            # texts are hashed in pieces of about this size
-CACHE_WORDS = 1_000_000          # words a worker keeps (about 80 bytes each); then it starts anew
+CACHE_WORDS = 500_000            # words a worker keeps (about 60 bytes each); then it starts anew
+CACHE_BYTES = 16 << 20           # and their bytes
 
 
 # ---- encoding ------------------------------------------------------------------------------
@@ -102,11 +103,11 @@ class WordCache:
 
     def clear(self):
         self.hashes = np.zeros(0, dtype=np.uint64)
-        self.entry = np.zeros(0, dtype=np.int64)           # of each hash: its word's number
+        self.entry = np.zeros(0, dtype=np.int32)           # of each hash: its word's number
         self.at = np.zeros(0, dtype=np.int64)              # of each word: where its ids begin
-        self.length = np.zeros(0, dtype=np.int64)
+        self.length = np.zeros(0, dtype=np.int32)
         self.word_at = np.zeros(0, dtype=np.int64)         # of each word: where its bytes begin
-        self.word_bytes = np.zeros(0, dtype=np.int64)
+        self.word_bytes = np.zeros(0, dtype=np.int32)
         self.flat, self.used = np.zeros(1 << 16, dtype=self.dtype), 0
         self.text, self.text_used = np.zeros(1 << 16, dtype=np.uint8), 0
 
@@ -163,11 +164,11 @@ class WordCache:
             self.text = np.concatenate([self.text, np.zeros_like(self.text)])
         self.flat[self.used:self.used + len(flat)] = flat
         self.text[self.text_used:self.text_used + len(text)] = text
-        numbers = len(self.at) + np.arange(len(raws))
+        numbers = (len(self.at) + np.arange(len(raws))).astype(np.int32)
         self.at = np.concatenate([self.at, self.used + np.cumsum(lengths) - lengths])
-        self.length = np.concatenate([self.length, lengths])
+        self.length = np.concatenate([self.length, lengths.astype(np.int32)])
         self.word_at = np.concatenate([self.word_at, self.text_used + np.cumsum(sizes) - sizes])
-        self.word_bytes = np.concatenate([self.word_bytes, sizes])
+        self.word_bytes = np.concatenate([self.word_bytes, sizes.astype(np.int32)])
         self.used, self.text_used = self.used + len(flat), self.text_used + len(text)
         return numbers
 
@@ -187,7 +188,7 @@ class WordCache:
         h = word_hashes(plain[:len(data)], start, stop)
         size = stop - start
         unique, first, inverse = np.unique(h, return_index=True, return_inverse=True)
-        if len(self.at) + len(unique) > CACHE_WORDS:
+        if len(self.at) + len(unique) > CACHE_WORDS or self.text_used > CACHE_BYTES:
             self.clear()
         where = np.searchsorted(self.hashes, unique)
         known = np.zeros(len(unique), dtype=bool)
@@ -357,7 +358,7 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = END_ID) -> None:
     """Write the token files of ``docs`` below ``path``: ``blocks`` and ``ranks``."""
-    with scratch(docs.sparkSession):
+    with scratch(docs.sparkSession), arrow_bytes(docs.sparkSession):
         _write_files(docs, tokenizer_path, path, end_id)
 
 

@@ -141,6 +141,41 @@ def test_words_of_one_hash_keep_their_own_ids(monkeypatch, data):
         assert ids[ends[k]:ends[k + 1]].tolist() == t.encode(x, add_special_tokens=False).ids + [2]
 
 
+def test_long_words_are_not_hoarded(monkeypatch):
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(tokens, "CACHE_BYTES", 20_000, raising=False)
+    monkeypatch.setattr(tokens, "PIECE_BYTES", 5_000)
+    path = tokenizer_path()
+    texts = [f"{chr(97 + i % 26)}{i}" * 150 + f" the word {i}" for i in range(300)]
+    raw = [x.encode() for x in texts]
+    flat = np.frombuffer(b"".join(raw), dtype=np.uint8)
+    edges = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+    cache = tokens.WordCache(open(path, encoding="utf-8").read(), np.dtype("<u2"), True, True)
+    ids, ends = tokens.encode_texts(cache, flat, edges, 2)
+    assert cache.text_used <= 20_000 + 2 * 5_000
+    t = Tokenizer.from_file(path)
+    for k, x in enumerate(texts):
+        assert ids[ends[k]:ends[k + 1]].tolist() == t.encode(x, add_special_tokens=False).ids + [2]
+
+
+def test_batches_of_long_texts_are_bounded(spark, tmp_path, monkeypatch):
+    from agrosense.llm import prefix_hash as ph
+
+    groups = ph.groups_of
+
+    def bounded(offsets, limit):
+        assert offsets[-1] < 3 << 20, "a batch of any number of bytes"
+        return groups(offsets, limit)
+
+    monkeypatch.setattr(ph, "groups_of", bounded)
+    docs = frame(spark, [(i, f"words of text {i} " * 1_000, "en", "a") for i in range(400)]).coalesce(1)
+    tokens.write_tokens(docs, tokenizer_path(), str(tmp_path / "t"))
+    assert tokens.read_tokens(spark, str(tmp_path / "t"), with_ids=False).count() == 400
+    assert minmax.near_duplicates(docs).where("kept").count() > 0
+
+
 def test_token_files_spread_one_id(spark, tmp_path):
     rows = [(None if i % 3 == 0 else i, f"word{i % 7} x") for i in range(3_000)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
